@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import exact_dedup
+from brindle.llm import bpe_ids, exact_dedup, token_files
+from brindle.llm.work import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +19,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "tokens")
+    manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, bpe_ids.default_path())
+    return token_files.read_token_files(spark, folder, manifest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_token_files": op4_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {
