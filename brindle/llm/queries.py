@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import bpe_ids, exact_dedup, token_files
-from brindle.llm.work import new_path
+from brindle.llm import bpe_ids, exact_dedup, packing, token_files
+from brindle.llm.work import materialize, new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +25,20 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, manifest)
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(_table(spark, sf_dir, "documents"))
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """The packing query over any documents; the pipeline's last stage returns it too."""
+    packed, _ = packing.pack(materialize(packing.pieces(docs, bpe_ids.default_path()), "pieces"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_token_files": op4_token_files,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
