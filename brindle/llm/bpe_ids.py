@@ -1,8 +1,8 @@
-"""Byte-level BPE ids by the tokenizers library, whole texts, with a bounded memo of words.
+"""Byte-level BPE ids by the tokenizers library, whole texts, with a bounded memo of pre-tokens.
 
-A space that a non-space follows always begins a pre-token of the byte-level pattern, whatever stands
-before it. Texts are therefore cut before such spaces without changing one id; each distinct cut is encoded by the
-library once and remembered.
+Texts are cut only where the byte-level pattern always ends a pre-token, whatever stands around: before a
+space that a non-space follows, between a Latin letter and stops, and around a single line feed between
+stops and a letter. What lies between such cuts is encoded by the library once and remembered.
 """
 
 from __future__ import annotations
@@ -10,13 +10,21 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 
 import numpy as np
 
-#: A memo of more entries or characters than these is dropped and begun anew.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 8_000_000
+#: A memo of more entries or characters than these becomes the old one, which serves until the next one is full.
+MEMO_ENTRIES, MEMO_CHARS = 700_000, 12_000_000
 
-_ODD = re.compile(r" (?:\s|\Z)")
+_L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_CUT = re.compile(
+    rf" ?[{_L}]++(?=[.,;:!?]| \S|\Z)"  # a word that stops, a space or the end follow
+    rf"| ?[.,;:!?]++(?= \S|\n[{_L}]|\Z)"
+    rf"|(?<=[.,;:!?])\n(?=[{_L}])"
+    r"|(?: ?[^ ]++| )(?: (?!\S)[^ ]*+)*+"  # anything else up to a space that a non-space follows
+)
+_WORD = re.compile(rf" [{_L}]+")
 
 
 class Encoder:
@@ -29,49 +37,44 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.opens = np.zeros(self.library.get_vocab_size(), dtype=bool)  # ids that begin with a space
+        self.opens[[i for token, i in self.library.get_vocab().items() if token[0] == "\u0120"]] = True
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.chars = 0
 
     def id_bytes(self, i: int) -> bytes:
         return self.dtype.type(i).tobytes()
 
-    @staticmethod
-    def cuts(text: str) -> list[str]:
-        """Parts of ``text`` that the library may encode apart; all but the first lack their leading space."""
-        parts = text.split(" ")
-        if not _ODD.search(text):
-            return parts
-        out = [parts[0]]
-        for p in parts[1:]:
-            if p and not p[0].isspace():
-                out.append(p)
-            else:
-                out[-1] += " " + p
-        return out
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """The id bytes of each text."""
         if len(self.memo) > MEMO_ENTRIES or self.chars > MEMO_CHARS:
-            self.memo, self.chars = {}, 0
-        memo, cut = self.memo, [self.cuts(t) for t in texts]
-        get = memo.get
-        # A text's first part has no leading space; \0 keeps its key apart from those of the others.
-        found = [[get("\0" + c[0]), *map(get, c[1:])] for c in cut]
-        if lacking := [i for i, f in enumerate(found) if None in f]:
-            heads = {c for i in lacking if ("\0" + (c := cut[i][0])) not in memo}
-            rest = {c for i in lacking for c, f in zip(cut[i][1:], found[i][1:]) if f is None}
-            self._learn([*heads], ["\0" + c for c in heads])
-            self._learn([" " + c for c in rest], [*rest])
-            for i in lacking:
-                found[i] = [get("\0" + cut[i][0]), *map(get, cut[i][1:])]
-        return [b"".join(f) for f in found]
-
-    def _learn(self, texts: list[str], keys: list[str]) -> None:
-        for at in range(0, len(texts), 20_000):
-            encoded = self.library.encode_batch_fast(texts[at : at + 20_000], add_special_tokens=False)
-            for key, e in zip(keys[at : at + 20_000], encoded):
-                self.memo[key] = np.array(e.ids, dtype=self.dtype).tobytes()
-                self.chars += len(key)
+            self.old, self.memo, self.chars = self.memo, {}, 0
+        cut = [_CUT.findall(t) for t in texts]
+        if unknown := set().union(*cut) - self.memo.keys():
+            self._learn(unknown)
+        get = self.memo.__getitem__
+        return [b"".join(map(get, c)) for c in cut]
+
+    def _learn(self, keys: set[str]) -> None:
+        memo, old, width = self.memo, self.old, self.dtype.itemsize
+        self.chars += sum(map(len, keys))
+        known = keys & old.keys()
+        memo.update(zip(known, map(old.__getitem__, known)))
+        order = [*(keys - known)]
+        words = list(filter(_WORD.fullmatch, order))
+        runs = [words[at : at + 1000] for at in range(0, len(words), 1000)]
+        for run, e in zip(runs, self.library.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype=self.dtype)
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(run):
+                raise AssertionError("ids of spaced words don't open with their spaces")
+            data, at = ids.tobytes(), (np.append(starts, len(ids)) * width).tolist()
+            memo.update(zip(run, map(data.__getitem__, map(slice, at, at[1:]))))
+        others = [*set(order).difference(words)]
+        code = "H" if width == 2 else "I"
+        for key, e in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False)):
+            memo[key] = array(code, e.ids).tobytes()
 
 
 @functools.lru_cache(maxsize=1)
