@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.work import materialize
+from brindle.llm.work import BROADCAST_ROWS, keep_rows, materialize
 
 #: (prime, base) of the two polynomial hashes.
 MODULI = ((2147483647, 1000003), (2147483629, 998244353))
@@ -33,8 +33,6 @@ CHUNK = 1 << 18
 HUGE = 1 << 25
 #: Members of a group that one representative is compared with, per salt.
 PER_SALT = 64
-#: A candidate table of at most so many rows (32 bytes each) is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 1_000_000
 
 
 def block_powers(moduli=MODULI) -> np.ndarray:
@@ -212,16 +210,4 @@ def duplicate_groups(docs: DataFrame, moduli=MODULI, huge: int = HUGE, chunk: in
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    verdicts = materialize(duplicate_groups(docs).select("doc_id", "tag", "kept"), "verdicts")
-    # Per (doc_id, tag): rows to keep out of the rows there are. Both are 0 or 1 unless rows repeat whole.
-    keys = verdicts.groupBy("doc_id", "tag").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("kept").cast("int")).alias("keeps"))
-    gone = materialize(keys.where("keeps < rows").select(F.col("doc_id").alias("x_id"), F.col("tag").alias("x_tag"), "keeps"), "dropped")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    tagged = docs.withColumn("__tag", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    met = (F.col("__tag") == F.col("x_tag")) & F.col("doc_id").cast("long").eqNullSafe(F.col("x_id"))
-    kept = tagged.join(side, met, "left_anti").select(*docs.columns)
-    repeated = gone.where("keeps > 0")
-    if not repeated.head(1):
-        return kept
-    ones = tagged.join(repeated, met, "left_semi").dropDuplicates(["doc_id", "__tag"])
-    return kept.unionByName(ones.select(*docs.columns))
+    return keep_rows(docs, duplicate_groups(docs))

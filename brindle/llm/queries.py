@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import bpe_ids, exact_dedup, packing, token_files
+from brindle.llm import bpe_ids, exact_dedup, packing, simhash, token_files
 from brindle.llm.work import materialize, new_path
 
 
@@ -25,6 +25,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, manifest)
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(_table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def packed_documents(docs: DataFrame) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_token_files": op4_token_files,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 

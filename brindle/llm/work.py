@@ -6,6 +6,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A table of keys of at most so many rows (some 32 bytes each) is broadcast; a larger one is shuffled.
+BROADCAST_ROWS = 1_000_000
+#: A column name of ours that no table has.
+TAG = "__brindle_tag"
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -31,9 +37,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int) -> bool:
-    """Whether ``df``, a written table, has at most ``rows`` rows; the count comes from its footers."""
-    return df.count() <= rows
+def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``verdicts`` (doc_id, tag, kept) keeps, with all their columns.
+
+    ``verdicts`` has a row per row of ``docs``; ``tag`` is the xxhash64 of the text, a null one being empty. Of rows
+    equal in both, as many stay as are kept. Only dropped keys are joined, and the texts move only if these
+    are too many to broadcast."""
+    keys = verdicts.groupBy("doc_id", "tag").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("kept").cast("int")).alias("keeps"))
+    gone = keys.where("keeps < rows").select(F.col("doc_id").alias("x_id"), F.col("tag").alias("x_tag"), "keeps")
+    gone = materialize(gone, "dropped")
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    tagged = docs.withColumn(TAG, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    met = (F.col(TAG) == F.col("x_tag")) & F.col("doc_id").cast("long").eqNullSafe(F.col("x_id"))
+    kept = tagged.join(side, met, "left_anti").select(*docs.columns)
+    repeated = gone.where("keeps > 0")
+    if not repeated.head(1):
+        return kept
+    # Rows that repeat whole: of such a key one row at most is kept.
+    ones = tagged.join(repeated, met, "left_semi").dropDuplicates(["doc_id", TAG])
+    return kept.unionByName(ones.select(*docs.columns))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
