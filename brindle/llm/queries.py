@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import bpe_ids, exact_dedup, packing, simhash, token_files
+from brindle.llm import bpe_ids, exact_dedup, packing, quality, simhash, token_files
 from brindle.llm.work import materialize, new_path
 
 
@@ -19,6 +19,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_table(spark, sf_dir, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept", *quality.MEASURES)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "tokens")
     manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, bpe_ids.default_path())
@@ -42,6 +48,7 @@ def packed_documents(docs: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_perplexity_bands": op3_perplexity_bands,
     "op4_token_files": op4_token_files,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
