@@ -8,14 +8,14 @@ stops and a letter. What lies between such cuts is encoded by the library once a
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
-from array import array
 
 import numpy as np
 
-#: A memo of more entries or characters than these becomes the old one, which serves until the next one is full.
-MEMO_ENTRIES, MEMO_CHARS = 700_000, 12_000_000
+#: A memo of more entries or characters than these is dropped and begun anew.
+MEMO_ENTRIES, MEMO_CHARS = 600_000, 10_000_000
 
 _L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _CUT = re.compile(
@@ -27,59 +27,101 @@ _CUT = re.compile(
 _WORD = re.compile(rf" [{_L}]+")
 
 
+@functools.lru_cache(maxsize=1)
+def _library(path: str):
+    """Loaded once a worker process: the tokenizer; the same for texts of spaced words alone, which it need not
+    search by the full pattern; and which ids begin with a space."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    from tokenizers import pre_tokenizers as pre
+
+    library, words = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    library.encode_special_tokens = words.encode_special_tokens = True  # their strings in a text are ordinary text
+    words.pre_tokenizer = pre.Sequence([pre.Split(" ", "merged_with_next"), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
+    opens = np.zeros(library.get_vocab_size(), dtype=bool)
+    opens[[i for token, i in library.get_vocab().items() if token[0] == "\u0120"]] = True
+    return library, words, opens
+
+
+class _Numbers(dict):
+    """Numbers of cuts; an unknown one gets the next number and waits to be encoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.waiting: list[str] = []
+
+    def __missing__(self, cut: str) -> int:
+        number = self[cut] = len(self)
+        self.waiting.append(cut)
+        return number
+
+
 class Encoder:
-    """Texts to little-endian id bytes; ``dtype`` is the narrowest unsigned type that holds every id."""
+    """Texts to little-endian id bytes; ``dtype`` is the narrowest unsigned type that holds every id.
+
+    The memo: the number of each cut, and by number the place of its ids in one flat array."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.opens = np.zeros(self.library.get_vocab_size(), dtype=bool)  # ids that begin with a space
-        self.opens[[i for token, i in self.library.get_vocab().items() if token[0] == "\u0120"]] = True
-        self.memo: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.chars = 0
+        self.library, self.words, self.opens = _library(path)
+        self.dtype = np.dtype("<u2" if len(self.opens) <= 1 << 16 else "<u4")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.chars = _Numbers(), 0
+        self.ids, self.ends = np.zeros(0, self.dtype), np.zeros(0, np.int64)
 
     def id_bytes(self, i: int) -> bytes:
         return self.dtype.type(i).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The id bytes of each text."""
-        if len(self.memo) > MEMO_ENTRIES or self.chars > MEMO_CHARS:
-            self.old, self.memo, self.chars = self.memo, {}, 0
-        cut = [_CUT.findall(t) for t in texts]
-        if unknown := set().union(*cut) - self.memo.keys():
-            self._learn(unknown)
-        get = self.memo.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
-
-    def _learn(self, keys: set[str]) -> None:
-        memo, old, width = self.memo, self.old, self.dtype.itemsize
-        self.chars += sum(map(len, keys))
-        known = keys & old.keys()
-        memo.update(zip(known, map(old.__getitem__, known)))
-        order = [*(keys - known)]
-        words = list(filter(_WORD.fullmatch, order))
+        if len(self.numbers) > MEMO_ENTRIES or self.chars > MEMO_CHARS:
+            self._forget()
+        cuts = [_CUT.findall(t) for t in texts]
+        number = self.numbers.__getitem__
+        sizes = [len(c) for c in cuts]
+        which = np.fromiter(map(number, itertools.chain.from_iterable(cuts)), dtype=np.int64, count=sum(sizes))
+        self._learn()
+        starts = np.concatenate([[0], self.ends])[which]
+        lens = self.ends[which] - starts
+        stops = np.cumsum(lens)
+        total = int(stops[-1]) if len(stops) else 0
+        data = self.ids[np.arange(total) + np.repeat(starts - stops + lens, lens)].tobytes()
+        at = np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)] * self.dtype.itemsize
+        at = at.tolist()
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+    def _learn(self) -> None:
+        """Encode the waiting cuts; their ids and ends follow in the order of their numbers."""
+        waiting, self.numbers.waiting = self.numbers.waiting, []
+        if not waiting:
+            return
+        self.chars += sum(map(len, waiting))
+        plain = [_WORD.fullmatch(c) is not None for c in waiting]
+        words = list(itertools.compress(waiting, plain))
+        others = [c for c, p in zip(waiting, plain) if not p]
         runs = [words[at : at + 1000] for at in range(0, len(words), 1000)]
-        for run, e in zip(runs, self.library.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False)):
-            ids = np.array(e.ids, dtype=self.dtype)
-            starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(run):
-                raise AssertionError("ids of spaced words don't open with their spaces")
-            data, at = ids.tobytes(), (np.append(starts, len(ids)) * width).tolist()
-            memo.update(zip(run, map(data.__getitem__, map(slice, at, at[1:]))))
-        others = [*set(order).difference(words)]
-        code = "H" if width == 2 else "I"
-        for key, e in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False)):
-            memo[key] = array(code, e.ids).tobytes()
+        word_ids = [np.array(e.ids, self.dtype) for e in self.words.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False)]
+        word_ids = np.concatenate([np.zeros(0, self.dtype), *word_ids])
+        firsts = np.flatnonzero(self.opens[word_ids])
+        if len(firsts) != len(words):
+            raise AssertionError("ids of spaced words don't open with their spaces")
+        other_ids = [e.ids for e in self.library.encode_batch_fast(others, add_special_tokens=False)]
+        plain = np.array(plain)
+        lens = np.empty(len(waiting), dtype=np.int64)
+        lens[plain] = np.diff(np.append(firsts, len(word_ids)))
+        lens[~plain] = [len(x) for x in other_ids]
+        ids = np.empty(int(lens.sum()), dtype=self.dtype)
+        from_words = np.repeat(plain, lens)
+        ids[from_words] = word_ids
+        ids[~from_words] = np.fromiter(itertools.chain.from_iterable(other_ids), dtype=self.dtype)
+        self.ends = np.concatenate([self.ends, np.cumsum(lens) + len(self.ids)])
+        self.ids = np.concatenate([self.ids, ids])
 
 
 @functools.lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    """One encoder a worker process; reused workers keep its memo."""
+    """One encoder a worker process: its later tasks know the words of its earlier ones."""
     return Encoder(path)
 
 
