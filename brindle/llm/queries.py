@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import bpe_ids, exact_dedup, packing, quality, simhash, token_files
+from brindle.llm import bloom_lm, bpe_ids, exact_dedup, packing, quality, simhash, token_files
 from brindle.llm.work import materialize, new_path
 
 
@@ -19,6 +19,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op3_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -48,6 +52,7 @@ def packed_documents(docs: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_bloom_lm": op2_bloom_lm,
     "op3_perplexity_bands": op3_perplexity_bands,
     "op4_token_files": op4_token_files,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
