@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brindle.llm import bloom_lm, bpe_ids, exact_dedup, packing, quality, simhash, token_files
+from brindle.llm import bloom_lm, bpe_ids, exact_dedup, packing, page_text, quality, simhash, token_files
 from brindle.llm.work import materialize, new_path
 
 
@@ -40,6 +41,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op7_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = page_text.extract(_table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_perplexity_bands": op3_perplexity_bands,
     "op4_token_files": op4_token_files,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_page_differencing": op7_page_differencing,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
