@@ -4,17 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import exact_dedup
+from brindle.llm import exact_dedup, quality, queries, simhash
 from brindle.llm.work import materialize
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or lie outside their perplexity bands go."""
+    return quality.keep_good(docs)
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the largest id stays."""
     return exact_dedup.deduplicate(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints link, directly or over others, the one with the smallest id stays."""
+    return simhash.keep_one(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces and their places in the training sequences."""
+    return queries.packed_documents(docs)
+
+
 STAGES = [
+    ("quality rules", quality_stage),
     ("exact dedup", exact_stage),
+    ("SimHash near-dedup", near_stage),
+    ("best-fit packing", packing_stage),
 ]
 
 #: Quality rules, near-dedup and packing go beyond SQL; the stages are tested against brute force.
