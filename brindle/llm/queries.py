@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bloom_lm, bpe_ids, exact_dedup, packing, page_text, quality, simhash, token_files
+from brindle.llm import bloom_lm, bpe_ids, exact_dedup, license_scan, packing, page_text, quality, simhash, token_files
 from brindle.llm.work import materialize, new_path
 
 
@@ -46,6 +46,10 @@ def op7_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_page_differencing": op7_page_differencing,
+    "op8_license_scan": op8_license_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
