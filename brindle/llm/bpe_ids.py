@@ -56,67 +56,81 @@ class _Numbers(dict):
         return number
 
 
-class Encoder:
-    """Texts to little-endian id bytes; ``dtype`` is the narrowest unsigned type that holds every id.
+class CutMemo:
+    """Values of texts' cuts, each found once and remembered: the number of each cut, and by number the place of
+    its values in one flat array."""
 
-    The memo: the number of each cut, and by number the place of its ids in one flat array."""
-
-    def __init__(self, path: str):
-        self.library, self.words, self.opens = _library(path)
-        self.dtype = np.dtype("<u2" if len(self.opens) <= 1 << 16 else "<u4")
+    def __init__(self, pattern: re.Pattern, dtype: np.dtype):
+        self.pattern, self.dtype = pattern, dtype
         self._forget()
 
     def _forget(self) -> None:
         self.numbers, self.chars = _Numbers(), 0
-        self.ids, self.ends = np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        self.values, self.ends = np.zeros(0, self.dtype), np.zeros(0, np.int64)
 
-    def id_bytes(self, i: int) -> bytes:
-        return self.dtype.type(i).tobytes()
+    def find(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The values of ``cuts``, one after another, and how many each has."""
+        raise NotImplementedError
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The id bytes of each text."""
+    def number(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The numbers of all texts' cuts, and how many cuts each text has."""
         if len(self.numbers) > MEMO_ENTRIES or self.chars > MEMO_CHARS:
             self._forget()
-        cuts = [_CUT.findall(t) for t in texts]
-        number = self.numbers.__getitem__
+        cuts = [self.pattern.findall(t) for t in texts]
         sizes = [len(c) for c in cuts]
-        which = np.fromiter(map(number, itertools.chain.from_iterable(cuts)), dtype=np.int64, count=sum(sizes))
-        self._learn()
+        get = self.numbers.__getitem__
+        which = np.fromiter(map(get, itertools.chain.from_iterable(cuts)), dtype=np.int64, count=sum(sizes))
+        waiting, self.numbers.waiting = self.numbers.waiting, []
+        if waiting:
+            self.chars += sum(map(len, waiting))
+            values, lens = self.find(waiting)
+            self.ends = np.concatenate([self.ends, np.cumsum(lens) + len(self.values)])
+            self.values = np.concatenate([self.values, values])
+        return which, sizes
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The values of each text, as bytes."""
+        which, sizes = self.number(texts)
         starts = np.concatenate([[0], self.ends])[which]
         lens = self.ends[which] - starts
         stops = np.cumsum(lens)
         total = int(stops[-1]) if len(stops) else 0
-        data = self.ids[np.arange(total) + np.repeat(starts - stops + lens, lens)].tobytes()
+        data = self.values[np.arange(total) + np.repeat(starts - stops + lens, lens)].tobytes()
         at = np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)] * self.dtype.itemsize
         at = at.tolist()
         return [data[a:b] for a, b in zip(at, at[1:])]
 
-    def _learn(self) -> None:
-        """Encode the waiting cuts; their ids and ends follow in the order of their numbers."""
-        waiting, self.numbers.waiting = self.numbers.waiting, []
-        if not waiting:
-            return
-        self.chars += sum(map(len, waiting))
-        plain = [_WORD.fullmatch(c) is not None for c in waiting]
-        words = list(itertools.compress(waiting, plain))
-        others = [c for c, p in zip(waiting, plain) if not p]
-        runs = [words[at : at + 1000] for at in range(0, len(words), 1000)]
-        word_ids = [np.array(e.ids, self.dtype) for e in self.words.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False)]
+
+class Encoder(CutMemo):
+    """Texts to little-endian id bytes; ``dtype`` is the narrowest unsigned type that holds every id."""
+
+    def __init__(self, path: str):
+        self.library, self.words, self.opens = _library(path)
+        super().__init__(_CUT, np.dtype("<u2" if len(self.opens) <= 1 << 16 else "<u4"))
+
+    def id_bytes(self, i: int) -> bytes:
+        return self.dtype.type(i).tobytes()
+
+    def find(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = [_WORD.fullmatch(c) is not None for c in cuts]
+        words = list(itertools.compress(cuts, plain))
+        others = [c for c, p in zip(cuts, plain) if not p]
+        runs = ["".join(words[at : at + 1000]) for at in range(0, len(words), 1000)]
+        word_ids = [np.array(e.ids, self.dtype) for e in self.words.encode_batch_fast(runs, add_special_tokens=False)]
         word_ids = np.concatenate([np.zeros(0, self.dtype), *word_ids])
         firsts = np.flatnonzero(self.opens[word_ids])
         if len(firsts) != len(words):
             raise AssertionError("ids of spaced words don't open with their spaces")
         other_ids = [e.ids for e in self.library.encode_batch_fast(others, add_special_tokens=False)]
         plain = np.array(plain)
-        lens = np.empty(len(waiting), dtype=np.int64)
+        lens = np.empty(len(cuts), dtype=np.int64)
         lens[plain] = np.diff(np.append(firsts, len(word_ids)))
         lens[~plain] = [len(x) for x in other_ids]
         ids = np.empty(int(lens.sum()), dtype=self.dtype)
         from_words = np.repeat(plain, lens)
         ids[from_words] = word_ids
         ids[~from_words] = np.fromiter(itertools.chain.from_iterable(other_ids), dtype=self.dtype)
-        self.ends = np.concatenate([self.ends, np.cumsum(lens) + len(self.ids)])
-        self.ids = np.concatenate([self.ids, ids])
+        return ids, lens
 
 
 @functools.lru_cache(maxsize=1)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bloom_lm, bpe_ids, exact_dedup, license_scan, packing, page_text, quality, simhash, token_files
+from brindle.llm import bloom_lm, bpe_ids, exact_dedup, license_scan, packing, page_text, quality, sentencepiece_stream, simhash, token_files, trie_counts
 from brindle.llm.work import materialize, new_path
 
 
@@ -41,6 +41,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_stream.digest(_table(spark, sf_dir, "documents"), sentencepiece_stream.default_path())
+
+
 def op7_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = page_text.extract(_table(spark, sf_dir, "pages"))
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -50,6 +54,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op9_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_counts.token_counts(_table(spark, sf_dir, "documents"), sentencepiece_stream.default_path())
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(_table(spark, sf_dir, "documents"))
 
@@ -66,8 +74,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_perplexity_bands": op3_perplexity_bands,
     "op4_token_files": op4_token_files,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_page_differencing": op7_page_differencing,
     "op8_license_scan": op8_license_scan,
+    "op9_trie_counts": op9_trie_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
