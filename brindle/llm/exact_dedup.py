@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.work import BROADCAST_ROWS, keep_rows, materialize
+from brindle.llm.work import BROADCAST_ROWS, keep_rows, materialize, slices
 
 #: (prime, base) of the two polynomial hashes.
 MODULI = ((2147483647, 1000003), (2147483629, 998244353))
@@ -89,7 +89,7 @@ def _fingerprint_batches(moduli):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = block_powers(moduli)
-        for batch in batches:
+        for batch in slices(batches):
             data = batch.column("data").to_pylist()
             after = batch.column("after").to_pylist()
             hashes = hash_many(data, powers, moduli)

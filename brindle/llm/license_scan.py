@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brindle.llm.work import slices
+
 # Phrases and labels of the base rules.
 BASE_PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
@@ -280,7 +282,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("label", pa.string()), ("first", pa.int64()), ("end", pa.int64())]))
     kinds = [*[pa.int64()] * 4, pa.string(), pa.string(), pa.float64(), span]
     names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").to_pylist()
         at = 0
         while at < len(texts):

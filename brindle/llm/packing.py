@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from brindle.llm import bpe_ids
 from brindle.llm.token_files import END_ID
-from brindle.llm.work import materialize
+from brindle.llm.work import materialize, slices
 
 #: Tokens of a sequence.
 CAPACITY = 1024
@@ -45,7 +45,7 @@ def _cutter(tokenizer: str, end_id: int, capacity: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe_ids.encoder(tokenizer)
         end = encoder.id_bytes(end_id)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             rid, doc_id = batch.column("rid").to_pylist(), batch.column("doc_id").to_pylist()
             for at in range(0, len(texts), 512):

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.bpe_ids import CutMemo
+from brindle.llm.work import slices
 
 SPACE = "▁"
 #: What the library subtracts from the lowest score for an unknown character.
@@ -233,7 +234,7 @@ ENCODED = "doc_id long, ids array<int>"
 def _encoder(path: str, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, kind)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             for at in range(0, len(texts), 256):
                 ids = own.encode_texts(texts[at : at + 256])
@@ -254,7 +255,7 @@ def encode(docs: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
 def _decoder(path: str, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, kind)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [own.decode(np.array(x or [], dtype=np.int64)) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
@@ -269,7 +270,7 @@ def decode(encoded: DataFrame, path: str, kind: str = "bpe") -> DataFrame:
 def _digester(path: str, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, kind)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             for at in range(0, len(texts), 256):
                 part = texts[at : at + 256]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.components import components
-from brindle.llm.work import keep_rows, materialize
+from brindle.llm.work import keep_rows, materialize, slices
 
 BITS = 64
 RADIUS = 3
@@ -69,7 +69,7 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 def _printer(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             prints = np.array([fingerprint(text_hashes(t, words)) for t in batch.column("text").to_pylist()], dtype=np.uint64)
             keys = [batch.column(c) for c in ("rid", "doc_id", "tag")]
             yield pa.RecordBatch.from_arrays([*keys, pa.array(prints.view(np.int64))], names=["rid", "doc_id", "tag", "fp"])

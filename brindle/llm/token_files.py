@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.llm import bpe_ids
-from brindle.llm.work import materialize
+from brindle.llm.work import materialize, slices
 
 MAGIC = b"BRNDLIDX"
 VERSION = 1
@@ -58,7 +58,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         counts, ids, nulls = [], [], bytearray()
         own = f"{root}/.{part:06d}-{task.taskAttemptId()}"
         with store.open_output_stream(f"{own}.bin") as out:
-            for batch in batches:
+            for batch in slices(batches):
                 texts = batch.column("text").to_pylist()
                 for at in range(0, len(texts), 512):
                     encoded = [e + end for e in encoder.encode(texts[at : at + 512])]

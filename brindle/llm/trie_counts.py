@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from brindle.llm.bpe_ids import CutMemo
 from brindle.llm.sentencepiece_stream import _CUT, SPACE, Pieces, _pieces
+from brindle.llm.work import slices
 
 
 class TrieCounter(CutMemo):
@@ -86,7 +87,7 @@ def counter(path: str) -> TrieCounter:
 def _counts(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             found = [own.count(texts[at : at + 512]) for at in range(0, len(texts), 512)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate([np.zeros(0, np.int64), *found]))], names=["doc_id", "n_tokens"])

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,13 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     return kept.unionByName(ones.select(*docs.columns))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most so many rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a working path of ours through Spark's own file system layer."""
     jvm = spark.sparkContext._jvm
