@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.work import materialize
+from brindle.llm.work import materialize, slices
 
 #: Base of the quantisation, bits per pair held, probes per pair.
 BASE, BITS, PROBES = 1.5, 10, 7
@@ -108,12 +108,12 @@ def _counter(shard_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, list[np.ndarray]] = {1: [], 2: []}
         held = 0
-        for batch in batches:
+        for batch in slices(batches, 2048):
             for _, tokens, sizes in _runs(batch.column("text").to_pylist()):
                 kept[1].append(tokens)
                 kept[2].append(bigrams(tokens, sizes))
                 held += len(tokens)
-                if held >= 2 * TOKENS:
+                if held >= TOKENS:
                     yield from emit(kept)
                     kept, held = {1: [], 2: []}, 0
         if held:
@@ -247,7 +247,7 @@ def _scores(found: np.ndarray, sizes: np.ndarray, totals: Totals) -> list[np.nda
 def _scorer(part, totals: Totals, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = part.value
-        for batch in batches:
+        for batch in slices(batches, 2048):
             state = batch.column("state").to_pylist() if "state" in batch.schema.names else None
             for at, tokens, sizes in _runs(batch.column("text").to_pylist()):
                 rows = slice(at, at + len(sizes))
