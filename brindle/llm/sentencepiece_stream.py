@@ -67,12 +67,15 @@ class Pieces:
         self.raw = [s.replace(SPACE, " ").encode() if ok else b"" for s, ok in zip(self.strings, self.normal)]
         for b, i in enumerate(self.byte_ids):
             self.raw[i] = bytes([b])
-        self.trie: dict = {}
-        for s, i in self.ids.items():
+        #: By character: the nodes that follow and the id of the piece that ends there, or -1.
+        self.trie: dict[str, tuple[dict, int]] = {}
+        for s, i in sorted(self.ids.items()):
             node = self.trie
-            for c in s:
-                node = node.setdefault(c, {})
-            node[""] = i
+            for k, c in enumerate(s):
+                if c not in node:
+                    node[c] = ({}, self.ids.get(s[: k + 1], -1))
+                node = node[c][0]
+        self.by_score = {s: self.scores[i] for s, i in self.ids.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.alone: dict[int, bool] = {}
 
@@ -81,16 +84,21 @@ class Pieces:
 
     def merge(self, text: str) -> list[str]:
         """The symbols that merging by score leaves: highest score first, of equals the leftmost."""
-        symbols = list(text)
+        symbols, score = list(text), self.by_score.get
+        found = [score(a + b) for a, b in itertools.pairwise(symbols)]  # of each symbol with the next
         while True:
             best, at = None, -1
-            for k in range(len(symbols) - 1):
-                i = self.ids.get(symbols[k] + symbols[k + 1])
-                if i is not None and (best is None or self.scores[i] > best):
-                    best, at = self.scores[i], k
+            for k, x in enumerate(found):
+                if x is not None and (best is None or x > best):
+                    best, at = x, k
             if best is None:
                 return symbols
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            del found[at]
+            if at < len(found):
+                found[at] = score(symbols[at] + symbols[at + 1])
+            if at:
+                found[at - 1] = score(symbols[at - 1] + symbols[at])
 
     def admissible(self, before: int, piece: int) -> bool:
         """Whether merging leaves these two pieces as they are, side by side; -1: nothing is before."""
@@ -141,12 +149,11 @@ class StreamingViterbi:
         self.open.append((at, pieces.trie))
         reached, found = [], None
         for start, node in self.open:
-            node = node.get(c)
-            if node is None:
+            if (step := node.get(c)) is None:
                 continue
+            node, i = step
             reached.append((start, node))
-            i = node.get("")
-            if i is None:
+            if i < 0:
                 continue
             score, _, before = best[start]
             if bpe:
@@ -200,13 +207,60 @@ class Codec(CutMemo):
         super().__init__(_CUT, np.dtype("<u2" if len(self.pieces.strings) <= 1 << 16 else "<u4"))
 
     def find(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = []
-        for cut in cuts:
-            search = StreamingViterbi(self.pieces, self.kind)
-            found.append(search.feed(cut) + search.finish())
+        found = self._search(cuts) if self.kind == "bpe" else [None] * len(cuts)
+        for k, ids in enumerate(found):
+            if ids is None:
+                search = StreamingViterbi(self.pieces, self.kind)
+                found[k] = search.feed(cuts[k]) + search.finish()
         lens = np.array([len(x) for x in found], dtype=np.int64)
         return np.fromiter(itertools.chain.from_iterable(found), dtype=self.dtype, count=int(lens.sum())), lens
 
+    def _search(self, cuts: list[str]) -> list[list[int] | None]:
+        """The ids of each cut that ends before its window does, None for longer ones. In sorted order a cut's search
+        goes on from the prefix that it shares with the one before it."""
+        pieces, out = self.pieces, [None] * len(cuts)
+        trie, pairs, admissible, limit = pieces.trie, pieces.pairs, pieces.admissible, 2 * pieces.longest
+        # By depth: start and number of the piece that ends there; trie nodes reached, with their starts.
+        starts, numbers, pending = [-1], [-1], [()]
+        last = ""
+        for k in sorted(range(len(cuts)), key=cuts.__getitem__):
+            cut = cuts[k]
+            if len(cut) > limit:
+                continue
+            shared, most = 0, min(len(last), len(cut))
+            while shared < most and last[shared] == cut[shared]:
+                shared += 1
+            del starts[shared + 1 :], numbers[shared + 1 :], pending[shared + 1 :]
+            for depth in range(shared, len(cut)):
+                c, reached, number, begin = cut[depth], [], -1, depth
+                for node, start in (*pending[depth], (trie, depth)):
+                    if (step := node.get(c)) is None:
+                        continue
+                    node, i = step
+                    if node:
+                        reached.append((node, start))
+                    if i >= 0 and number < 0:
+                        before = numbers[start]
+                        if (good := pairs.get((before, i))) is None:
+                            good = admissible(before, i)
+                        if good:
+                            number, begin = i, start
+                if number < 0:
+                    number = UNKNOWN + ord(c)
+                    if c in pieces.ids or not admissible(numbers[depth], number):
+                        raise AssertionError(f"no admissible piece ends at {depth} of {cut!r}")
+                starts.append(begin)
+                numbers.append(number)
+                pending.append(reached)
+            last, ids, at = cut, [], len(cut)
+            while at > 0:
+                i = numbers[at]
+                ids += [i] if i < UNKNOWN else reversed(pieces.out(i))
+                at = starts[at]
+            ids.reverse()
+            out[k] = ids
+        return out
+
     def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, to which the model puts a space in front."""
         spaced = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
@@ -236,8 +290,8 @@ def _encoder(path: str, kind: str):
         own = codec(path, kind)
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 256):
-                ids = own.encode_texts(texts[at : at + 256])
+            for at in range(0, len(texts), 1024):
+                ids = own.encode_texts(texts[at : at + 1024])
                 flat = np.concatenate([np.zeros(0, own.dtype), *ids]).astype(np.int32)
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
@@ -272,8 +326,8 @@ def _digester(path: str, kind: str):
         own = codec(path, kind)
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 256):
-                part = texts[at : at + 256]
+            for at in range(0, len(texts), 1024):
+                part = texts[at : at + 1024]
                 ids = own.encode_texts(part)
                 columns = [
                     pa.array([len(x) for x in ids], pa.int64()),

@@ -15,7 +15,6 @@ result. Other columns are ignored.
 from __future__ import annotations
 
 import functools
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,17 +44,20 @@ class TrieCounter(CutMemo):
         last = ""
         for k in order:
             cut = cuts[k]
-            shared = len(os.path.commonprefix((last, cut)))
+            shared, most = 0, min(len(last), len(cut))
+            while shared < most and last[shared] == cut[shared]:
+                shared += 1
             del forward[shared + 1 :], pending[shared + 1 :]
             for depth in range(shared, len(cut)):
                 c = cut[depth]
                 best, reached = None, []
                 for node, start in (*pending[depth], (root, depth)):
-                    node = node.get(c)
-                    if node is None:
+                    if (step := node.get(c)) is None:
                         continue
-                    reached.append((node, start))
-                    if (i := node.get("")) is not None:
+                    node, i = step
+                    if node:
+                        reached.append((node, start))
+                    if i >= 0:
                         score, tokens = forward[start]
                         found = (score + scores[i], tokens - 1)
                         if best is None or found > best:
