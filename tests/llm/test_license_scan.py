@@ -1,0 +1,67 @@
+import random
+import re
+
+from brindle.llm import license_scan as op
+from tests.llm.common import EDGES, documents, empty, prose
+
+NOTICE = " ".join(op.TEMPLATES[3][1].split())
+
+
+def words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+
+
+def base(t):
+    w = words(t)
+    hits = [(a, label) for p, label in op.BASE_PHRASES for a in range(len(w)) if w[a : a + len(p.split())] == p.split()]
+    at = [a for a, _ in hits]
+    return len(w), len(hits), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in hits}))
+
+
+ROWS = [(d, t) for d, t in EDGES] + [
+    (100, "Under  the MIT-License. under the mit license CC BY-NC 4.0 apache license, version 2"),
+    (101, prose(50) + "\n" + NOTICE + "\n" + prose(50)),
+    (102, NOTICE.replace("persons", "people", 1).replace("Software is", "Software (2020) is")),
+    (103, "Licensed under CC BY-NC 4.0. " * 3000), (104, "under the mit"), (105, "mit license under the"),
+    (106, "This work is licensed under the GNU General Public License, version 3."), (107, " ".join(NOTICE.split()[:20])),
+]
+
+
+def test_base_columns_and_labels(spark):
+    got = {}
+    for r in op.scan(documents(spark, ROWS)).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    want = {}
+    for d, t in ROWS:
+        want.setdefault(d, []).append(base(t))
+    for d, rows in got.items():
+        assert sorted(map(str, ((r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in rows))) == sorted(map(str, want[d]))
+        assert all(set(r.base_labels.split(",")) <= set(r.labels.split(",")) for r in rows if r.base_labels)
+    labels = {d: rows[0].labels for d, rows in got.items() if d is not None and d >= 100}
+    assert labels == {100: "apache-2,cc-by-nc,mit", 101: "mit", 102: "mit", 103: "cc-by-nc", 104: "", 105: "", 106: "gpl-3", 107: ""}
+    (full,) = got[101]
+    assert full.score == 1.0 and any(s.label == "mit" and s.end - s.first == len(words(NOTICE)) for s in full.spans)
+    assert 0.75 < got[102][0].score < 1.0 and all(r.labels == "" for d in (8, 9, 10) for r in got[d])
+
+
+def test_matching_statistics_against_brute_force():
+    r = random.Random(3)
+    for _ in range(300):
+        sequences = [[r.randrange(1, 4) for _ in range(r.randrange(1, 9))] for _ in range(3)]
+        text = [r.randrange(1, 5) for _ in range(20)]
+        held = {(t, tuple(s[a:b])): b for t, s in enumerate(sequences) for a in range(len(s)) for b in range(a, len(s) + 1)}
+        found = lambda x: {t for t in range(3) if (t, tuple(x)) in held}
+        longest = [max(n for n in range(i + 2) if found(text[i + 1 - n : i + 1])) for i in range(len(text))]
+        want = {
+            (i + 1, n) for i, n in enumerate(longest) if n >= op.MIN_MATCH and (i + 1 == len(text) or longest[i + 1] != n + 1)
+        }
+        a = op.Automaton(sequences)
+        got = list(a.matches(text))
+        assert {(end, n) for end, n, _ in got} == want
+        for end, n, state in got:
+            places = {(t, e) for t, s in enumerate(sequences) for e in range(n, len(s) + 1) if s[e - n : e] == text[end - n : end]}
+            assert set(a.places[state]) == places
+
+
+def test_empty(spark):
+    assert op.scan(empty(spark)).collect() == []
