@@ -65,6 +65,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # an idle worker holds no buffers of its last task
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
