@@ -35,8 +35,9 @@ def _library(path: str):
     from tokenizers import Tokenizer
     from tokenizers import pre_tokenizers as pre
 
-    library, words = Tokenizer.from_file(path), Tokenizer.from_file(path)
-    library.encode_special_tokens = words.encode_special_tokens = True  # their strings in a text are ordinary text
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True  # their strings in a text are ordinary text
+    words = Tokenizer(library.model)  # the same model, not a copy
     words.pre_tokenizer = pre.Sequence([pre.Split(" ", "merged_with_next"), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
     opens = np.zeros(library.get_vocab_size(), dtype=bool)
     opens[[i for token, i in library.get_vocab().items() if token[0] == "\u0120"]] = True
