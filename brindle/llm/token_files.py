@@ -74,7 +74,10 @@ def _writer(folder: str, tokenizer: str, end_id: int):
             for x in (offsets.tobytes(), np.array(ids, dtype="<i8").tobytes(), bytes(nulls)):
                 out.write(x)
         for kind in ("bin", "idx"):
-            store.move(f"{own}.{kind}", f"{root}/{part:06d}.{kind}")
+            final = f"{root}/{part:06d}.{kind}"
+            if store.get_file_info(final).is_file:  # of an earlier attempt at this task, with the same content
+                store.delete_file(final)
+            store.move(f"{own}.{kind}", final)
         yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [len(counts)], "n_tokens": [int(offsets[-1])]})
 
     return run

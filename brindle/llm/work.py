@@ -16,12 +16,21 @@ BROADCAST_ROWS = 1_000_000
 TAG = "__brindle_tag"
 
 
+#: Folders of sessions in which ``spark.checkpoint.dir`` is unset, by application.
+_own: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a folder of our own only where that is unset."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by ``spark.checkpoint.dir``. Only a local session may do without: it gets a
+    folder of its own."""
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="brindle-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        if context.applicationId not in _own:
+            _own[context.applicationId] = tempfile.mkdtemp(prefix="brindle-")
+        root = _own[context.applicationId]
     return f"{root.rstrip('/')}/brindle"
 
 
@@ -66,10 +75,3 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
     pa.default_memory_pool().release_unused()  # an idle worker holds no buffers of its last task
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a working path of ours through Spark's own file system layer."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
