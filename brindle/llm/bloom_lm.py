@@ -244,6 +244,17 @@ def _scores(found: np.ndarray, sizes: np.ndarray, totals: Totals) -> list[np.nda
     return [np.add.reduceat(x, starts) for x in ((count > 0).astype(np.int64), base, model)]
 
 
+def _pack(found: np.ndarray) -> bytes:
+    """Ten bytes a token: its word count, and both levels in a byte each."""
+    return found[0].astype("<i8").tobytes() + found[1:].astype(np.uint8).tobytes()
+
+
+def _unpack(state: bytes) -> np.ndarray:
+    n = len(state) // 10
+    counts, levels = np.frombuffer(state, "<i8", n), np.frombuffer(state, np.uint8, 2 * n, 8 * n)
+    return np.concatenate([counts[None], levels.reshape(2, n).astype(np.int64)])
+
+
 def _scorer(part, totals: Totals, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = part.value
@@ -253,7 +264,7 @@ def _scorer(part, totals: Totals, last: bool):
                 rows = slice(at, at + len(sizes))
                 found = _look_up(own, tokens, bigrams(tokens, sizes))
                 if state:
-                    found += np.concatenate([np.frombuffer(s, "<i8").reshape(3, -1) for s in state[rows]], axis=1)
+                    found += np.concatenate([_unpack(s) for s in state[rows]], axis=1)
                 keep = [batch.column(c).slice(at, len(sizes)) for c in ("doc_id", "held_out")]
                 if last:
                     known, base, model = _scores(found, sizes, totals)
@@ -262,7 +273,7 @@ def _scorer(part, totals: Totals, last: bool):
                     names = [x.split()[0] for x in SCORES.split(", ")]
                 else:
                     ends = np.cumsum(sizes)
-                    states = [np.ascontiguousarray(found[:, e - s : e]).tobytes() for s, e in zip(sizes, ends)]
+                    states = [_pack(found[:, e - s : e]) for s, e in zip(sizes, ends)]
                     columns = [*keep, batch.column("text").slice(at, len(sizes)), pa.array(states, pa.binary())]
                     names = ["doc_id", "held_out", "text", "state"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
