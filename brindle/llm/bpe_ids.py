@@ -14,8 +14,9 @@ import re
 
 import numpy as np
 
-#: A memo of more entries or characters than these is dropped and begun anew.
-MEMO_ENTRIES, MEMO_CHARS = 600_000, 10_000_000
+#: A memo of more entries or characters than these is cut back, and so is any at the end of a task, to the
+#: cuts met first: frequent ones are met early, and idle worker processes hold little.
+MEMO_ENTRIES, MEMO_CHARS, MEMO_KEPT = 600_000, 10_000_000, 60_000
 
 _L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _CUT = re.compile(
@@ -63,12 +64,19 @@ class CutMemo:
 
     def __init__(self, pattern: re.Pattern, dtype: np.dtype):
         self.pattern, self.dtype = pattern, dtype
-        self._forget()
-
-    def _forget(self) -> None:
         self.numbers, self.chars = _Numbers(), 0
         self.values, self.ends = np.zeros(0, self.dtype), np.zeros(0, np.int64)
 
+    def trim(self) -> None:
+        """Keep the cuts with the smallest numbers."""
+        kept = _Numbers()
+        kept.update(itertools.islice(self.numbers.items(), MEMO_KEPT))
+        self.numbers, self.chars = kept, sum(map(len, kept))
+        if self.chars > MEMO_CHARS // 2:
+            self.numbers, self.chars = _Numbers(), 0
+        self.ends = self.ends[: len(self.numbers)].copy()
+        self.values = self.values[: self.ends[-1] if len(self.ends) else 0].copy()
+
     def find(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The values of ``cuts``, one after another, and how many each has."""
         raise NotImplementedError
@@ -76,7 +84,7 @@ class CutMemo:
     def number(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         """The numbers of all texts' cuts, and how many cuts each text has."""
         if len(self.numbers) > MEMO_ENTRIES or self.chars > MEMO_CHARS:
-            self._forget()
+            self.trim()
         cuts = [self.pattern.findall(t) for t in texts]
         sizes = [len(c) for c in cuts]
         get = self.numbers.__getitem__

@@ -60,6 +60,7 @@ def _cutter(tokenizer: str, end_id: int, capacity: int, keep_ids: bool):
                 names = ["rid", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 n = len(names) - (not keep_ids)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns[:n], kinds)], names=names[:n])
+        encoder.trim()
 
     return run
 

@@ -107,7 +107,7 @@ class Pieces:
                 known = self.alone[piece] = self.merge(self.string(piece)) == [self.string(piece)]
             return known
         if (known := self.pairs.get((before, piece))) is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > 400_000:
                 self.pairs.clear()
             a, b = self.string(before), self.string(piece)
             known = self.pairs[before, piece] = self.admissible(-1, piece) and self.merge(a + b) == [a, b]
@@ -296,6 +296,7 @@ def _encoder(path: str, kind: str):
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(ids)), lists], names=["doc_id", "ids"])
+        own.trim()
 
     return run
 
@@ -335,6 +336,7 @@ def _digester(path: str, kind: str):
                     pa.array([own.decode(x) == t.replace(SPACE, " ") for x, t in zip(ids, part)]),
                 ]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), *columns], names=["doc_id", "n_ids", "ids_crc32", "round_trip"])
+        own.trim()
 
     return run
 

@@ -67,6 +67,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
                 for d in batch.column("doc_id").to_pylist():
                     ids.append(d or 0)
                     nulls.append(d is None)
+        encoder.trim()
         offsets = np.zeros(len(counts) + 1, dtype="<u8")
         np.cumsum(counts, out=offsets[1:])
         with store.open_output_stream(f"{own}.idx") as out:

@@ -93,6 +93,7 @@ def _counts(path: str):
             texts = batch.column("text").to_pylist()
             found = [own.count(texts[at : at + 512]) for at in range(0, len(texts), 512)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate([np.zeros(0, np.int64), *found]))], names=["doc_id", "n_tokens"])
+        own.trim()
 
     return run
 
