@@ -321,7 +321,6 @@ def score(docs: DataFrame, shard_text: int = SHARD_TEXT, slice_bytes: int = SLIC
         part = spark.sparkContext.broadcast(Slice(list(found.toLocalIterator()), shard_bits))
         last = k == len(slices) - 1
         rows = rows.mapInArrow(_scorer(part, totals, last), SCORES if last else "doc_id long, held_out boolean, text string, state binary")
-        if not last:
-            rows = materialize(rows, f"slice{k}")
-            part.unpersist()
+        rows = materialize(rows, f"slice{k}")
+        part.unpersist()
     return rows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -39,12 +40,26 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def small_arrow_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """While our own jobs run: rows of an Arrow batch between Spark and Python. Texts are long, and a batch is whole in both."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: the lineage ends there,
     so a lost executor costs a file read, not a recomputation."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with small_arrow_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
