@@ -16,7 +16,7 @@ import numpy as np
 
 #: A memo of more entries or characters than these is cut back, and so is any at the end of a task, to the
 #: cuts met first: frequent ones are met early, and idle worker processes hold little.
-MEMO_ENTRIES, MEMO_CHARS, MEMO_KEPT = 600_000, 10_000_000, 60_000
+MEMO_ENTRIES, MEMO_CHARS, MEMO_KEPT = 600_000, 10_000_000, 300_000
 
 _L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _CUT = re.compile(

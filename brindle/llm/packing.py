@@ -48,9 +48,9 @@ def _cutter(tokenizer: str, end_id: int, capacity: int, keep_ids: bool):
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             rid, doc_id = batch.column("rid").to_pylist(), batch.column("doc_id").to_pylist()
-            for at in range(0, len(texts), 512):
+            for at in range(0, len(texts), 1024):
                 rows: list[tuple] = []
-                for k, e in enumerate(encoder.encode(texts[at : at + 512]), at):
+                for k, e in enumerate(encoder.encode(texts[at : at + 1024]), at):
                     ids = np.frombuffer(e + end, dtype=encoder.dtype).astype("<u4")
                     for piece, (start, n) in enumerate(cut(len(ids), capacity)):
                         own = ids[start : start + n].tobytes()

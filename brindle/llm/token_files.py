@@ -60,8 +60,8 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         with store.open_output_stream(f"{own}.bin") as out:
             for batch in slices(batches):
                 texts = batch.column("text").to_pylist()
-                for at in range(0, len(texts), 512):
-                    encoded = [e + end for e in encoder.encode(texts[at : at + 512])]
+                for at in range(0, len(texts), 1024):
+                    encoded = [e + end for e in encoder.encode(texts[at : at + 1024])]
                     counts += [len(e) // width for e in encoded]
                     out.write(b"".join(encoded))
                 for d in batch.column("doc_id").to_pylist():
