@@ -16,7 +16,7 @@ import numpy as np
 
 #: A memo of more entries or characters than these is cut back, and so is any at the end of a task, to the
 #: cuts met first: frequent ones are met early, and idle worker processes hold little.
-MEMO_ENTRIES, MEMO_CHARS, MEMO_KEPT = 600_000, 10_000_000, 300_000
+MEMO_ENTRIES, MEMO_CHARS, MEMO_KEPT = 600_000, 10_000_000, 400_000
 
 _L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _CUT = re.compile(
@@ -68,11 +68,11 @@ class CutMemo:
         self.values, self.ends = np.zeros(0, self.dtype), np.zeros(0, np.int64)
 
     def trim(self) -> None:
-        """Keep the cuts with the smallest numbers."""
-        kept = _Numbers()
-        kept.update(itertools.islice(self.numbers.items(), MEMO_KEPT))
-        self.numbers, self.chars = kept, sum(map(len, kept))
-        if self.chars > MEMO_CHARS // 2:
+        """Keep the cuts with the smallest numbers; none, if these are long."""
+        pop = self.numbers.popitem  # the newest first
+        for _ in range(len(self.numbers) - MEMO_KEPT):
+            self.chars -= len(pop()[0])
+        if self.chars > MEMO_CHARS * 3 // 4:
             self.numbers, self.chars = _Numbers(), 0
         self.ends = self.ends[: len(self.numbers)].copy()
         self.values = self.values[: self.ends[-1] if len(self.ends) else 0].copy()
@@ -104,7 +104,8 @@ class CutMemo:
         lens = self.ends[which] - starts
         stops = np.cumsum(lens)
         total = int(stops[-1]) if len(stops) else 0
-        data = self.values[np.arange(total) + np.repeat(starts - stops + lens, lens)].tobytes()
+        small = np.int32 if total + len(self.values) < 1 << 31 else np.int64
+        data = self.values[np.arange(total, dtype=small) + np.repeat((starts - stops + lens).astype(small), lens)].tobytes()
         at = np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)] * self.dtype.itemsize
         at = at.tolist()
         return [data[a:b] for a, b in zip(at, at[1:])]
