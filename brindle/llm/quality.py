@@ -9,9 +9,11 @@ below the highest order) and kept in arrays sorted by hash, with probabilities a
 A text has a log perplexity per word and one per character. Each must lie in its language's band: the
 median of all texts of the language, give or take BAND robust deviations for the text's number of words.
 Texts of symbols exceed the upper bands; tables and the like fall below those per word and exceed those per character.
-Medians and deviations come from histograms of fixed size over all texts that pass the base rules.
+Medians and deviations come from histograms, fixed in size for each language, over all texts that pass the base rules.
 
-Cases: a null text has no words and fails the base rules. Null and unlisted languages share one band. Rows
+Letters above U+024F share one class: texts in such scripts are judged by their words' lengths, spaces and stops only.
+
+Cases: a null text has no words and fails the base rules. Every value of the language has a band, and so has null. Rows
 that repeat stay rows of their own. A language without any text that passes the base rules has no band. An empty
 table gives an empty result. Other columns are ignored by :func:`judge` and returned by :func:`keep_good`.
 """
@@ -23,13 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.work import keep_rows, materialize, slices
+from brindle.llm.work import BROADCAST_ROWS, keep_rows, materialize, slices
 
-#: Languages with bands of their own; all others share theirs.
-LANGUAGES = ("de", "en", "es", "fr")
 ORDER = 4
 SYMBOLS = 32
 SPACE, LINE, UPPER, STOP, SYMBOL, OTHER = range(26, 32)
@@ -39,6 +39,8 @@ BASE_SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT, WINDOW = 10, 20, 5
 #: Robust deviations that a log perplexity may lie below and above its language's median.
 BAND = 4.0
+#: A language of fewer texts deviates at least as all texts do from their languages' medians.
+FEW = 30
 #: Bins a unit in the histograms, and the largest value told apart.
 BINS, TOP = 2000, 60
 #: Characters scored at once.
@@ -277,30 +279,40 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
 
 
-def _middle(values: DataFrame, column: Column) -> dict[str, float]:
-    """Per language the median of ``column``, to 1 / BINS: of the histograms, fixed in size, that Spark counts."""
+def _histogram(values: DataFrame, column: Column) -> DataFrame:
+    """(band, bin, n): fixed in size for each language."""
     binned = values.select("band", F.least(F.floor(column * BINS), F.lit(TOP * BINS)).alias("bin"))
-    out = {}
-    for band, rows in binned.groupBy("band", "bin").count().toPandas().groupby("band"):
-        rows = rows.sort_values("bin")
-        below = rows["count"].cumsum().to_numpy()
-        out[band] = (float(rows["bin"].to_numpy()[np.searchsorted(below, below[-1] / 2)]) + 0.5) / BINS
-    return out
+    return binned.groupBy("band", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _middle(histogram: DataFrame, *keys: str) -> DataFrame:
+    """(keys, texts, middle): the median of each histogram, to 1 / BINS."""
+    own = Window.partitionBy(*keys)
+    ranked = histogram.withColumn("below", F.sum("n").over(own.orderBy("bin"))).withColumn("texts", F.sum("n").over(own))
+    return ranked.where("2 * below >= texts").groupBy(*keys, "texts").agg(((F.min("bin") + 0.5) / BINS).alias("middle"))
+
+
+def _with_bands(rows: DataFrame, bands: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``bands`` (b_band, ...), which is materialized and broadcast unless it is large."""
+    side = F.broadcast(bands) if bands.count() <= BROADCAST_ROWS else bands
+    return rows.join(side, F.col("band").eqNullSafe(F.col("b_band")), "left").drop("b_band")
 
 
-def find_bands(scored: DataFrame) -> list[tuple]:
-    """(band, then median and deviation of each measure). A deviation is that of a text of one word."""
+def find_bands(scored: DataFrame) -> DataFrame:
+    """(b_band, then median and deviation of each measure). A deviation is that of a text of one word."""
     good = scored.where(~base_failed())
-    out: dict[str, list] = {}
+    out = None
     for m in MEASURES:
-        middle = _middle(good, F.col(m))
-        if not middle:
-            return []
-        at = F.create_map(*(F.lit(x) for kv in middle.items() for x in kv))[F.col("band")]
-        spread = _middle(good, F.abs(F.col(m) - at) * F.sqrt("n_words"))
-        for band in middle:
-            out.setdefault(band, [band]).extend([middle[band], 1.4826 * spread[band]])
-    return [tuple(x) for x in out.values()]
+        mid = _middle(_histogram(good, F.col(m)), "band").select(F.col("band").alias("b_band"), F.col("middle").alias(f"{m}_mid"))
+        mid = materialize(mid, "medians")
+        spread = _histogram(_with_bands(good, mid), F.abs(F.col(m) - F.col(f"{m}_mid")) * F.sqrt("n_words"))
+        spread = materialize(spread, "spreads")
+        every = _middle(spread.groupBy("bin").agg(F.sum("n").alias("n"))).select(F.col("middle").alias("every"))
+        own = _middle(spread, "band").crossJoin(F.broadcast(every))
+        dev = 1.4826 * F.when(F.col("texts") < FEW, F.greatest("middle", "every")).otherwise(F.col("middle"))
+        both = mid.join(own.select("band", dev.alias(f"{m}_dev")), F.col("b_band").eqNullSafe(F.col("band"))).drop("band")
+        out = both if out is None else out.withColumnRenamed("b_band", "band").join(both, F.col("band").eqNullSafe(F.col("b_band"))).drop("band")
+    return materialize(out, "bands")
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -308,11 +320,8 @@ def judge(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(build_model(materialize(count_ngrams(docs), "ngrams")))
     scored = materialize(_texts(docs).mapInArrow(_scorer(model), SCORED), "scored")
-    listed = F.col("lang").isin(*LANGUAGES)
-    scored = scored.withColumn("band", F.when(listed, F.col("lang")).otherwise("")).withColumn("base_failed", base_failed())
-    columns = ", ".join(f"{m}_mid double, {m}_dev double" for m in MEASURES)
-    bands = spark.createDataFrame(find_bands(scored), f"b_band string, {columns}")
-    met = scored.join(F.broadcast(bands), F.col("band") == F.col("b_band"), "left")
+    scored = scored.withColumn("band", F.col("lang")).withColumn("base_failed", base_failed())
+    met = _with_bands(scored, find_bands(scored))
     inside = F.lit(True)
     for m in MEASURES:
         reach = BAND * F.col(f"{m}_dev") / F.sqrt(F.greatest("n_words", F.lit(1)))

@@ -52,6 +52,16 @@ def test_bands_reject_symbol_texts_and_keep_clean_ones(spark):
     assert good.columns == docs.columns and {r.doc_id for r in good.collect()} == kept
 
 
+def test_every_language_has_a_band(spark):
+    cyrillic = {ord(a): chr(0x430 + i) for i, a in enumerate("abcdefghijklmnopqrstuvwxyz")}
+    rows = [(i, prose(200 + i % 50, i), "xx") for i in range(300)]
+    rows += [(1000 + i, prose(200 + i, 500 + i).lower().translate(cyrillic), ("ru", None, "")[i % 3]) for i in range(90)]
+    rows += [(2000 + i, prose(200 + i, 700 + i), "few") for i in range(3)] + [(3000, prose(200, 800), "one")]
+    judged = op.judge(documents(spark, rows)).collect()
+    assert sum(r.kept for r in judged if 1000 <= r.doc_id < 2000) >= 85
+    assert all(r.kept for r in judged if r.doc_id >= 2000) and len(judged) == len(rows)
+
+
 @pytest.fixture(scope="module")
 def model():
     code, _ = op.codes([prose(3000, 5), "Other text. WITH caps\n12 | 34"])
