@@ -2,8 +2,9 @@
 
 The automaton holds every sequence of words of every template. Reading a text's words it gives, at each word, the
 length of the longest sequence that ends there and occurs in some template. Matches that cannot be extended
-and have at least MIN_MATCH words are chained: along the text and along one template, over bounded gaps in both,
-so that names, years and small changes do not break a notice. A chain that covers enough of its template labels the text.
+and have at least MIN_MATCH words count for the templates that hold them, and their shorter endings for those that hold no more.
+They are chained: along the text and along one template, over bounded gaps in both,
+so that names, years, small changes and words of another template do not break a notice. A chain that covers enough of its template labels the text.
 
 The base phrases are templates as well; their places are counted besides.
 
@@ -139,6 +140,7 @@ class Automaton:
             if self.length[self.link[s]] >= MIN_MATCH:
                 places[self.link[s]] |= places[s]
         self.places = [tuple(sorted(x)) for x in places]
+        self._shorter: dict[int, list[tuple[int, int, int]]] = {}
 
     def _add(self, length: int, link: int, step: dict, own: list) -> int:
         self.length.append(length)
@@ -188,6 +190,18 @@ class Automaton:
         if length >= MIN_MATCH:
             yield len(words), length, state
 
+    def credits(self, state: int, length: int) -> Iterator[tuple[int, int, int]]:
+        """(template, end in it, words) of a match and of its endings of at least MIN_MATCH words: at each place the longest."""
+        yield from ((t, t_end, length) for t, t_end in self.places[state])
+        if state not in self._shorter:
+            found, seen, s = [], set(self.places[state]), self.link[state]
+            while s > 0 and self.length[s] >= MIN_MATCH:
+                found += [(t, t_end, self.length[s]) for t, t_end in self.places[s] if (t, t_end) not in seen]
+                seen.update(self.places[s])
+                s = self.link[s]
+            self._shorter[state] = found
+        yield from self._shorter[state]
+
 
 class Scanner:
     """The automaton, the numbers of its words and the base phrases in these."""
@@ -213,16 +227,16 @@ class Scanner:
         best: dict[int, tuple[int, int, int]] = {}
         recent: dict[int, list[tuple[int, int, int, int]]] = {}  # (text end, template end, covered, text start)
         for end, length, state in found:
-            begin = end - length
-            for t, t_end in self.automaton.places[state]:
-                t_begin = t_end - length
-                kept = [c for c in recent.get(t, ()) if begin - c[0] <= GAP]
-                covered, start = length, begin
+            for t, t_end, n in self.automaton.credits(state, length):
+                begin, t_begin = end - n, t_end - n
+                kept = [c for c in recent.get(t, ()) if end - length - c[0] <= GAP]
+                covered, start = n, begin
                 for c_end, c_t_end, c_covered, c_start in kept:
                     # Overlaps, in the text or in the template, count once.
                     lap = max(c_end - begin, c_t_end - t_begin, 0)
-                    if lap < length and t_begin - c_t_end <= GAP and c_t_end < t_end and c_covered + length - lap > covered:
-                        covered, start = c_covered + length - lap, c_start
+                    near = begin - c_end <= GAP and t_begin - c_t_end <= GAP
+                    if lap < n and near and c_t_end < t_end and c_covered + n - lap > covered:
+                        covered, start = c_covered + n - lap, c_start
                 kept.append((end, t_end, covered, start))
                 recent[t] = kept
                 if covered > best.get(t, (0,))[0]:

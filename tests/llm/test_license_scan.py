@@ -44,6 +44,28 @@ def test_base_columns_and_labels(spark):
     assert 0.75 < got[102][0].score < 1.0 and all(r.labels == "" for d in (8, 9, 10) for r in got[d])
 
 
+def test_words_of_two_templates():
+    cc = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License."
+    rows = op.scanner().scan([cc.format("NonCommercial-ShareAlike"), cc.format("ShareAlike-NonCommercial"), cc.format("NonCommercial"), cc.format("ShareAlike")])
+    assert [(r[5], r[6]) for r in rows] == [("cc-by-nc", 1.0), ("cc-by-sa", 1.0), ("cc-by-nc", 1.0), ("cc-by-sa", 1.0)]
+
+
+def test_credits_against_brute_force():
+    r = random.Random(4)
+    for _ in range(200):
+        sequences = [[r.randrange(1, 3) for _ in range(r.randrange(1, 10))] for _ in range(3)]
+        text = [r.randrange(1, 3) for _ in range(15)]
+        a = op.Automaton(sequences)
+        for end, n, state in a.matches(text):
+            want = set()
+            for t, s in enumerate(sequences):
+                for e in range(1, len(s) + 1):
+                    k = max(k for k in range(min(e, n) + 1) if s[e - k : e] == text[end - k : end])
+                    want |= {(t, e, k)} if k >= op.MIN_MATCH else set()
+            got = list(a.credits(state, n))
+            assert set(got) == want and len(got) == len(want)
+
+
 def test_matching_statistics_against_brute_force():
     r = random.Random(3)
     for _ in range(300):
