@@ -17,6 +17,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import itertools
 from collections.abc import Iterator
@@ -222,9 +223,11 @@ class Scanner:
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.vocabulary.get, words, itertools.repeat(0)), dtype=np.int32, count=len(words))
 
-    def chains(self, found: list[tuple[int, int, int]]) -> dict[int, tuple[int, int, int]]:
-        """Per template its best chain: (words covered, first word, end) in the text. ``found``: matches in order of their ends."""
-        best: dict[int, tuple[int, int, int]] = {}
+    def chains(self, found: list[tuple[int, int, int]]) -> tuple[dict[int, int], list[tuple[int, int, int]]]:
+        """Per template the words that its best chain covers, and (template, first word, end) in the text of all chains that
+        cover enough. Of chains of one template that overlap, the one that covers more stays. ``found``: matches in order of their ends."""
+        best: dict[int, int] = {}
+        enough: dict[int, list[tuple[int, int, int]]] = {}  # (-covered, text start, text end)
         recent: dict[int, list[tuple[int, int, int, int]]] = {}  # (text end, template end, covered, text start)
         for end, length, state in found:
             for t, t_end, n in self.automaton.credits(state, length):
@@ -239,9 +242,18 @@ class Scanner:
                         covered, start = c_covered + n - lap, c_start
                 kept.append((end, t_end, covered, start))
                 recent[t] = kept
-                if covered > best.get(t, (0,))[0]:
-                    best[t] = covered, start, end
-        return best
+                best[t] = max(covered, best.get(t, 0))
+                if covered >= self.needed(t):
+                    enough.setdefault(t, []).append((-covered, start, end))
+        spans = []
+        for t, own in enough.items():
+            taken: list[tuple[int, int]] = []
+            for _, start, end in sorted(own):
+                at = bisect.bisect(taken, (start, end))
+                if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or end <= taken[at][0]):
+                    taken.insert(at, (start, end))
+            spans += [(t, start, end) for start, end in taken]
+        return best, spans
 
     def scan(self, texts: list[str]) -> list[tuple]:
         """Per text: n_words, n_base, first_word, last_word, base labels, labels, score, spans of (label, first, end)."""
@@ -270,11 +282,11 @@ class Scanner:
         out = []
         for d, n in enumerate(sizes.tolist()):
             own = places.get(d, [])
-            best = self.chains(found[d]) if d in found else {}
-            spans = sorted((self.labels[t], start, end) for t, (covered, start, end) in best.items() if covered >= self.needed(t))
+            best, whole = self.chains(found[d]) if d in found else ({}, [])
+            spans = sorted((self.labels[t], start, end) for t, start, end in whole)
             base = {label for _, label in own}
             labels = base | {label for label, _, _ in spans}
-            score = max((min(1.0, covered / self.sizes[t]) for t, (covered, _, _) in best.items()), default=0.0)
+            score = max((min(1.0, covered / self.sizes[t]) for t, covered in best.items()), default=0.0)
             at = [a for a, _ in own]
             out.append((n, len(own), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score, spans))
         return out

@@ -50,6 +50,15 @@ def test_words_of_two_templates():
     assert [(r[5], r[6]) for r in rows] == [("cc-by-nc", 1.0), ("cc-by-sa", 1.0), ("cc-by-nc", 1.0), ("cc-by-sa", 1.0)]
 
 
+def test_repeated_notices_have_a_span_each():
+    notice = "Licensed under CC BY-NC 4.0. "
+    many, apart = op.scanner().scan([notice * 3000, f"{prose(40)} {NOTICE} {prose(40)} {NOTICE} {notice}"])
+    size = len(words(notice))
+    assert set(many[-1]) == {("cc-by-nc", size * i, size * (i + 1)) for i in range(3000)}
+    n = len(words(NOTICE))
+    assert [(x, b - a) for x, a, b in apart[-1] if b - a > 8] == [("mit", n)] * 2 and ("cc-by-nc", apart[0] - size, apart[0]) in apart[-1]
+
+
 def test_credits_against_brute_force():
     r = random.Random(4)
     for _ in range(200):
