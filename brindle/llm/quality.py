@@ -332,4 +332,4 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    return keep_rows(docs, judge(docs))
+    return keep_rows(docs, judge(docs), ("lang",))

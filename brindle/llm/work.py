@@ -8,13 +8,13 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A table of keys of at most so many rows (some 32 bytes each) is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
-#: A column name of ours that no table has.
-TAG = "__brindle_tag"
+#: Column names of ours that no table has.
+TAG, KEEPS, NUMBER = "__brindle_tag", "__brindle_keeps", "__brindle_number"
 
 
 #: Folders of sessions in which ``spark.checkpoint.dir`` is unset, by application.
@@ -63,25 +63,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``verdicts`` (doc_id, tag, kept) keeps, with all their columns.
+def keep_rows(docs: DataFrame, verdicts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of ``docs`` that ``verdicts`` (doc_id, tag, ``by`` as strings, kept) keeps, with all their columns.
 
-    ``verdicts`` has a row per row of ``docs``; ``tag`` is the xxhash64 of the text, a null one being empty. Of rows
-    equal in both, as many stay as are kept. Only dropped keys are joined, and the texts move only if these
-    are too many to broadcast."""
-    keys = verdicts.groupBy("doc_id", "tag").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("kept").cast("int")).alias("keeps"))
-    gone = keys.where("keeps < rows").select(F.col("doc_id").alias("x_id"), F.col("tag").alias("x_tag"), "keeps")
+    ``verdicts`` has a row per row of ``docs``; ``tag`` is the xxhash64 of the text, a null one being empty. ``by``: other
+    columns that a verdict depends on. Of rows equal in all of these, as many stay as are kept. Only dropped keys are
+    joined, and the texts move only if these are too many to broadcast."""
+    keys = verdicts.groupBy("doc_id", "tag", *by).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("kept").cast("int")).alias("keeps"))
+    others = [F.col(c).alias(f"x_{c}") for c in by]
+    gone = keys.where("keeps < rows").select(F.col("doc_id").alias("x_id"), F.col("tag").alias("x_tag"), *others, F.col("keeps").alias(KEEPS))
     gone = materialize(gone, "dropped")
     side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     tagged = docs.withColumn(TAG, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     met = (F.col(TAG) == F.col("x_tag")) & F.col("doc_id").cast("long").eqNullSafe(F.col("x_id"))
+    for c in by:
+        met = met & F.col(c).cast("string").eqNullSafe(F.col(f"x_{c}"))
     kept = tagged.join(side, met, "left_anti").select(*docs.columns)
-    repeated = gone.where("keeps > 0")
+    repeated, equal = gone.where(F.col(KEEPS) > 0), ["doc_id", TAG, *by]
     if not repeated.head(1):
         return kept
-    # Rows that repeat whole: of such a key one row at most is kept.
-    ones = tagged.join(repeated, met, "left_semi").dropDuplicates(["doc_id", TAG])
-    return kept.unionByName(ones.select(*docs.columns))
+    ones = tagged.join(repeated.where(F.col(KEEPS) == 1), met, "left_semi").dropDuplicates(equal)
+    kept = kept.unionByName(ones.select(*docs.columns))
+    more = repeated.where(F.col(KEEPS) > 1)
+    if not more.head(1):
+        return kept
+    numbered = tagged.join(more, met).withColumn(NUMBER, F.row_number().over(Window.partitionBy(*equal).orderBy(TAG)))
+    return kept.unionByName(numbered.where(F.col(NUMBER) <= F.col(KEEPS)).select(*docs.columns))
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:

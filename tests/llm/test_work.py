@@ -35,3 +35,11 @@ def test_keep_rows_with_nulls_and_whole_repeats(spark):
     one = verdicts.where("doc_id = 1").limit(1).selectExpr("doc_id", "tag", "true AS kept").unionByName(verdicts.where("doc_id = 1").limit(1))
     rest = one.unionByName(verdicts.where("doc_id <> 1 OR doc_id IS NULL"))
     assert work.keep_rows(docs, rest).where("doc_id = 1").count() == 1
+
+
+def test_keep_rows_whose_verdicts_depend_on_another_column(spark):
+    docs = spark.createDataFrame([(1, "a", "en"), (1, "a", "de"), (1, "a", None), (1, "a", None), (2, "b", "en")], "doc_id long, text string, lang string")
+    verdicts = docs.selectExpr("doc_id", "xxhash64(text) AS tag", "lang", "coalesce(lang, '') <> 'de' AS kept")
+    got = work.keep_rows(docs, verdicts, ("lang",)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, docs.where("coalesce(lang, '') <> 'de'").collect()))
+    assert work.keep_rows(docs, verdicts).where("doc_id = 1").count() == 3
