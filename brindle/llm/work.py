@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import itertools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -63,6 +64,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, int]:
+    """The rows of ``df`` with ``number``, their place from 0 in the order of ``keys``, and how many they are.
+
+    Sorted partitions are written with each row's place in its partition; the sizes before a partition, a row per task, are added."""
+    order = F.struct(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
+    own = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("place", order)
+    own = materialize(own.select(*df.columns, F.col("place.part").alias("part"), F.col("place.row").bitwiseAND((1 << 33) - 1).alias("row")), name)
+    sizes = sorted(own.groupBy("part").agg(F.max("row") + 1).collect())
+    bases = list(itertools.accumulate((n for _, n in sizes), initial=0))
+    table = df.sparkSession.createDataFrame([(p, base) for (p, _), base in zip(sizes, bases)], "b_part int, base long")
+    met = own.join(F.broadcast(table), F.col("part") == F.col("b_part"))
+    return met.select(*df.columns, (F.col("row") + F.col("base")).alias("number")), bases[-1]
+
+
 def keep_rows(docs: DataFrame, verdicts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``docs`` that ``verdicts`` (doc_id, tag, ``by`` as strings, kept) keeps, with all their columns.
 
