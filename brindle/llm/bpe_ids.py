@@ -3,6 +3,9 @@
 Texts are cut only where the byte-level pattern always ends a pre-token, whatever stands around: before a
 space that a non-space follows, between a Latin letter and stops, and around a single line feed between
 stops and a letter. What lies between such cuts is encoded by the library once and remembered.
+
+Ids are those of the library as its file configures it: strings of added tokens (such as ``<|endoftext|>``) in a text get those
+tokens' ids, and what stands before and after one is encoded on its own.
 """
 
 from __future__ import annotations
@@ -31,18 +34,20 @@ _WORD = re.compile(rf" [{_L}]+")
 @functools.lru_cache(maxsize=1)
 def _library(path: str):
     """Loaded once a worker process: the tokenizer; the same for texts of spaced words alone, which it need not
-    search by the full pattern; and which ids begin with a space."""
+    search by the full pattern; which ids begin with a space; and the strings of added tokens."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     from tokenizers import pre_tokenizers as pre
 
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True  # their strings in a text are ordinary text
     words = Tokenizer(library.model)  # the same model, not a copy
     words.pre_tokenizer = pre.Sequence([pre.Split(" ", "merged_with_next"), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
     opens = np.zeros(library.get_vocab_size(), dtype=bool)
     opens[[i for token, i in library.get_vocab().items() if token[0] == "\u0120"]] = True
-    return library, words, opens
+    added = library.get_added_tokens_decoder().values()
+    if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added):
+        raise ValueError("added tokens that take in what stands around them")
+    return library, words, opens, tuple(sorted((t.content for t in added), key=len, reverse=True))
 
 
 class _Numbers(dict):
@@ -77,6 +82,9 @@ class CutMemo:
         self.ends = self.ends[: len(self.numbers)].copy()
         self.values = self.values[: self.ends[-1] if len(self.ends) else 0].copy()
 
+    def cut(self, text: str) -> list[str]:
+        return self.pattern.findall(text)
+
     def find(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The values of ``cuts``, one after another, and how many each has."""
         raise NotImplementedError
@@ -85,7 +93,7 @@ class CutMemo:
         """The numbers of all texts' cuts, and how many cuts each text has."""
         if len(self.numbers) > MEMO_ENTRIES or self.chars > MEMO_CHARS:
             self.trim()
-        cuts = [self.pattern.findall(t) for t in texts]
+        cuts = [self.cut(t) for t in texts]
         sizes = [len(c) for c in cuts]
         get = self.numbers.__getitem__
         which = np.fromiter(map(get, itertools.chain.from_iterable(cuts)), dtype=np.int64, count=sum(sizes))
@@ -115,9 +123,16 @@ class Encoder(CutMemo):
     """Texts to little-endian id bytes; ``dtype`` is the narrowest unsigned type that holds every id."""
 
     def __init__(self, path: str):
-        self.library, self.words, self.opens = _library(path)
+        self.library, self.words, self.opens, self.added = _library(path)
+        self.around = re.compile(f"({'|'.join(map(re.escape, self.added))})") if self.added else None
         super().__init__(_CUT, np.dtype("<u2" if len(self.opens) <= 1 << 16 else "<u4"))
 
+    def cut(self, text: str) -> list[str]:
+        if any(t in text for t in self.added):
+            parts = self.around.split(text)  # every second one is an added token
+            return [x for k, part in enumerate(parts) for x in ([part] if k & 1 else self.pattern.findall(part))]
+        return self.pattern.findall(text)
+
     def id_bytes(self, i: int) -> bytes:
         return self.dtype.type(i).tobytes()
 

@@ -9,7 +9,8 @@ into fewer partitions and packed again, as long as that saves bins. Partly fille
 partitions join the exchange too, since bounds of single partitions say nothing about their union.
 
 Cases: a null text counts as empty and yields one piece, its end id. Rows that repeat a doc_id, and null
-doc_ids, are packed as documents of their own. An empty table gives no pieces. Other columns are ignored.
+doc_ids, are packed as documents of their own. Strings of added tokens in a text get those tokens' ids. A very long text is
+encoded by one task and cut into many pieces. An empty table gives no pieces. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,8 +11,8 @@ no task waits for another. Files are written under a task-private name and renam
 that runs twice leaves one whole file. Local files are memory-mapped when read; others are read by range.
 
 Cases: a null text counts as empty and yields its end id alone. Null doc_ids come first. Rows that repeat a
-doc_id keep their own entries, ordered by their texts. An empty table gives no documents. Other columns are
-ignored.
+doc_id keep their own entries, ordered by their texts. Strings of added tokens in a text get those tokens' ids. A very
+long text is encoded whole by one task, in pre-tokens. An empty table gives no documents. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -73,7 +73,6 @@ def test_packing_of_a_table(spark, a_task):
 
 def test_pieces_of_documents(spark):
     t = Tokenizer.from_file(bpe_ids.default_path())
-    t.encode_special_tokens = True
     got = defaultdict(list)
     for x in queries.packed_documents(documents(spark, EDGES)).collect():
         got[x.doc_id].append((x.piece, x.start, x.length, x.ids_crc32))

@@ -12,9 +12,7 @@ from tests.llm.common import EDGES, documents, empty
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(bpe_ids.default_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(bpe_ids.default_path())
 
 
 def test_ids_are_the_library_s(library):
@@ -26,6 +24,16 @@ def test_ids_are_the_library_s(library):
     assert got == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_are_the_library_s(library):
+    e = bpe_ids.Encoder(bpe_ids.default_path())
+    parts = [x for t in library.get_added_tokens_decoder().values() for x in (t.content, t.content[:-1], t.content[1:])]
+    assert parts
+    texts = ["hello <|endoftext|> world", *parts, *(a + t + b for t in parts for a in ("", " ", "x", "x ", "\n", "x.", " x  ", "<", "é") for b in ("", " ", "y", " y", "\n", ".", "  y", "|>", "ß"))]
+    texts += [t + t for t in parts] + [f"a{t} {t}b{t}" for t in parts]
+    assert [np.frombuffer(b, e.dtype).tolist() for b in e.encode(texts)] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert np.frombuffer(e.encode(texts[:1])[0], e.dtype).tolist() == [31373, 220, 50256, 995]
+
+
 def test_a_full_memo_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe_ids, "MEMO_ENTRIES", 3)
     e = bpe_ids.Encoder(bpe_ids.default_path())
