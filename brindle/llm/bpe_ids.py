@@ -14,12 +14,15 @@ import functools
 import itertools
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
 #: A memo of more entries or characters than these is cut back, and so is any at the end of a task, to the
 #: cuts met first: frequent ones are met early, and idle worker processes hold little.
 MEMO_ENTRIES, MEMO_CHARS, MEMO_KEPT = 600_000, 10_000_000, 400_000
+#: Characters whose cuts are held at once, unless one cut is longer.
+RUN = 4_000_000
 
 _L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _CUT = re.compile(
@@ -65,7 +68,9 @@ class _Numbers(dict):
 
 class CutMemo:
     """Values of texts' cuts, each found once and remembered: the number of each cut, and by number the place of
-    its values in one flat array."""
+    its values in one flat array. ``boundary`` finds places in a text at which a cut always begins."""
+
+    boundary: re.Pattern
 
     def __init__(self, pattern: re.Pattern, dtype: np.dtype):
         self.pattern, self.dtype = pattern, dtype
@@ -105,8 +110,36 @@ class CutMemo:
             self.values = np.concatenate([self.values, values])
         return which, sizes
 
+    def runs(self, texts: list[str]) -> Iterator[list[tuple[int, str]]]:
+        """(text, segment) of all texts in lists of some RUN characters; long texts in segments that end where any cut would."""
+        run, held = [], 0
+        for k, text in enumerate(texts):
+            at, size = 0, len(text)
+            while at < size or not size:
+                end = size
+                if size - at > RUN:
+                    found = self.boundary.search(text, at + RUN // 2)
+                    end = found.start() if found else size
+                run.append((k, text[at:end] if end - at < size else text))
+                held += end - at
+                at = end
+                if held >= RUN:
+                    yield run
+                    run, held = [], 0
+                if not size:
+                    break
+        if run:
+            yield run
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The values of each text, as bytes."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        for run in self.runs(texts):
+            for (k, _), data in zip(run, self._encode([segment for _, segment in run])):
+                out[k].append(data)
+        return [parts[0] if len(parts) == 1 else b"".join(parts) for parts in out]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         which, sizes = self.number(texts)
         starts = np.concatenate([[0], self.ends])[which]
         lens = self.ends[which] - starts
@@ -122,6 +155,8 @@ class CutMemo:
 class Encoder(CutMemo):
     """Texts to little-endian id bytes; ``dtype`` is the narrowest unsigned type that holds every id."""
 
+    boundary = re.compile(r" (?=\S)")
+
     def __init__(self, path: str):
         self.library, self.words, self.opens, self.added = _library(path)
         self.around = re.compile(f"({'|'.join(map(re.escape, self.added))})") if self.added else None

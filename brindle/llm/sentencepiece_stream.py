@@ -2,7 +2,8 @@
 
 The search keeps, for each position of a window as long as the longest piece, the best path that ends there. As
 soon as all paths that can still be extended run through one boundary, the ids before it are committed and
-forgotten, so that a text of any length needs a window of memory only.
+forgotten, so that the search needs a window of memory only for a text of any length: twice the longest piece, unless paths
+differ for longer.
 
 Two kinds of model share the search. For ``unigram`` models a path's score is the sum of its pieces' scores. For
 ``bpe`` models a step is admissible if merging its two pieces' characters by score gives just these two
@@ -10,9 +11,11 @@ pieces; each position then has exactly one admissible path, and it is the merge
 Characters that no piece has fall back to their UTF-8 bytes.
 
 No piece holds a space after another character, and none a line feed. All paths therefore converge before each run of spaces and
-around each line feed. :class:`Codec` encodes what lies between once and remembers it.
+around each line feed. :class:`Codec` feeds the search what lies between such places once and remembers the ids that it commits
+there; longer runs of characters are fed part by part and not remembered. Texts are taken in segments of bounded length.
 
-Cases: a null or empty text has no ids and decodes to the empty text. Rows that repeat are rows of their own. An empty
+Cases: a null or empty text has no ids and decodes to the empty text. A very long text, with spaces or without, needs memory for
+itself and its ids. Rows that repeat are rows of their own. An empty
 table gives an empty result. Other columns are ignored. A text's own U+2581 decodes to a space, as the
 library has it.
 """
@@ -24,7 +27,7 @@ import heapq
 import itertools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,8 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Numbers from here on stand for unknown characters, by their code points.
 UNKNOWN = 1 << 24
+#: Characters fed at once, and of the longest cut that is remembered.
+FEED, LONG = 1 << 16, 256
 #: Cuts of a text whose ends every path runs through.
 _CUT = re.compile(rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
@@ -75,6 +80,8 @@ class Pieces:
                 if c not in node:
                     node[c] = ({}, self.ids.get(s[: k + 1], -1))
                 node = node[c][0]
+        #: Neighbouring characters of pieces: where two others meet, no piece and no merge reaches across.
+        self.joined = {s[k : k + 2] for s in self.ids for k in range(len(s) - 1)}
         self.by_score = {s: self.scores[i] for s, i in self.ids.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.alone: dict[int, bool] = {}
@@ -121,63 +128,94 @@ class Pieces:
 
 
 class StreamingViterbi:
-    """Ids of a stream of characters, with spaces as U+2581, committed as early as all paths agree."""
+    """Ids of a stream of characters, with spaces as U+2581, committed as early as all paths agree.
+
+    Positions count from the committed boundary. The window holds those since then: a path that can still be extended begins
+    a piece at one of them, or ends at the last."""
 
     def __init__(self, pieces: Pieces, kind: str = "bpe"):
-        self.pieces, self.kind = pieces, kind
-        self.at = self.committed = 0
-        #: By end position: (score, start position, piece number); the committed boundary has none.
-        self.best: dict[int, tuple[float, int, int]] = {0: (0.0, -1, -1)}
-        self.open: list[tuple[int, dict]] = []  # start positions, and the trie nodes reached from them
+        self.pieces, self.bpe = pieces, kind == "bpe"
+        #: By position: where the piece that ends there starts, its number, and its path's score.
+        self.starts, self.numbers, self.scores = [0], [-1], [0.0]
+        self.open: list[tuple[int, dict]] = []  # start positions, ascending, and the trie nodes reached from them
+        self.last = ""
+        #: Characters and ids committed; for each commit where it ended, as both.
+        self.chars = self.ids = 0
+        self.commits: list[tuple[int, int]] = []
 
     def feed(self, text: str) -> list[int]:
         """Read ``text`` and return the ids that it commits."""
         done: list[int] = []
+        pieces, bpe = self.pieces, self.bpe
+        trie, ids, joined, limit = pieces.trie, pieces.ids, pieces.joined, 2 * pieces.longest
+        pairs, admissible, piece_scores = pieces.pairs, pieces.admissible, pieces.scores
+        starts, numbers, scores, open_, last = self.starts, self.numbers, self.scores, self.open, self.last
         for c in text:
-            self._step(c)
-            if self.at - self.committed >= 2 * self.pieces.longest:
-                done += self._commit()
+            at = len(starts)
+            if at == 1 and last + c not in joined:
+                numbers[0] = -1  # no piece, and no merge, reaches over the boundary
+            open_.append((at - 1, trie))
+            reached, number, begin, best = [], -1, at - 1, 0.0
+            for start, node in open_:
+                if (step := node.get(c)) is None:
+                    continue
+                node, i = step
+                if node:
+                    reached.append((start, node))
+                if i < 0:
+                    continue
+                if bpe:
+                    if number < 0:
+                        before = numbers[start]
+                        if (good := pairs.get((before, i))) is None:
+                            good = admissible(before, i)
+                        if good:
+                            number, begin = i, start
+                elif number < 0 or scores[start] + piece_scores[i] > best:
+                    number, begin, best = i, start, scores[start] + piece_scores[i]
+            if c not in ids:
+                i = UNKNOWN + ord(c)
+                if bpe:
+                    if number < 0 and admissible(numbers[at - 1], i):
+                        number = i
+                elif number < 0 or scores[at - 1] + pieces.unknown_score > best:
+                    number, begin, best = i, at - 1, scores[at - 1] + pieces.unknown_score
+            if number < 0:
+                raise AssertionError("no admissible piece ends here")
+            starts.append(begin)
+            numbers.append(number)
+            scores.append(best)
+            open_ = reached
+            if not reached:
+                if begin and begin == at - 1:
+                    self._commit(begin, done)
+                    at = 1
+                boundary = at
+            elif begin == at - 1 and reached[0][0] == begin:
+                boundary = begin
+            elif at >= limit:
+                boundary = self._meeting(open_)
+            else:
+                boundary = 0
+            if boundary:
+                self._commit(boundary, done)
+                if boundary == at - 1 and last + c not in joined:
+                    numbers[0] = -1
+                open_ = [(start - boundary, node) for start, node in open_]
+            last = c
+        self.open, self.last = open_, last
         return done
 
     def finish(self) -> list[int]:
-        """The ids not yet committed; the stream ends."""
-        return self._emit(self.at)
-
-    def _step(self, c: str) -> None:
-        at, best, pieces = self.at, self.best, self.pieces
-        bpe = self.kind == "bpe"
-        self.open.append((at, pieces.trie))
-        reached, found = [], None
-        for start, node in self.open:
-            if (step := node.get(c)) is None:
-                continue
-            node, i = step
-            reached.append((start, node))
-            if i < 0:
-                continue
-            score, _, before = best[start]
-            if bpe:
-                if found is None and pieces.admissible(before, i):
-                    found = (0.0, start, i)
-            else:
-                score += pieces.scores[i]
-                if found is None or score > found[0]:
-                    found = (score, start, i)
-        if c not in pieces.ids:
-            score, _, before = best[at]
-            i = UNKNOWN + ord(c)
-            if bpe:
-                if found is None and pieces.admissible(before, i):
-                    found = (0.0, at, i)
-            elif found is None or score + pieces.unknown_score > found[0]:
-                found = (score + pieces.unknown_score, at, i)
-        self.open = reached
-        self.at = at + 1
-        best[at + 1] = found
-
-    def _commit(self) -> list[int]:
-        """Trace the paths that may still be extended back to the boundary that all of them share."""
-        heap = [-self.at, *(-start for start, _ in self.open)]
+        """The ids not yet committed; the stream ends, and with it all paths but one."""
+        done: list[int] = []
+        self._commit(len(self.starts) - 1, done)
+        self.open = []
+        return done
+
+    def _meeting(self, open_: list[tuple[int, dict]]) -> int:
+        """The last boundary that all paths run through which may still be extended."""
+        heap = [1 - len(self.starts), *(-start for start, _ in open_)]
         heapq.heapify(heap)
         top = heapq.heappop(heap)
         while heap:
@@ -185,81 +223,84 @@ class StreamingViterbi:
                 heapq.heappop(heap)
             if not heap:
                 break
-            heapq.heappush(heap, -self.best[-top][1])
+            heapq.heappush(heap, -self.starts[-top])
             top = heapq.heappop(heap)
-        return self._emit(-top)
-
-    def _emit(self, boundary: int) -> list[int]:
-        numbers, k = [], boundary
-        while k > self.committed:
-            _, k, i = self.best[k]
-            numbers.append(i)
-        self.best = {k: v for k, v in self.best.items() if k >= boundary}
-        self.committed = boundary
-        return list(itertools.chain.from_iterable(map(self.pieces.out, reversed(numbers))))
+        return -top
+
+    def _commit(self, boundary: int, done: list[int]) -> None:
+        """Add the ids of the one path up to ``boundary`` to ``done`` and forget it."""
+        found, k, starts, numbers = [], boundary, self.starts, self.numbers
+        while k > 0:
+            i = numbers[k]
+            if i < UNKNOWN:
+                found.append(i)
+            else:
+                found += reversed(self.pieces.out(i))
+            k = starts[k]
+        found.reverse()
+        done += found
+        starts[: boundary + 1] = [boundary]
+        starts[:] = [start - boundary for start in starts]
+        del numbers[:boundary]
+        least = self.scores[boundary]
+        self.scores[:] = [x - least for x in self.scores[boundary:]]
+        self.chars += boundary
+        self.ids += len(found)
+        self.commits.append((self.chars, self.ids))
 
 
 class Codec(CutMemo):
-    """Whole texts to ids and back."""
+    """Whole texts to ids and back. All ids come from the streaming search; those of short cuts are remembered."""
+
+    boundary = re.compile(rf"(?<=[^{SPACE}]){SPACE}|\n")
 
     def __init__(self, path: str, kind: str = "bpe"):
         self.pieces, self.kind = _pieces(path), kind
         super().__init__(_CUT, np.dtype("<u2" if len(self.pieces.strings) <= 1 << 16 else "<u4"))
 
+    def stream(self, text: Iterable[str]) -> Iterator[np.ndarray]:
+        """The ids of a text that comes in parts, with spaces as U+2581, as they are committed."""
+        search = StreamingViterbi(self.pieces, self.kind)
+        for part in text:
+            for at in range(0, len(part), FEED):
+                yield np.array(search.feed(part[at : at + FEED]), self.dtype)
+                search.commits.clear()
+        yield np.array(search.finish(), self.dtype)
+
     def find(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self._search(cuts) if self.kind == "bpe" else [None] * len(cuts)
-        for k, ids in enumerate(found):
-            if ids is None:
-                search = StreamingViterbi(self.pieces, self.kind)
-                found[k] = search.feed(cuts[k]) + search.finish()
-        lens = np.array([len(x) for x in found], dtype=np.int64)
-        return np.fromiter(itertools.chain.from_iterable(found), dtype=self.dtype, count=int(lens.sum())), lens
-
-    def _search(self, cuts: list[str]) -> list[list[int] | None]:
-        """The ids of each cut that ends before its window does, None for longer ones. In sorted order a cut's search
-        goes on from the prefix that it shares with the one before it."""
-        pieces, out = self.pieces, [None] * len(cuts)
-        trie, pairs, admissible, limit = pieces.trie, pieces.pairs, pieces.admissible, 2 * pieces.longest
-        # By depth: start and number of the piece that ends there; trie nodes reached, with their starts.
-        starts, numbers, pending = [-1], [-1], [()]
-        last = ""
-        for k in sorted(range(len(cuts)), key=cuts.__getitem__):
-            cut = cuts[k]
-            if len(cut) > limit:
+        """The cuts are one stream, in which a line feed ends each that nothing else ends; the commits at their ends share out its ids."""
+        values: list[np.ndarray] = []
+        lens = np.zeros(len(cuts), dtype=np.int64)
+        order, ends, parts, at = [], [], [], 0
+        for k, cut in enumerate(cuts):
+            if len(cut) > LONG:
                 continue
-            shared, most = 0, min(len(last), len(cut))
-            while shared < most and last[shared] == cut[shared]:
-                shared += 1
-            del starts[shared + 1 :], numbers[shared + 1 :], pending[shared + 1 :]
-            for depth in range(shared, len(cut)):
-                c, reached, number, begin = cut[depth], [], -1, depth
-                for node, start in (*pending[depth], (trie, depth)):
-                    if (step := node.get(c)) is None:
-                        continue
-                    node, i = step
-                    if node:
-                        reached.append((node, start))
-                    if i >= 0 and number < 0:
-                        before = numbers[start]
-                        if (good := pairs.get((before, i))) is None:
-                            good = admissible(before, i)
-                        if good:
-                            number, begin = i, start
-                if number < 0:
-                    number = UNKNOWN + ord(c)
-                    if c in pieces.ids or not admissible(numbers[depth], number):
-                        raise AssertionError(f"no admissible piece ends at {depth} of {cut!r}")
-                starts.append(begin)
-                numbers.append(number)
-                pending.append(reached)
-            last, ids, at = cut, [], len(cut)
-            while at > 0:
-                i = numbers[at]
-                ids += [i] if i < UNKNOWN else reversed(pieces.out(i))
-                at = starts[at]
-            ids.reverse()
-            out[k] = ids
-        return out
+            # "\n" is a cut itself, and no piece has it; U+2581 after another character begins a cut.
+            if parts and (cut[0] != SPACE or parts[-1][-1] == SPACE):
+                parts.append("\n")
+                at += 1
+            order.append((k, at))
+            parts.append(cut)
+            at += len(cut)
+            ends.append(at)
+        where = [0] * len(cuts)
+        ids = np.zeros(0, self.dtype)
+        if order:
+            search = StreamingViterbi(self.pieces, self.kind)
+            found = [np.array(search.feed("".join(parts[x : x + 4096])), self.dtype) for x in range(0, len(parts), 4096)]
+            found.append(np.array(search.feed("\n"), self.dtype))
+            ids = np.concatenate(found)
+            reached = dict([(0, 0), *search.commits])
+            for (k, begin), end in zip(order, ends):
+                where[k] = reached[begin]
+                lens[k] = reached[end] - where[k]
+        for k, cut in enumerate(cuts):
+            if len(cut) > LONG:
+                values.append(np.concatenate(list(self.stream([cut]))))
+                lens[k] = len(values[-1])
+            else:
+                values.append(ids[where[k] : where[k] + lens[k]])
+        return np.concatenate([np.zeros(0, self.dtype), *values]), lens
 
     def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, to which the model puts a space in front."""
