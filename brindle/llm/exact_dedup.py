@@ -7,9 +7,13 @@ chunks are dealt out. Equal fingerprints only nominate copies. Every nominated t
 chunk by chunk, with one representative of its fingerprint; a text that differs goes to another round
 with another representative, until none is left. Results never rest on a hash alone.
 
+Rows equal in both ``doc_id`` and text are one key, however many they are: each row's text meets its group's representative
+once, and a representative has one row of text. A row is found again on the second read by its ``doc_id`` and two 64-bit hashes of
+its text; should these hold for different texts, the comparison says so and the job fails.
+
 Cases: a null text counts as empty, and all empty texts are copies of each other. A null ``doc_id`` sorts
-below every other. Of rows equal in both ``doc_id`` and text exactly one is kept. An empty table gives an
-empty result. Other columns are ignored by :func:`duplicate_groups` and returned by :func:`deduplicate`.
+below every other. Of rows equal in both ``doc_id`` and text exactly one is kept. A very long text is hashed and compared in chunks. An
+empty table gives an empty result. Other columns are ignored by :func:`duplicate_groups` and returned by :func:`deduplicate`.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.work import BROADCAST_ROWS, keep_rows, materialize, slices
@@ -117,19 +121,25 @@ def _chunks(df: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _more(text: Column) -> Column:
+    """A second hash of a text, which does not depend on the first."""
+    return F.xxhash64(F.lit(1), text)
+
+
 def fingerprints(docs: DataFrame, moduli=MODULI, huge: int = HUGE, chunk: int = CHUNK) -> DataFrame:
-    """(rid, doc_id, tag, n_bytes, text_sha256, h0, h1), a row per document. ``tag`` is a JVM-side hash that,
-    with ``doc_id``, finds a row again when the table is read a second time."""
+    """(rid, doc_id, tag, more, n_bytes, text_sha256, h0, h1), a row per document. ``tag`` and ``more`` are JVM-side hashes that,
+    with ``doc_id``, find a row again when the table is read a second time."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(text).alias("tag"),
+        _more(text).alias("more"),
         F.octet_length(text).cast("long").alias("n_bytes"),
         F.sha2(text, 256).alias("text_sha256"),
         text.cast("binary").alias("data"),
     )
-    schema = "rid long, doc_id long, tag long, n_bytes long, text_sha256 string, " + ", ".join(
+    schema = "rid long, doc_id long, tag long, more long, n_bytes long, text_sha256 string, " + ", ".join(
         f"h{m} long" for m in range(len(moduli))
     )
     run = _fingerprint_batches(moduli)
@@ -140,37 +150,34 @@ def fingerprints(docs: DataFrame, moduli=MODULI, huge: int = HUGE, chunk: int =
     dealt = _chunks(dealt, chunk).repartition("rid", "chunk")
     sums = [(F.sum(f"h{m}") % p).alias(f"h{m}") for m, (p, _) in enumerate(moduli)]
     parts = dealt.drop("chunk").mapInArrow(run, schema)
-    combined = parts.groupBy("rid", "doc_id", "tag", "n_bytes", "text_sha256").agg(*sums)
+    combined = parts.groupBy("rid", "doc_id", "tag", "more", "n_bytes", "text_sha256").agg(*sums)
     return plain.unionByName(combined)
 
 
 def _compare(docs: DataFrame, members: DataFrame, chunk: int) -> DataFrame:
-    """(rid, equal) of each member: whether its text equals its representative's, chunk against chunk.
+    """(m_id, m_tag, m_more, is_rep, equal) of each key: whether all its rows' texts equal its representative's, chunk against chunk.
 
-    ``members``: (rid, doc_id, tag, gid, salts, is_rep). The texts of members only are read, cut into chunks
-    and sorted by (gid, salt, chunk); a representative's chunks go to each salt, so no group meets in one task.
+    ``members``: (doc_id, tag, more, gid, salts, is_rep, rows), a row per key. The texts of members only are read, cut into chunks and
+    met by (gid, salt, chunk); a representative's chunks, one row each, go to every salt, so no group meets in one task.
+    A representative's key is compared too if it has several rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     read = docs.select(
-        F.col("doc_id").cast("long").alias("d_id"),
-        F.xxhash64(text).alias("d_tag"),
-        F.octet_length(text).cast("long").alias("n_bytes"),
-        text.cast("binary").alias("data"),
-    )
-    keys = members.select("rid", F.col("doc_id").alias("m_id"), F.col("tag").alias("m_tag"), "gid", "salts", "is_rep")
+        F.col("doc_id").cast("long").alias("d_id"), F.xxhash64(text).alias("d_tag"), _more(text).alias("d_more"),
+        F.octet_length(text).cast("long").alias("n_bytes"), text.cast("binary").alias("data"),
+    )
+    keys = members.select(F.col("doc_id").alias("m_id"), F.col("tag").alias("m_tag"), F.col("more").alias("m_more"), "gid", "salts", "is_rep", "rows")
     if members.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    found = read.join(keys, (F.col("d_tag") == F.col("m_tag")) & F.col("d_id").eqNullSafe(F.col("m_id"))).select(
-        "rid", "gid", "salts", "is_rep", "n_bytes", "data"
-    )
+    same = (F.col("d_tag") == F.col("m_tag")) & (F.col("d_more") == F.col("m_more")) & F.col("d_id").eqNullSafe(F.col("m_id"))
+    found = read.join(keys, same).select("m_id", "m_tag", "m_more", "gid", "salts", "is_rep", "rows", "n_bytes", "data")
+    found = found.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.col("salts")).cast("int"))
     pieces = _chunks(found, chunk)
-    one = pieces.where(~F.col("is_rep")).withColumn("salt", F.pmod(F.hash("rid"), F.col("salts")).cast("int"))
-    rep = pieces.where("is_rep").select(
-        F.col("gid").alias("r_gid"), F.col("chunk").alias("r_chunk"), F.col("data").alias("r_data"),
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("r_salt"),
-    )
+    one = pieces.where(~F.col("is_rep") | (F.col("rows") > 1))
+    rep = pieces.where("is_rep").groupBy(F.col("gid").alias("r_gid"), F.col("chunk").alias("r_chunk"), F.col("salts").alias("r_salts"))
+    rep = rep.agg(F.min("data").alias("r_data")).select("r_gid", "r_chunk", "r_data", F.explode(F.sequence(F.lit(0), F.col("r_salts") - 1)).alias("r_salt"))
     met = one.join(rep, (F.col("gid") == F.col("r_gid")) & (F.col("salt") == F.col("r_salt")) & (F.col("chunk") == F.col("r_chunk")))
-    return met.groupBy("rid").agg(F.min(F.col("data") == F.col("r_data")).alias("equal"))
+    return met.groupBy("m_id", "m_tag", "m_more", "is_rep").agg(F.min(F.col("data") == F.col("r_data")).alias("equal"))
 
 
 def duplicate_groups(docs: DataFrame, moduli=MODULI, huge: int = HUGE, chunk: int = CHUNK) -> DataFrame:
@@ -186,17 +193,19 @@ def duplicate_groups(docs: DataFrame, moduli=MODULI, huge: int = HUGE, chunk: in
         joined = rows.join(groups, [F.col(c) == F.col(f"g_{c}") for c in keys], "left")
         joined = materialize(joined.select(*rows.columns, "size", "keep_rid", "keep_id"), "groups")
         # Rows of earlier rounds were compared already; only the newest round has new representatives.
-        members = joined.where(F.col("size").isNotNull() & (F.col("round") == newest)).select(
-            "rid", "doc_id", "tag", F.col("keep_rid").alias("gid"),
-            F.ceil(F.col("size") / PER_SALT).cast("int").alias("salts"), (F.col("rid") == F.col("keep_rid")).alias("is_rep"),
-        )
-        differs = _compare(docs, members, chunk).where("NOT equal").select(F.col("rid").alias("x_rid"))
-        differs = materialize(differs, "unequal")
+        members = joined.where(F.col("size").isNotNull() & (F.col("round") == newest)).groupBy(
+            "doc_id", "tag", "more", F.col("keep_rid").alias("gid"), F.ceil(F.col("size") / PER_SALT).cast("int").alias("salts")
+        )
+        members = members.agg(F.max(F.col("rid") == F.col("keep_rid")).alias("is_rep"), F.count(F.lit(1)).alias("rows"))
+        differs = materialize(_compare(docs, members, chunk).where("NOT equal"), "unequal")
         if not differs.head(1):
             break
+        if differs.where("is_rep").head(1):
+            raise ArithmeticError("rows of one doc_id whose texts differ and all their hashes do not")
         newest += 1
-        moved = rows.join(differs, F.col("rid") == F.col("x_rid"), "left")
-        moved = moved.withColumn("round", F.when(F.col("x_rid").isNotNull(), newest).otherwise(F.col("round")))
+        own = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("tag") == F.col("m_tag")) & (F.col("more") == F.col("m_more"))
+        moved = rows.join(differs, own, "left")
+        moved = moved.withColumn("round", F.when(F.col("m_tag").isNotNull(), newest).otherwise(F.col("round")))
         rows = materialize(moved.select(*rows.columns), "rounds")
     return joined.select(
         "doc_id",

@@ -1,4 +1,5 @@
 import hashlib
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -47,8 +48,6 @@ def brute(rows):
 @pytest.mark.parametrize("huge,chunk", [(op.HUGE, op.CHUNK), (100, 64)])
 def test_groups(spark, moduli, huge, chunk):
     rows = [(d, t) for d, t in EDGES] + [(100 + i, "ab"[i % 2] * 8) for i in range(6)]
-    if moduli is not op.MODULI and huge == 100:
-        pytest.skip("one slow case is enough")
     got = op.duplicate_groups(documents(spark, rows), moduli, huge, chunk).collect()
     assert sorted(str((r.doc_id, r.keep_id, r.group_size, r.text_sha256)) for r in got) == brute(rows)
     assert sum(r.kept for r in got) == len({t or "" for _, t in rows})
@@ -62,6 +61,16 @@ def test_deduplicate_keeps_columns_and_one_of_whole_repeats(spark):
     assert sorted((t or "") for t, in got.select("text").collect()) == sorted({t or "" for _, t in EDGES})
 
 
+def test_rows_that_repeat_cost_no_more_than_others(spark):
+    """Some thousand equal rows, with one id and with none, and equal texts of different ids: no pairs of them are formed."""
+    rows = [(7, "same row")] * 2000 + [(None, "boilerplate")] * 2000 + [(100 + i, "copies") for i in range(2000)]
+    began = time.monotonic()
+    got = op.duplicate_groups(documents(spark, rows))
+    got = sorted((str(k), n, size, kept) for k, size, kept, n in got.groupBy("keep_id", "group_size", "kept").count().collect())
+    assert got == sorted((k, n, 2000, kept) for k in ("2099", "7", "None") for n, kept in ((1999, False), (1, True)))
+    assert time.monotonic() - began < 60
+
+
 def test_empty(spark):
     assert op.duplicate_groups(empty(spark)).collect() == []
     assert op.deduplicate(empty(spark)).collect() == []
