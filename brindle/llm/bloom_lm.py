@@ -5,23 +5,26 @@ pairs (n-gram, 1) to (n-gram, q). Probing for 1, 2, ... until a pair is missing
 large with a small probability, never too small. Counts are those of the training documents, all of them.
 
 The filter is built in shards by the leading bits of the n-grams' hashes, each in one task and of the size that
-its own n-grams need; so is the exact table of word counts that the base score asks for. Shards of up to
-SLICE_BYTES together are broadcast at once. A larger model is broadcast in slices, one pass over the documents for each:
-every pass adds the counts that its slice knows to the documents' own arrays, and the last one scores.
+its own n-grams need; so is the exact table of word counts that the base score asks for. Shards that together fit a sixteenth of
+an executor's memory are broadcast. Those of a larger model stay where they are and are probed there: runs of texts send them
+their distinct n-grams (see :mod:`brindle.llm.lookup`), so that the cost grows with the corpus alone.
 
 Model: p(w | v) = (c(v w) + m * p(w)) / (c(v) + m), p(w) = (c(w) + 1) / z. Counts are the mean counts of
 their quantisation bins; m is the mean number of bigrams a context has, z makes p(w) sum to one over the
-training words and one unknown word. A bigram counts only if both its words are in the filter.
+training words and one unknown word. A bigram counts only if both its words are in the filter. The p(w | v) of a context sum to
+one as exactly as counts are known: the means of bigrams' bins need not add up to that of their context's bin (each within
+a factor BASE of its count), and a false positive of the filter adds to a sum.
 
 Words are told apart by 64-bit hashes.
 
-Cases: a null text counts as empty, one end token. A null doc_id's remainder is that of the empty string.
-Without training documents every count is zero. Rows that repeat are rows of their own. An empty table gives
+Cases: a null text counts as empty, one end token. A null doc_id's remainder is that of the empty string. A very long text is scored
+by one task, which holds some 60 bytes for each of its tokens. Without training documents every count is zero. Rows that repeat are rows of their own. An empty table gives
 an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -30,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.work import materialize, slices
+from brindle.llm.lookup import Found, look_up, shard_edges, with_runs
+from brindle.llm.work import broadcast_bytes, materialize, slices
 
 #: Base of the quantisation, bits per pair held, probes per pair.
 BASE, BITS, PROBES = 1.5, 10, 7
-#: Bytes of text per shard, and bytes of shards that are broadcast at once.
-SHARD_TEXT, SLICE_BYTES = 1 << 25, 256 << 20
+#: Bytes of text per shard, and most tasks that build shards.
+SHARD_TEXT, BUILDERS = 1 << 25, 50_000
 #: Tokens counted or scored at once.
 TOKENS = 2_000_000
 #: One document in FOLDS is held out, those of remainder HELD.
@@ -100,7 +104,7 @@ def _counter(shard_bits: int):
     def emit(kept: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for size, parts in kept.items():
             keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-            edges = np.searchsorted(keys >> np.uint64(64 - shard_bits), np.arange((1 << shard_bits) + 1))
+            edges = shard_edges(keys, shard_bits)
             rows = [(s, size, keys[a:b].tobytes(), counts[a:b].astype("<u4").tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
             kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -128,9 +132,9 @@ def positions(keys: np.ndarray, level: int, probe: int, bits: int) -> np.ndarray
     return ((x >> np.uint64(32)) * np.uint64(bits)) >> np.uint64(32)
 
 
-def build_filter(keys: np.ndarray, q: np.ndarray) -> np.ndarray:
+def build_filter(keys: np.ndarray, q: np.ndarray, each: int = BITS) -> np.ndarray:
     """The packed bits of the pairs (key, 1) to (key, q); their number is a multiple of 64."""
-    bits = max(64, -(-int(q.sum(dtype=np.int64)) * BITS // 64) * 64)
+    bits = max(64, -(-int(q.sum(dtype=np.int64)) * each // 64) * 64)
     flags = np.zeros(bits, dtype=bool)
     for level in range(1, int(q.max(initial=0)) + 1):
         own = keys[q >= level]
@@ -142,25 +146,41 @@ def build_filter(keys: np.ndarray, q: np.ndarray) -> np.ndarray:
 SHARD = "shard int, filter binary, words binary, counts binary, n_tokens long, n_words long, bin_sizes array<long>, bin_counts array<long>"
 
 
-def _build_shard(table: pa.Table) -> pa.Table:
+def _summed(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their counts."""
+    keys = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(k, "<u8") for k, _ in parts)])
+    counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(c, "<u4").astype(np.int64) for _, c in parts)])
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+
+
+def _build_shard(shard: int, parts: dict[int, list[tuple[bytes, bytes]]], bits: int) -> pa.RecordBatch:
     """Sum the counts of one shard; its filter, its exact word counts, and per size and bin the n-grams and their counts."""
-    merged = {}
-    for size in (1, 2):
-        rows = [r for r in table.to_pylist() if r["size"] == size]
-        keys = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(r["keys"], "<u8") for r in rows)])
-        counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["counts"], "<u4").astype(np.int64) for r in rows)])
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-        merged[size] = keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+    merged = {size: _summed(parts.get(size, [])) for size in (1, 2)}
     q = {size: quantise(counts) for size, (_, counts) in merged.items()}
-    bits = build_filter(np.concatenate([merged[1][0], mix(merged[2][0])]), np.concatenate([q[1], q[2]]))
+    held = build_filter(np.concatenate([merged[1][0], mix(merged[2][0])]), np.concatenate([q[1], q[2]]), bits)
     sizes = np.concatenate([np.bincount(q[s], minlength=len(_POWERS) + 1) for s in (1, 2)])
     sums = np.concatenate([np.bincount(q[s], weights=merged[s][1], minlength=len(_POWERS) + 1).astype(np.int64) for s in (1, 2)])
     words, counts = merged[1]
-    row = [table.column("shard")[0].as_py(), bits.tobytes(), words.tobytes(), counts.astype("<u4").tobytes() if counts.max(initial=0) < 1 << 32 else counts.astype("<u8").tobytes(), int(counts.sum()), len(words), sizes.tolist(), sums.tolist()]
-    schema = pa.schema([("shard", pa.int32()), ("filter", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()), ("n_tokens", pa.int64()), ("n_words", pa.int64()), ("bin_sizes", pa.list_(pa.int64())), ("bin_counts", pa.list_(pa.int64()))])
-    return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
+    packed = counts.astype("<u4" if counts.max(initial=0) < 1 << 32 else "<u8").tobytes()
+    row = [shard, held.tobytes(), words.tobytes(), packed, int(counts.sum()), len(words), sizes.tolist(), sums.tolist()]
+    kinds = [pa.int32(), *[pa.binary()] * 3, *[pa.int64()] * 2, *[pa.list_(pa.int64())] * 2]
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[x.split()[0] for x in SHARD.split(", ")])
+
+
+def _builder(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by shard to a row for each shard."""
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "size", "keys", "counts"))))
+        for shard, own in itertools.groupby(rows, key=lambda row: row[0]):
+            parts: dict[int, list[tuple[bytes, bytes]]] = {}
+            for _, size, keys, counts in own:
+                parts.setdefault(size, []).append((keys, counts))
+            yield _build_shard(shard, parts, bits)
+
+    return run
 
 
 class Slice:
@@ -244,51 +264,76 @@ def _scores(found: np.ndarray, sizes: np.ndarray, totals: Totals) -> list[np.nda
     return [np.add.reduceat(x, starts) for x in ((count > 0).astype(np.int64), base, model)]
 
 
-def _pack(found: np.ndarray) -> bytes:
-    """Ten bytes a token: its word count, and both levels in a byte each."""
-    return found[0].astype("<i8").tobytes() + found[1:].astype(np.uint8).tobytes()
-
-
-def _unpack(state: bytes) -> np.ndarray:
-    n = len(state) // 10
-    counts, levels = np.frombuffer(state, "<i8", n), np.frombuffer(state, np.uint8, 2 * n, 8 * n)
-    return np.concatenate([counts[None], levels.reshape(2, n).astype(np.int64)])
+def _scored(ids: pa.Array, held: pa.Array, found: np.ndarray, sizes: np.ndarray, totals: Totals) -> pa.RecordBatch:
+    known, base, model = _scores(found, sizes, totals)
+    n = np.full(len(sizes), totals.n_tokens, dtype=np.int64)
+    columns = [ids, held, pa.array(sizes), pa.array(known), pa.array(n), pa.array(base), pa.array(model)]
+    return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCORES.split(", ")])
 
 
-def _scorer(part, totals: Totals, last: bool):
+def _scorer(part, totals: Totals):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = part.value
         for batch in slices(batches):
-            state = batch.column("state").to_pylist() if "state" in batch.schema.names else None
             for at, tokens, sizes in _runs(batch.column("text").to_pylist()):
-                rows = slice(at, at + len(sizes))
-                found = _look_up(own, tokens, bigrams(tokens, sizes))
-                if state:
-                    found += np.concatenate([_unpack(s) for s in state[rows]], axis=1)
-                keep = [batch.column(c).slice(at, len(sizes)) for c in ("doc_id", "held_out")]
-                if last:
-                    known, base, model = _scores(found, sizes, totals)
-                    n = np.full(len(sizes), totals.n_tokens, dtype=np.int64)
-                    columns = [*keep, pa.array(sizes), pa.array(known), pa.array(n), pa.array(base), pa.array(model)]
-                    names = [x.split()[0] for x in SCORES.split(", ")]
-                else:
-                    ends = np.cumsum(sizes)
-                    states = [_pack(found[:, e - s : e]) for s, e in zip(sizes, ends)]
-                    columns = [*keep, batch.column("text").slice(at, len(sizes)), pa.array(states, pa.binary())]
-                    names = ["doc_id", "held_out", "text", "state"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                ids, held = (batch.column(c).slice(at, len(sizes)) for c in ("doc_id", "held_out"))
+                yield _scored(ids, held, _look_up(own, tokens, bigrams(tokens, sizes)), sizes, totals)
 
     return run
 
 
-def build(docs: DataFrame, shard_text: int = SHARD_TEXT) -> tuple[DataFrame, Totals, int]:
+#: Kinds of keys that runs of texts ask shards for: words and pairs of words; and the answers.
+WORD, PAIR = 1, 2
+ANSWER = {WORD: np.dtype([("count", "<i8"), ("level", "u1")]), PAIR: np.dtype([("level", "u1")])}
+
+
+def _keys(texts: list[str]) -> dict[int, np.ndarray]:
+    parts: dict[int, list[np.ndarray]] = {WORD: [], PAIR: []}
+    for _, tokens, sizes in _runs(texts):
+        parts[WORD].append(np.unique(tokens))
+        parts[PAIR].append(np.unique(bigrams(tokens, sizes)))
+    return {kind: np.unique(np.concatenate(own)) for kind, own in parts.items()}
+
+
+def _answer(shard_bits: int):
+    def held(rows: list[dict]):
+        part = Slice(rows, shard_bits)
+
+        def answer(kind: int, keys: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(keys), ANSWER[kind])
+            if kind == WORD:
+                out["count"] = part.word_counts(keys)
+            out["level"] = part.levels(keys if kind == WORD else mix(keys), keys)
+            return out
+
+        return answer
+
+    return held
+
+
+def _finish(totals: Totals):
+    def finish(docs: pa.Table, answers: Found) -> pa.Table:
+        out, texts = [], docs.column("text").to_pylist()
+        ids, held = (docs.column(c).combine_chunks() for c in ("doc_id", "held_out"))
+        for at, tokens, sizes in _runs(texts):
+            words, pairs = (values[np.searchsorted(keys, own)] for own, (keys, values) in ((tokens, answers[WORD]), (bigrams(tokens, sizes), answers[PAIR])))
+            found = np.stack([words["count"], words["level"].astype(np.int64), pairs["level"].astype(np.int64)])
+            out.append(_scored(ids.slice(at, len(sizes)), held.slice(at, len(sizes)), found, sizes, totals))
+        return pa.Table.from_batches(out)
+
+    return finish
+
+
+def build(docs: DataFrame, shard_text: int = SHARD_TEXT, bits: int = BITS) -> tuple[DataFrame, Totals, int]:
     """The model of the training documents: its shards, a written table; its totals; the bits that name a shard."""
     rows = _documents(docs)
     n_bytes, n_train = rows.agg(F.sum(F.octet_length("text")), F.count_if(~F.col("held_out"))).first()
     shard_bits = max(2, math.ceil(math.log2(max(1, (n_bytes or 0) / shard_text))))
     train = rows.where(~F.col("held_out")).select("text")
     counted = train.mapInArrow(_counter(shard_bits), "shard int, size int, keys binary, counts binary")
-    shards = materialize(counted.groupBy("shard").applyInArrow(_build_shard, SHARD), "shards")
+    tasks = min(1 << shard_bits, BUILDERS)
+    dealt = counted.repartitionById(tasks, F.col("shard") % tasks).sortWithinPartitions("shard")
+    shards = materialize(dealt.mapInArrow(_builder(bits), SHARD), "shards")
     sums = shards.select("n_tokens", "n_words", F.posexplode(F.arrays_zip("bin_sizes", "bin_counts")).alias("k", "x"))
     bins = sums.groupBy("k").agg(F.sum("x.bin_sizes").alias("sizes"), F.sum("x.bin_counts").alias("sums")).orderBy("k").collect()
     n_tokens, n_words = shards.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
@@ -301,26 +346,19 @@ def build(docs: DataFrame, shard_text: int = SHARD_TEXT) -> tuple[DataFrame, Tot
     return shards, totals, shard_bits
 
 
-def score(docs: DataFrame, shard_text: int = SHARD_TEXT, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row per document."""
+def score(docs: DataFrame, shard_text: int = SHARD_TEXT, model_bytes: int | None = None, bits: int = BITS) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row per document.
+
+    A model of more than ``model_bytes`` (by default :func:`brindle.llm.work.broadcast_bytes`) is not broadcast but probed in its shards."""
     spark = docs.sparkSession
-    shards, totals, shard_bits = build(docs, shard_text)
+    shards, totals, shard_bits = build(docs, shard_text, bits)
+    shards = shards.select("shard", "filter", "words", "counts")
     size = F.octet_length("filter") + F.octet_length("words") + F.octet_length("counts")
-    sizes = sorted((r["shard"], r["bytes"]) for r in shards.select("shard", size.alias("bytes")).collect())
-    slices: list[list[int]] = [[]]
-    held = 0
-    for shard, n in sizes:
-        if slices[-1] and held + n > slice_bytes:
-            slices.append([])
-            held = 0
-        slices[-1].append(shard)
-        held += n
-    rows = _documents(docs)
-    for k, own in enumerate(slices):
-        found = shards.where(F.col("shard").isin(own)).select("shard", "filter", "words", "counts")
-        part = spark.sparkContext.broadcast(Slice(list(found.toLocalIterator()), shard_bits))
-        last = k == len(slices) - 1
-        rows = rows.mapInArrow(_scorer(part, totals, last), SCORES if last else "doc_id long, held_out boolean, text string, state binary")
-        rows = materialize(rows, f"slice{k}")
-        part.unpersist()
+    held = shards.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
+    if held > (broadcast_bytes(spark) if model_bytes is None else model_bytes):
+        runs = with_runs(_documents(docs))
+        return materialize(look_up(runs, _keys, shards, shard_bits, _answer(shard_bits), ANSWER, _finish(totals), SCORES), "scores")
+    part = spark.sparkContext.broadcast(Slice(list(shards.toLocalIterator()), shard_bits))
+    rows = materialize(_documents(docs).mapInArrow(_scorer(part, totals), SCORES), "scores")
+    part.unpersist()
     return rows

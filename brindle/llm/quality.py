@@ -1,202 +1,312 @@
 """Quality rules: simple text counts, and language-specific bands on n-gram perplexity.
 
-One modified Kneser-Ney model of four-grams over 32 classes of characters (letters without case and accents, upper
-case, spaces, line feeds, stops, symbols, others): it has at most 32**4 entries whatever the corpus, and
-texts that mix languages are not foreign to it. Spark counts the n-grams of all whole texts; the counts are
-smoothed (Chen and Goodman 1998: three discounts an order from the counts of counts, continuation counts
-below the highest order) and kept in arrays sorted by hash, with probabilities and back-off weights beside.
-
-A text has a log perplexity per word and one per character. Each must lie in its language's band: the
-median of all texts of the language, give or take BAND robust deviations for the text's number of words.
-Texts of symbols exceed the upper bands; tables and the like fall below those per word and exceed those per character.
-Medians and deviations come from histograms, fixed in size for each language, over all texts that pass the base rules.
-
-Letters above U+024F share one class: texts in such scripts are judged by their words' lengths, spaces and stops only.
-
-Cases: a null text has no words and fails the base rules. Every value of the language has a band, and so has null. Rows
-that repeat stay rows of their own. A language without any text that passes the base rules has no band. An empty
-table gives an empty result. Other columns are ignored by :func:`judge` and returned by :func:`keep_good`.
+One modified Kneser-Ney model of four-grams of characters, whatever their script: code points as they are, but all digits as one. Spark
+counts the n-grams of all whole texts and smooths the counts (Chen and Goodman 1998: three discounts an order from the counts of
+counts, continuation counts below the highest order). Probabilities and back-off weights are kept in arrays sorted by hash, in
+shards by the hashes' leading bits. Shards that together fit a sixteenth of an executor's memory are broadcast; those of a larger
+model stay where they are, and runs of texts send them their distinct n-grams (see :mod:`brindle.llm.lookup`).
+
+Characters rather than words: texts without spaces have no words to count, and each text of this corpus has words of its own. One model
+rather than one a language, since texts mix languages; the bands make it language-specific.
+
+A text has a log perplexity per word and one per character. Each must lie in its band: the median of all texts of its language and
+script, give or take BAND robust deviations for the text's number of words. The language is the table's, whatever its value; the
+script is that of most of the text's letters, by their Unicode names; texts without letters have their whole language's band.
+Medians and deviations come from histograms, fixed in size for each band, over all texts that pass the base rules.
+
+Cases: a null text has no words and fails the base rules. Every value of the language has bands, and so has null. Rows
+that repeat stay rows of their own. A band without any text that passes the base rules rejects nothing; one of fewer than FEW texts has its
+own medians, and deviations of at least those of all texts. A very long text is scored in segments, but its words are held
+by one task for the base rules, some 100 bytes each. An empty table gives an empty result. Other columns are ignored
+by :func:`judge` and returned by :func:`keep_good`.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.work import BROADCAST_ROWS, keep_rows, materialize, slices
+from brindle.llm.lookup import Found, look_up, with_runs
+from brindle.llm.work import BROADCAST_ROWS, broadcast_bytes, keep_rows, materialize, slices
 
 ORDER = 4
-SYMBOLS = 32
-SPACE, LINE, UPPER, STOP, SYMBOL, OTHER = range(26, 32)
+#: Bits of a code point: codes of three characters fit 63.
+BITS = 21
+LOW = [(1 << BITS * k) - 1 for k in range(ORDER)]
 #: Characters counted as symbols by the base rules.
 BASE_SYMBOLS = "#*$%&|<>"
 #: Base rules: fewest words, largest share (in percent) of words in repeated windows, words of a window.
 MIN_WORDS, MAX_REPEAT, WINDOW = 10, 20, 5
-#: Robust deviations that a log perplexity may lie below and above its language's median.
+#: Robust deviations that a log perplexity may lie below and above its band's median.
 BAND = 4.0
-#: A language of fewer texts deviates at least as all texts do from their languages' medians.
+#: A band of fewer texts deviates at least as all texts do from their bands' medians.
 FEW = 30
 #: Bins a unit in the histograms, and the largest value told apart.
 BINS, TOP = 2000, 60
-#: Characters scored at once.
-CHARS = 1_000_000
-
-
-def _table() -> np.ndarray:
-    """Class of each code point below 0x250; the last entry is for all above."""
-    out = np.full(0x251, OTHER, dtype=np.uint32)
-    for cp in range(0x250):
-        c = chr(cp)
-        base = unicodedata.normalize("NFD", c)[0]
-        if "a" <= base <= "z":
-            out[cp] = ord(base) - 97
-        elif c.isupper():
-            out[cp] = UPPER
-        elif c == "\n":
-            out[cp] = LINE
-        elif c.isspace():
-            out[cp] = SPACE
-        elif c in ".,;:'\"()-?":
-            out[cp] = STOP
-        elif not c.isalnum():
-            out[cp] = SYMBOL
-    return out
-
+#: Characters scored at once, and distinct four-grams counted before they are passed on.
+CHARS, HELD = 1_000_000, 1_000_000
+#: Entries of the model a shard.
+SHARD_ENTRIES = 1_000_000
+#: What stands before a text.
+START = "\n" * (ORDER - 1)
+
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Grams:
+    """The four-gram that ends at each character of some texts: its first character and the code of the other three."""
+
+    def __init__(self, segments: list[tuple[int, str, str]]):
+        """``segments``: (text, the three characters before, characters)."""
+        sizes = np.array([len(s) for _, _, s in segments], dtype=np.int64)
+        joined = "".join([before + s for _, before, s in segments])
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        self.points = np.where((points >= 48) & (points <= 57), 48, points).astype(np.uint64)
+        own = np.ones(len(points), dtype=bool)
+        starts = np.cumsum(sizes + ORDER - 1) - sizes - ORDER + 1
+        for k in range(ORDER - 1):
+            own[starts + k] = False
+        at = np.flatnonzero(own)
+        x = self.points
+        self.head = x[at - 3]
+        self.rest = x[at - 2] << np.uint64(2 * BITS) | x[at - 1] << np.uint64(BITS) | x[at]
+        self.last = x[at]
+        self.text = np.repeat(np.array([k for k, _, _ in segments], dtype=np.int64), sizes)
+
+
+def runs(texts: list[str]) -> Iterator[list[tuple[int, str, str]]]:
+    """Segments of the texts in lists of some CHARS characters: a long text in several, each with the characters before it."""
+    run: list[tuple[int, str, str]] = []
+    held = 0
+    for k, text in enumerate(texts):
+        for at in range(0, len(text), CHARS):
+            part = text[at : at + CHARS]
+            if run and held + len(part) > CHARS:
+                yield run
+                run, held = [], 0
+            run.append((k, text[at - ORDER + 1 : at] if at else START, part))
+            held += len(part)
+    if run:
+        yield run
+
+
+def mix(order: int, head: np.ndarray | int, rest: np.ndarray) -> np.ndarray:
+    """64-bit hashes of n-grams; below the highest order, which has no ``head``, equal hashes of an order mean equal n-grams."""
+    x = rest.astype(np.uint64) * _GOLD + np.uint64(order)
+    if order == ORDER:
+        x = _scramble(x) + head * np.uint64(0xC2B2AE3D27D4EB4F)
+    return _scramble(x)
+
+
+def _scramble(x: np.ndarray) -> np.ndarray:
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
 
-TABLE = _table()
 
+def distinct(grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct four-grams as (hash, head, rest), sorted by hash, and the number of each place's."""
+    h = mix(ORDER, grams.head, grams.rest)
+    order = np.argsort(h)
+    sorted_h = h[order]
+    new = np.concatenate([[True], sorted_h[1:] != sorted_h[:-1]]) if len(h) else np.zeros(0, bool)
+    back = np.empty(len(h), dtype=np.int64)
+    back[order] = np.cumsum(new) - 1
+    first = order[new]
+    return sorted_h[new], grams.head[first], grams.rest[first], back
 
-def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, sizes): the four-gram that ends at each character of each text, which line feeds precede."""
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    joined = "".join(["\n" * (ORDER - 1) + t for t in texts])
-    cls = TABLE[np.minimum(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4"), 0x250)]
-    code = cls.copy()
-    for k in range(1, ORDER):
-        code[k:] |= cls[:-k] << np.uint32(5 * k)
-    own = np.ones(len(cls), dtype=bool)
-    starts = np.concatenate([[0], np.cumsum(sizes + ORDER - 1)[:-1]]) if len(texts) else np.zeros(0, np.int64)
-    for k in range(ORDER - 1):
-        own[starts + k] = False
-    return code[own], sizes
 
+def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kept: list[tuple[np.ndarray, ...]] = []
 
-def runs(texts: list[str]) -> Iterator[slice]:
-    """Slices of ``texts`` of some CHARS characters each, or of a single longer text."""
-    at = held = 0
-    for i, t in enumerate(texts):
-        if i > at and held + len(t) > CHARS:
-            yield slice(at, i)
-            at, held = i, 0
-        held += len(t)
-    if at < len(texts):
-        yield slice(at, len(texts))
+    def merged() -> tuple[np.ndarray, ...]:
+        h, head, rest, n = (np.concatenate(c) for c in zip(*kept))
+        order = np.argsort(h)
+        starts = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
+        return h[order][starts], head[order][starts], rest[order][starts], np.add.reduceat(n[order], starts)
 
+    def out() -> pa.RecordBatch:
+        _, head, rest, n = kept[0]
+        return pa.RecordBatch.from_arrays([pa.array(head.astype(np.int64)), pa.array(rest.astype(np.int64)), pa.array(n)], names=["head", "rest", "n"])
 
-def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(SYMBOLS**ORDER, dtype=np.int64)
     for batch in slices(batches):
-        texts = batch.column("text").to_pylist()
-        for run in runs(texts):
-            counts += np.bincount(codes(texts[run])[0], minlength=SYMBOLS**ORDER)
-    at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["code", "n"])
+        for run in runs(batch.column("text").to_pylist()):
+            h, head, rest, back = distinct(Grams(run))
+            kept.append((h, head, rest, np.bincount(back, minlength=len(h))))
+            if sum(len(x[0]) for x in kept) > 2 * HELD:
+                kept = [merged()]
+                if len(kept[0][0]) > HELD:
+                    yield out()
+                    kept = []
+    if kept:
+        kept = [merged()]
+        yield out()
 
 
 def count_ngrams(docs: DataFrame) -> DataFrame:
-    """(code, n): how often each four-gram occurs, over all whole texts."""
-    return _texts(docs).select("text").mapInArrow(_counter, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    """(head, rest, n): how often each four-gram occurs, over all whole texts."""
+    counted = _texts(docs).select("text").mapInArrow(_counter, "head long, rest long, n long")
+    return counted.groupBy("head", "rest").agg(F.sum("n").alias("n"))
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
+    """The discounts of counts 1, 2 and more, from the counts of counts; one half, where these are too few to tell."""
+    if not (n1 and n2 and n3 and n4):
+        return 0.5, 0.5, 0.5
+    y = n1 / (n1 + 2 * n2)
+    d = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
+    return tuple(min(max(x, 0.05), i - 0.05) for i, x in enumerate(d, 1))
+
+
+def _orders(counts: DataFrame) -> dict[int, DataFrame]:
+    """(head, rest, n) by order: below the highest, ``n`` is the number of distinct characters before an n-gram."""
+    out = {ORDER: counts.select("head", "rest", "n")}
+    for k in range(ORDER - 1, 0, -1):
+        shorter = F.col("rest").bitwiseAND(F.lit(LOW[k])) if k < ORDER - 1 else F.col("rest")
+        out[k] = out[k + 1].groupBy(shorter.alias("rest")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(0).cast("long").alias("head"), "rest", "n")
+    return out
 
 
-def mix(code: np.ndarray, order: int) -> np.ndarray:
-    """A 64-bit hash of n-grams; one-to-one, so that equal hashes mean equal n-grams."""
-    x = code.astype(np.uint64) | np.uint64(order << 32)
-    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(33))
+def kneser_ney(counts: DataFrame) -> tuple[DataFrame, float]:
+    """(order, head, rest, logp, back) of all n-grams seen and of all contexts: log10 probabilities, and log10 of the weight that an
+    n-gram, as a context, leaves to the next shorter one; and the log10 probability of a character never seen."""
+    orders = _orders(counts)
+    stats = [x.agg(F.count(F.lit(1)), *(F.count_if(F.col("n") == i) for i in (1, 2, 3, 4)), F.sum("n")).withColumn("k", F.lit(k)) for k, x in orders.items()]
+    found = {r["k"]: tuple(r)[:6] for r in functools.reduce(DataFrame.unionByName, [x.toDF("types", "n1", "n2", "n3", "n4", "total", "k") for x in stats]).collect()}
+    cuts = {k: discounts(*found[k][1:5]) for k in orders}
+    types, n1, n2, _, _, total = found[1]
+    rest_weight = (cuts[1][0] * n1 + cuts[1][1] * n2 + cuts[1][2] * (types - n1 - n2)) / total
+    root = rest_weight / (types + 1)
+    entries, lower = [], None
+    for k in range(1, ORDER + 1):
+        d = [F.lit(float(x)) for x in cuts[k]]
+        cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+        if k == 1:
+            p = orders[1].select("head", "rest", ((F.col("n") - cut) / total + root).alias("p"))
+        else:
+            context = F.shiftright("rest", BITS) if k < ORDER else F.shiftleft("head", 2 * BITS) + F.shiftright("rest", BITS)
+            rows = orders[k].withColumn("context", context).withColumn("cut", cut)
+            weight = rows.groupBy(F.col("context").alias("c_context")).agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("weight"))
+            backs = weight.select(F.col("c_context").alias("b_rest"), F.log10("weight").alias("back"))
+            joined = entries[-1].join(backs, F.col("rest") == F.col("b_rest"), "full")
+            entries[-1] = joined.select(F.coalesce("head", F.lit(0).cast("long")).alias("head"), F.coalesce("rest", "b_rest").alias("rest"), "p", "back")
+            short = F.col("rest").bitwiseAND(F.lit(LOW[k - 1])) if k < ORDER else F.col("rest")
+            shorter = lower.select(F.col("rest").alias("l_rest"), F.col("p").alias("l_p"))
+            p = rows.withColumn("short", short).join(weight, F.col("context") == F.col("c_context")).join(shorter, F.col("short") == F.col("l_rest"))
+            p = p.select("head", "rest", ((F.col("n") - F.col("cut")) / F.col("total") + F.col("weight") * F.col("l_p")).alias("p"))
+        lower = p
+        entries.append(p)
+    entries[-1] = entries[-1].withColumn("back", F.lit(0.0))
+    table = [x.select(F.lit(k).alias("order"), "head", "rest", F.log10("p").alias("logp"), F.coalesce("back", F.lit(0.0)).alias("back")) for k, x in enumerate(entries, 1)]
+    return functools.reduce(DataFrame.unionByName, table), math.log10(root)
+
+
+MODEL = "shard int, hashes binary, logp binary, back binary, n long"
+
+
+def _hasher(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            order, head, rest = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("order", "head", "rest"))
+            h = np.empty(len(order), dtype=np.uint64)
+            for k in range(1, ORDER + 1):
+                own = order == k
+                h[own] = mix(k, head[own].astype(np.uint64), rest[own])
+            shard = (h >> np.uint64(64 - bits)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(h.view(np.int64)), batch.column("logp"), batch.column("back")], names=["shard", "hash", "logp", "back"])
 
+    return run
 
-class KneserNey:
-    """An interpolated modified Kneser-Ney model in arrays sorted by hash.
-
-    ``hashes``: of all n-grams seen, of every order. ``logp``: log10 of their probabilities. ``back``: log10
-    of the weight that they, as contexts, leave to the next shorter context."""
-
-    def __init__(self, code: np.ndarray, n: np.ndarray):
-        full = np.zeros(SYMBOLS**ORDER)
-        full[code] = n
-        counts = [None] * (ORDER + 1)
-        counts[ORDER] = full
-        for k in range(ORDER - 1, 0, -1):  # continuation counts: the distinct symbols before an n-gram
-            counts[k] = (counts[k + 1] > 0).reshape(SYMBOLS, -1).sum(axis=0).astype(float)
-        lower = np.full(1, 1.0 / SYMBOLS)
-        hashes, logp, back = [], [], []
-        weights: list[np.ndarray] = [None] * (ORDER + 1)
-        probs: list[np.ndarray] = [None] * (ORDER + 1)
-        for k in range(1, ORDER + 1):
-            c = counts[k].reshape(-1, SYMBOLS)
-            d = self.discounts(c)
-            cut = np.select([c == 0, c == 1, c == 2], [0.0, d[0], d[1]], d[2])
-            total = c.sum(axis=1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                weight = np.where(total > 0, cut.sum(axis=1, keepdims=True) / total, 1.0)
-                own = np.where(total > 0, (c - cut) / total, 0.0)
-            # a context's shorter form drops its first symbol: row r of order k backs off to row r mod 32**(k-2)
-            shorter = lower.reshape(1, 1) if k == 1 else np.tile(lower.reshape(-1, SYMBOLS), (SYMBOLS if k > 1 else 1, 1))[: len(c)]
-            p = own + weight * shorter
-            weights[k - 1], probs[k] = weight[:, 0], p.reshape(-1)
-            lower = p
-        for k in range(1, ORDER + 1):
-            seen = np.flatnonzero((counts[k] > 0) | (weights[k] < 1.0 if k < ORDER else False))
-            hashes.append(mix(seen, k))
-            logp.append(np.log10(probs[k][seen]))
-            back.append(np.log10(np.maximum(weights[k][seen], 1e-300)) if k < ORDER else np.zeros(len(seen)))
-        self.root = float(np.log10(max(weights[0][0], 1e-300)) - np.log10(SYMBOLS))
-        order = np.argsort(h := np.concatenate(hashes))
-        self.hashes = h[order]
-        self.logp = np.concatenate(logp)[order].astype(np.float32)
-        self.back = np.concatenate(back)[order].astype(np.float32)
-
-    @staticmethod
-    def discounts(c: np.ndarray) -> tuple[float, float, float]:
-        """The discounts of counts 1, 2 and more; one half, where counts of counts are too few to tell."""
-        n1, n2, n3, n4 = (int((c == i).sum()) for i in (1, 2, 3, 4))
-        if not (n1 and n2 and n3 and n4):
-            return 0.5, 0.5, 0.5
-        y = n1 / (n1 + 2 * n2)
-        d = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-        return tuple(min(max(x, 0.05), i - 0.05) for i, x in enumerate(d, 1))
-
-    def _find(self, code: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-        h = mix(code, order)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return at, self.hashes[at] == h
-
-    def score(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability of the last symbol of each four-gram after its first three."""
-        out = np.zeros(len(code), dtype=np.float64)
-        left = np.arange(len(code))
-        for k in range(ORDER, 0, -1):
-            own = code[left] & ((1 << 5 * k) - 1)
-            at, found = self._find(own, k)
-            out[left[found]] += self.logp[at[found]]
-            left, own = left[~found], own[~found]
-            if k > 1:
-                at, found = self._find(own >> 5, k - 1)
-                out[left] += np.where(found, self.back[at], 0.0)
-        out[left] += self.root
-        return out
 
+def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by shard and hash to a row of arrays for each shard. A context that was never an n-gram has no probability: NaN."""
+    kept: list[tuple[np.ndarray, ...]] = []
+
+    def out() -> pa.RecordBatch:
+        _, h, logp, back = (np.concatenate(c) for c in zip(*kept))
+        row = [int(kept[0][0][0]), h.view(np.uint64).tobytes(), logp.astype("<f4").tobytes(), back.astype("<f4").tobytes(), len(h)]
+        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[x.split()[0] for x in MODEL.split(", ")])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "hash", "logp", "back")]
+        edges = np.flatnonzero(np.concatenate([[True], columns[0][1:] != columns[0][:-1], [True]]))
+        for a, b in zip(edges, edges[1:]):
+            if kept and kept[-1][0][0] != columns[0][a]:
+                yield out()
+                kept = []
+            kept.append(tuple(c[a:b] for c in columns))
+    if kept:
+        yield out()
+
+
+class Model:
+    """N-grams in arrays sorted by hash: log10 of their probabilities (NaN where only the context is known) and back-off weights."""
+
+    def __init__(self, rows: list[dict], root: float):
+        rows = sorted(rows, key=lambda r: r["shard"])
+        self.hashes = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(r["hashes"], "<u8") for r in rows)])
+        self.logp = np.concatenate([np.zeros(0, "<f4"), *(np.frombuffer(r["logp"], "<f4") for r in rows)])
+        self.back = np.concatenate([np.zeros(0, "<f4"), *(np.frombuffer(r["back"], "<f4") for r in rows)])
+        self.root = root
+
+    def find(self, order: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(logp, back) of n-grams; NaN and 0 for those not there."""
+        if not len(self.hashes):
+            return np.full(len(hashes), np.nan), np.zeros(len(hashes))
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        there = self.hashes[at] == hashes
+        return np.where(there, self.logp[at], np.nan), np.where(there, self.back[at], 0.0)
+
+
+Find = Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def score_grams(head: np.ndarray, rest: np.ndarray, find: Find, root: float) -> np.ndarray:
+    """log10 probability of the last character of each four-gram after its first three."""
+    out = np.zeros(len(head))
+    left = np.arange(len(head))
+    for k in range(ORDER, 0, -1):
+        own = rest[left] & np.uint64(LOW[k]) if k < ORDER - 1 else rest[left]
+        logp, _ = find(k, mix(k, head[left], own))
+        there = ~np.isnan(logp)
+        out[left[there]] += logp[there]
+        left = left[~there]
+        if not len(left):
+            return out
+        if k > 1:
+            out[left] += find(k - 1, mix(k - 1, 0, _context(k, head[left], rest[left])))[1]
+    out[left] += root
+    return out
 
-def build_model(counts: DataFrame) -> KneserNey | None:
-    """The model of ``counts``, which has at most 32**4 rows; None if there are none."""
-    table = counts.toPandas()
-    return KneserNey(table["code"].to_numpy(), table["n"].to_numpy()) if len(table) else None
+
+def _context(k: int, head: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The first k - 1 characters of the last k, as a code."""
+    if k == ORDER:
+        return head << np.uint64(2 * BITS) | rest >> np.uint64(BITS)
+    return (rest & np.uint64(LOW[k]) if k < ORDER - 1 else rest) >> np.uint64(BITS)
+
+
+def build_model(docs: DataFrame) -> tuple[DataFrame, float, int] | None:
+    """The shards of the model of all texts, a written table; its root; the bits that name a shard. None without texts."""
+    counts = materialize(count_ngrams(docs), "ngrams")
+    n = counts.count()
+    if not n:
+        return None
+    entries, root = kneser_ney(counts)
+    bits = max(1, math.ceil(math.log2(max(1, n / SHARD_ENTRIES))))
+    hashed = entries.mapInArrow(_hasher(bits), "shard int, hash long, logp double, back double")
+    dealt = hashed.repartitionById(1 << bits, F.col("shard")).sortWithinPartitions("shard", "hash")
+    return materialize(dealt.mapInArrow(_arrays, MODEL), "model"), root, bits
 
 
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
@@ -238,7 +348,23 @@ def repeat_words(words: list[bytes]) -> int:
     return int((np.cumsum(covered) > 0).sum())
 
 
-SCORED = "rid long, doc_id long, tag long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, per_word double, per_char double"
+@functools.lru_cache(maxsize=1)
+def scripts() -> tuple[np.ndarray, list[str | None]]:
+    """A number for each code point, and what they stand for: the first word of a letter's name, None for what is no letter."""
+    numbers: dict[str | None, int] = {None: 0}
+    table = np.zeros(0x110000, dtype=np.uint16)
+    for point in range(0x110000):
+        c = chr(point)
+        if c.isalpha():
+            name = unicodedata.name(c, "").split(" ")[0]
+            table[point] = numbers.setdefault(name, len(numbers))
+    return table, list(numbers)
+
+
+SCORED = (
+    "rid long, doc_id long, tag long, lang string, script string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "n_repeat_words long, per_word double, per_char double"
+)
 MEASURES = ("per_word", "per_char")
 
 
@@ -250,39 +376,98 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _judged(batch: pa.RecordBatch | pa.Table, find: Find, root: float) -> list[pa.Array]:
+    """The columns of SCORED for some documents."""
+    texts = batch.column("text").to_pylist()
+    table, names = scripts()
+    total, letters = np.zeros(len(texts)), np.zeros((len(texts), len(names)), dtype=np.int64)
+    for run in runs(texts):
+        grams = Grams(run)
+        _, head, rest, back = distinct(grams)
+        first, last = run[0][0], run[-1][0] + 1
+        total[first:last] -= np.bincount(grams.text - first, weights=score_grams(head, rest, find, root)[back], minlength=last - first)
+        which = (grams.text - first) * len(names) + table[grams.last]
+        letters[first:last] += np.bincount(which, minlength=(last - first) * len(names)).reshape(-1, len(names))
+    letters[:, 0] = 0
+    most = [names[k] for k in letters.argmax(axis=1)]
+    n_chars = np.array([len(t) for t in texts], dtype=np.int64)
+    base = np.array([base_counts(t) for t in texts], dtype=np.int64).reshape(-1, 5)
+    columns = [batch.column(c) for c in ("rid", "doc_id", "tag", "lang")] + [pa.array(most, pa.string())]
+    return columns + [pa.array(base[:, k]) for k in range(5)] + [pa.array(total / np.maximum(n, 1)) for n in (base[:, 0], n_chars)]
+
+
 def _scorer(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for batch in slices(batches):
-            texts = batch.column("text").to_pylist()
-            total = np.zeros(len(texts))
-            for run in runs(texts):
-                code, sizes = codes(texts[run])
-                if not len(code):
-                    continue
-                present = np.flatnonzero(np.bincount(code, minlength=SYMBOLS**ORDER))
-                scores = np.zeros(SYMBOLS**ORDER)
-                scores[present] = own.score(present)
-                sums, ends = np.concatenate([[0.0], np.cumsum(scores[code])]), np.cumsum(sizes)
-                total[run] = sums[ends - sizes] - sums[ends]
-            n_chars = np.array([len(t) for t in texts], dtype=np.int64)
-            base = np.array([base_counts(t) for t in texts], dtype=np.int64).reshape(-1, 5)
-            columns = [batch.column(c) for c in ("rid", "doc_id", "tag", "lang")] + [pa.array(base[:, k]) for k in range(5)]
-            columns += [pa.array(total / np.maximum(n, 1)) for n in (base[:, 0], n_chars)]
-            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCORED.split(", ")])
+            yield pa.RecordBatch.from_arrays(_judged(batch, own.find, own.root), names=[x.split()[0] for x in SCORED.split(", ")])
 
     return run
 
 
+#: What runs of texts ask the shards for, by order.
+ANSWER = dict.fromkeys(range(1, ORDER + 1), np.dtype([("logp", "<f4"), ("back", "<f4")]))
+
+
+def _keys(texts: list[str]) -> dict[int, np.ndarray]:
+    """The hashes of all n-grams and contexts that scoring may look for."""
+    kept: dict[int, list[np.ndarray]] = {k: [] for k in ANSWER}
+    for run in runs(texts):
+        h, head, rest, _ = distinct(Grams(run))
+        kept[ORDER].append(h)
+        for k in range(1, ORDER):
+            own = rest & np.uint64(LOW[k]) if k < ORDER - 1 else rest
+            kept[k] += [np.unique(mix(k, 0, own)), np.unique(mix(k, 0, _context(k + 1, head, rest)))]
+    return {k: np.unique(np.concatenate([np.zeros(0, np.uint64), *own])) for k, own in kept.items()}
+
+
+def _answer(rows: list[dict]):
+    own = Model(rows, 0.0)
+
+    def answer(order: int, hashes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(hashes), ANSWER[order])
+        out["logp"], out["back"] = own.find(order, hashes)
+        return out
+
+    return answer
+
+
+def _finish(root: float):
+    def finish(docs: pa.Table, answers: Found) -> pa.Table:
+        def find(order: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            keys, values = answers[order]
+            own = values[np.searchsorted(keys, hashes)]
+            return own["logp"].astype(float), own["back"].astype(float)
+
+        return pa.Table.from_arrays(_judged(docs, find, root), names=[x.split()[0] for x in SCORED.split(", ")])
+
+    return finish
+
+
+def score(docs: DataFrame, model_bytes: int | None = None) -> DataFrame:
+    """The base rules' counts and the measures of every document, a written table. A model of more than ``model_bytes`` (by default
+    :func:`brindle.llm.work.broadcast_bytes`) is not broadcast but asked in its shards."""
+    spark, built = docs.sparkSession, build_model(docs)
+    if built is None:
+        shards, root, bits, held = None, 0.0, 1, 0
+    else:
+        shards, root, bits = built
+        held = 16 * shards.agg(F.sum("n")).first()[0]
+    if held > (broadcast_bytes(spark) if model_bytes is None else model_bytes):
+        return materialize(look_up(with_runs(_texts(docs)), _keys, shards, bits, _answer, ANSWER, _finish(root), SCORED), "scored")
+    rows = list(shards.toLocalIterator()) if shards is not None else []
+    return materialize(_texts(docs).mapInArrow(_scorer(spark.sparkContext.broadcast(Model(rows, root))), SCORED), "scored")
+
+
 def base_failed() -> Column:
     """The base rules on their counts."""
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
 
 
 def _histogram(values: DataFrame, column: Column) -> DataFrame:
-    """(band, bin, n): fixed in size for each language."""
-    binned = values.select("band", F.least(F.floor(column * BINS), F.lit(TOP * BINS)).alias("bin"))
-    return binned.groupBy("band", "bin").agg(F.count(F.lit(1)).alias("n"))
+    """(lang, script, measure, bin, n): fixed in size for each band. A null script stands for all of the language."""
+    binned = values.select("lang", "script", "measure", F.least(F.floor(column * BINS), F.lit(TOP * BINS)).alias("bin"))
+    return binned.groupBy("lang", "script", "measure", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _middle(histogram: DataFrame, *keys: str) -> DataFrame:
@@ -292,35 +477,36 @@ def _middle(histogram: DataFrame, *keys: str) -> DataFrame:
     return ranked.where("2 * below >= texts").groupBy(*keys, "texts").agg(((F.min("bin") + 0.5) / BINS).alias("middle"))
 
 
-def _with_bands(rows: DataFrame, bands: DataFrame) -> DataFrame:
-    """``rows`` with the columns of ``bands`` (b_band, ...), which is materialized and broadcast unless it is large."""
+def _with_bands(rows: DataFrame, bands: DataFrame, measure: bool = False) -> DataFrame:
+    """``rows`` with the columns of ``bands`` (b_lang, b_script, ...), a written table, which is broadcast unless it is large."""
     side = F.broadcast(bands) if bands.count() <= BROADCAST_ROWS else bands
-    return rows.join(side, F.col("band").eqNullSafe(F.col("b_band")), "left").drop("b_band")
+    met = F.col("lang").eqNullSafe(F.col("b_lang")) & F.col("script").eqNullSafe(F.col("b_script"))
+    keys = ["b_lang", "b_script"] + ["b_measure"] * measure
+    return rows.join(side, met & (F.col("measure") == F.col("b_measure")) if measure else met, "left").drop(*keys)
 
 
 def find_bands(scored: DataFrame) -> DataFrame:
-    """(b_band, then median and deviation of each measure). A deviation is that of a text of one word."""
-    good = scored.where(~base_failed())
-    out = None
-    for m in MEASURES:
-        mid = _middle(_histogram(good, F.col(m)), "band").select(F.col("band").alias("b_band"), F.col("middle").alias(f"{m}_mid"))
-        mid = materialize(mid, "medians")
-        spread = _histogram(_with_bands(good, mid), F.abs(F.col(m) - F.col(f"{m}_mid")) * F.sqrt("n_words"))
-        spread = materialize(spread, "spreads")
-        every = _middle(spread.groupBy("bin").agg(F.sum("n").alias("n"))).select(F.col("middle").alias("every"))
-        own = _middle(spread, "band").crossJoin(F.broadcast(every))
-        dev = 1.4826 * F.when(F.col("texts") < FEW, F.greatest("middle", "every")).otherwise(F.col("middle"))
-        both = mid.join(own.select("band", dev.alias(f"{m}_dev")), F.col("b_band").eqNullSafe(F.col("band"))).drop("band")
-        out = both if out is None else out.withColumnRenamed("b_band", "band").join(both, F.col("band").eqNullSafe(F.col("b_band"))).drop("band")
-    return materialize(out, "bands")
-
-
-def judge(docs: DataFrame) -> DataFrame:
+    """(b_lang, b_script, then median and deviation of each measure). A deviation is that of a text of one word."""
+    own = F.when(F.col("script").isNull(), F.array(F.col("script"))).otherwise(F.array(F.col("script"), F.lit(None).cast("string")))
+    values = F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURES)))
+    good = scored.where(~base_failed()).select("lang", "n_words", values.alias("x"), F.explode(own).alias("script"))
+    good = good.select("lang", "script", "n_words", "x.measure", "x.value")
+    keys = ["lang", "script", "measure"]
+    mid = _middle(_histogram(good, F.col("value")), *keys).select(*(F.col(c).alias(f"b_{c}") for c in keys), F.col("middle").alias("mid"))
+    mid = materialize(mid, "medians")
+    spread = _histogram(_with_bands(good, mid, True), F.abs(F.col("value") - F.col("mid")) * F.sqrt("n_words"))
+    whole = spread.where(F.col("script").isNull()).groupBy("measure", "bin").agg(F.sum("n").alias("n"))  # each text once
+    every = _middle(whole, "measure").select(F.col("measure").alias("e_measure"), F.col("middle").alias("every"))
+    dev = 1.4826 * F.when(F.col("texts") < FEW, F.greatest("middle", "every")).otherwise(F.col("middle"))
+    devs = _middle(spread, *keys).join(F.broadcast(every), F.col("measure") == F.col("e_measure")).withColumn("dev", dev)
+    both = _with_bands(devs, mid, True)
+    columns = [F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}") for m in MEASURES for c in ("mid", "dev")]
+    return materialize(both.groupBy(F.col("lang").alias("b_lang"), F.col("script").alias("b_script")).agg(*columns), "bands")
+
+
+def judge(docs: DataFrame, model_bytes: int | None = None) -> DataFrame:
     """(doc_id, tag, counts, measures and their bands, base_failed, kept), a row per document."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(build_model(materialize(count_ngrams(docs), "ngrams")))
-    scored = materialize(_texts(docs).mapInArrow(_scorer(model), SCORED), "scored")
-    scored = scored.withColumn("band", F.col("lang")).withColumn("base_failed", base_failed())
+    scored = score(docs, model_bytes).withColumn("base_failed", base_failed())
     met = _with_bands(scored, find_bands(scored))
     inside = F.lit(True)
     for m in MEASURES:

@@ -41,6 +41,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def broadcast_bytes(spark: SparkSession) -> int:
+    """Bytes of a table that every Python worker may hold: a sixteenth of an executor's memory."""
+    context = spark.sparkContext
+    size = context.getConf().get("spark.driver.memory" if context.master.startswith("local[") else "spark.executor.memory", "1g")
+    return context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size) // 16
+
+
 @contextlib.contextmanager
 def small_arrow_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
     """While our own jobs run: rows of an Arrow batch between Spark and Python. Texts are long, and a batch is whole in both."""

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from brindle.llm import bloom_lm as op
+from brindle.llm import lookup
 from tests.llm.common import EDGES, documents, empty, prose
 
 
@@ -30,21 +31,75 @@ def brute(rows):
 ROWS = EDGES + [(i, prose(150, i % 13)) for i in range(100, 160)]
 
 
-@pytest.mark.parametrize("slice_bytes,shard_text", [(op.SLICE_BYTES, op.SHARD_TEXT), (4000, 20000)])
-def test_base_score_and_slices(spark, slice_bytes, shard_text):
-    got = op.score(documents(spark, ROWS), shard_text, slice_bytes).collect()
+@pytest.mark.parametrize("model_bytes,shard_text", [(None, op.SHARD_TEXT), (0, 20000)])
+def test_base_score(spark, model_bytes, shard_text):
+    got = op.score(documents(spark, ROWS), shard_text, model_bytes).collect()
     assert sorted(str((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4))) for r in got) == brute(ROWS)
     assert all(r.score < 0 for r in got)
 
 
-def test_slices_do_not_change_scores(spark):
+def test_probing_shards_where_they_are_changes_no_score(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "RUN_CHARS", 5000)
     docs = documents(spark, ROWS)
     key = lambda r: (r.doc_id or -1, r.n_tokens, round(r.base_score, 6))
-    a = sorted((*key(r), round(r.score, 9)) for r in op.score(docs, 20000).collect())
-    b = sorted((*key(r), round(r.score, 9)) for r in op.score(docs, 20000, 4000).collect())
+    a = sorted((*key(r), round(r.score, 9)) for r in op.score(docs, 2000).collect())
+    b = sorted((*key(r), round(r.score, 9)) for r in op.score(docs, 2000, 0).collect())
     assert a == b
 
 
+def exact_scores(texts, held):
+    """The model's formula on exact counts, quantised one by one."""
+    low = lambda c: max((j for j in range(100) if math.ceil(op.BASE**j - 1e-9) <= c), default=-1) + 1
+    words, pairs = Counter(), Counter()
+    for t, h in zip(texts, held):
+        if not h:
+            w = tokens(t)
+            words.update(w)
+            pairs.update(zip([0, *w], w))
+    level = [{k: low(c) for k, c in of.items()} for of in (words, pairs)]
+    mean = []
+    for of, own in zip((words, pairs), level):
+        bins = {}
+        for k, c in of.items():
+            bins.setdefault(own[k], []).append(c)
+        mean.append({q: sum(c) / len(c) for q, c in bins.items()})
+    z = sum(mean[0][q] for q in level[0].values()) + len(words) + 1
+    m = max(1.0, len(pairs) / max(1, len(words)))
+    n_train = held.count(False)
+    start = mean[0].get(low(n_train)) or max((mean[0][q] for q in mean[0] if q < low(n_train)), default=0) if n_train else 0
+    out = []
+    for t in texts:
+        total, before, w = 0.0, 0, tokens(t)
+        for x in w:
+            c = start if before == 0 else mean[0][level[0][before]] if before in level[0] else 0.0
+            p = ((mean[0][level[0][x]] if x in level[0] else 0.0) + 1) / z
+            both = min(mean[1][level[1][before, x]], c) if (before, x) in level[1] and x in level[0] else 0.0
+            total += math.log10((both + m * p) / (c + m))
+            before = x
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("model_bytes", [None, 0])
+def test_scores_of_the_whole_table_against_exact_counts(spark, model_bytes):
+    """With so many bits that nothing is a false positive, the filter's scores are those of exact counts."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = {r.doc_id: r for r in op.score(docs, model_bytes=model_bytes, bits=60).collect()}
+    texts = docs.orderBy("doc_id").collect()
+    want = exact_scores([r.text for r in texts], [rows[r.doc_id].held_out for r in texts])
+    assert len(rows) == len(texts)
+    assert all(abs(rows[r.doc_id].score - w) <= 1e-9 * abs(w) for r, w in zip(texts, want))
+
+
+def test_false_positives_move_scores_little(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = {r.doc_id: r for r in op.score(docs).collect()}
+    texts = docs.orderBy("doc_id").collect()
+    want = exact_scores([r.text for r in texts], [rows[r.doc_id].held_out for r in texts])
+    off = [abs(rows[r.doc_id].score - w) / abs(w) for r, w in zip(texts, want) if rows[r.doc_id].n_tokens >= 100]
+    assert len(off) > 100 and max(off) < 0.1 and sum(off) / len(off) < 0.01 and abs(sum(r.score for r in rows.values()) / sum(want) - 1) < 0.01
+
+
 def test_filter_never_forgets_and_seldom_errs():
     r = np.random.default_rng(0)
     keys = r.integers(0, 1 << 63, 20000).astype(np.uint64)
