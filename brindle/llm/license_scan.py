@@ -1,12 +1,13 @@
 """Licence scans: matching statistics against a generalised suffix automaton of licence words.
 
 The automaton holds every sequence of words of every template. Reading a text's words it gives, at each word, the
-length of the longest sequence that ends there and occurs in some template. Matches that cannot be extended
-and have at least MIN_MATCH words count for the templates that hold them, and their shorter endings for those that hold no more.
-They are chained: along the text and along one template, over bounded gaps in both,
-so that names, years, small changes and words of another template do not break a notice. A chain that covers enough of its template labels the text.
+length of the longest sequence that ends there and occurs in some template. A match of at least MIN_MATCH words counts for a
+template that holds it, or holds an ending of it of that length, where the template cannot be followed further. Matches
+are chained: along the text and along one template, over bounded gaps in both, so that names, years, small changes and words
+of another template do not break a notice. A chain that covers enough of its template, and in one match each all the phrases
+that the template marks, labels the text.
 
-The base phrases are templates as well; their places are counted besides.
+The base phrases are templates as well; their places are counted besides. Templates are in :mod:`brindle.llm.license_texts`.
 
 Only runs of words that some template has enter the automaton, since a match has no others. A text is read once and
 needs memory for its words and matches.
@@ -20,94 +21,19 @@ from __future__ import annotations
 import bisect
 import functools
 import itertools
+import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brindle.llm import license_texts
+from brindle.llm.license_texts import BASE_PHRASES
 from brindle.llm.work import slices
 
-# Phrases and labels of the base rules.
-BASE_PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
-
-# Public licence notices and texts, or parts of them, by label.
-TEMPLATES = (
-    ("mit", "Released under the MIT License."),
-    ("mit", "Licensed under the MIT license."),
-    ("mit", "This project is licensed under the terms of the MIT license."),
-    (
-        "mit",
-        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
-        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
-        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
-        persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
-        this permission notice shall be included in all copies or substantial portions of the Software.""",
-    ),
-    (
-        "isc",
-        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
-        provided that the above copyright notice and this permission notice appear in all copies.""",
-    ),
-    ("apache-2", "Licensed under the Apache License, Version 2.0."),
-    (
-        "apache-2",
-        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
-        License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
-        applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
-        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
-        governing permissions and limitations under the License.""",
-    ),
-    (
-        "bsd-2-clause",
-        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
-        following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
-        conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
-        list of conditions and the following disclaimer in the documentation and/or other materials provided with the
-        distribution.""",
-    ),
-    (
-        "bsd-3-clause",
-        """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
-        derived from this software without specific prior written permission.""",
-    ),
-    ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl-3", "Licensed under the GNU General Public License v3.0"),
-    (
-        "gpl-3",
-        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
-        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
-        version.""",
-    ),
-    ("gpl-2", "This work is licensed under the GNU General Public License, version 2."),
-    (
-        "gpl-2",
-        """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
-        License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later
-        version.""",
-    ),
-    (
-        "lgpl-3",
-        """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General
-        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
-        later version.""",
-    ),
-    (
-        "mpl-2",
-        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
-        distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
-    ),
-    ("unlicense", "This is free and unencumbered software released into the public domain."),
-    ("cc-by", "Licensed under CC BY 4.0."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
-)
-
 #: Words of the shortest match, and most words between two chained matches in the text and in the template.
 MIN_MATCH, GAP = 3, 24
 #: Share of a template's words that a chain must cover; templates of few words must be covered whole.
@@ -174,22 +100,21 @@ class Automaton:
             self.link[new] = self._split(p, word, own)
         return new
 
-    def matches(self, words: list[int]) -> Iterator[tuple[int, int, int]]:
-        """(end, length, state) of the matches that no further word extends, from the matching statistics."""
+    def matches(self, words: list[int]) -> Iterator[tuple[int, int, int, int]]:
+        """(end, length, state, next word or 0) at each word at which a match of at least MIN_MATCH words ends: the matching statistics."""
         state = length = 0
         for i, word in enumerate(words):
-            if word in self.step[state]:
-                state, length = self.step[state][word], length + 1
-                continue
             if length >= MIN_MATCH:
-                yield i, length, state
-            while state and word not in self.step[state]:
-                state = self.link[state]
-                length = self.length[state]
-            if word in self.step[state]:
-                state, length = self.step[state][word], length + 1
+                yield i, length, state, word
+            if word not in self.step[state]:
+                while state and word not in self.step[state]:
+                    state = self.link[state]
+                    length = self.length[state]
+                if word not in self.step[state]:
+                    continue
+            state, length = self.step[state][word], length + 1
         if length >= MIN_MATCH:
-            yield len(words), length, state
+            yield len(words), length, state, 0
 
     def credits(self, state: int, length: int) -> Iterator[tuple[int, int, int]]:
         """(template, end in it, words) of a match and of its endings of at least MIN_MATCH words: at each place the longest."""
@@ -204,47 +129,84 @@ class Automaton:
         yield from self._shorter[state]
 
 
+class Template:
+    """The words of a template as numbers, how many a chain must cover, and the places of the phrases that it must hold."""
+
+    def __init__(self, label: str, text: str, number):
+        self.label, self.words, self.phrases = label, [], []
+        for k, part in enumerate(re.split(r"([{}])", text)):
+            if part == "{":
+                begin = len(self.words)
+            elif part == "}":
+                self.phrases.append((begin, len(self.words)))
+            else:
+                self.words += [number(w) for w in words_of(part)]
+        n = len(self.words)
+        self.needed = n if n <= WHOLE else max(WHOLE, -(-int(n * COVER * 100) // 100))
+        self.all = (1 << len(self.phrases)) - 1
+
+    def held(self, begin: int, end: int) -> int:
+        """The phrases within some of its words, as bits."""
+        return sum(1 << k for k, (a, b) in enumerate(self.phrases) if begin <= a and b <= end)
+
+
+class Chain(NamedTuple):
+    """Matches along a text and a template: where the last one ends in both, the words covered, the phrases held, where the first begins."""
+
+    end: int
+    t_end: int
+    covered: int
+    held: int
+    start: int
+
+
 class Scanner:
     """The automaton, the numbers of its words and the base phrases in these."""
 
-    def __init__(self, base=BASE_PHRASES, templates=TEMPLATES):
-        self.labels = [label for _, label in base] + [label for label, _ in templates]
-        texts = [words_of(phrase) for phrase, _ in base] + [words_of(text) for _, text in templates]
+    def __init__(self, base=BASE_PHRASES, texts: list[tuple[str, str]] | None = None):
         self.vocabulary: dict[bytes, int] = {}
-        sequences = [[self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in text] for text in texts]
-        self.base = [(np.array(s), label) for s, (_, label) in zip(sequences, base)]
-        self.sizes = [len(s) for s in sequences]
-        self.automaton = Automaton(sequences)
-
-    def needed(self, template: int) -> int:
-        n = self.sizes[template]
-        return n if n <= WHOLE else max(WHOLE, -(-int(n * COVER * 100) // 100))
+        number = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
+        own = [(label, phrase) for phrase, label in base] + (license_texts.templates() if texts is None else texts)
+        self.templates = [Template(label, text, number) for label, text in own]
+        self.labels = [t.label for t in self.templates]
+        self.base = [(np.array(t.words), t.label) for t in self.templates[: len(base)]]
+        self.longest = max(len(t.words) for t in self.templates)
+        self.automaton = Automaton([t.words for t in self.templates])
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.vocabulary.get, words, itertools.repeat(0)), dtype=np.int32, count=len(words))
 
-    def chains(self, found: list[tuple[int, int, int]]) -> tuple[dict[int, int], list[tuple[int, int, int]]]:
+    def ends(self, run: list[int]) -> Iterator[tuple[int, int, int, int]]:
+        """(end, template, end in it, words) of the matches of a run of words that their template does not follow further."""
+        for end, length, state, word in self.automaton.matches(run):
+            for t, t_end, n in self.automaton.credits(state, length):
+                words = self.templates[t].words
+                if not word or t_end == len(words) or words[t_end] != word:
+                    yield end, t, t_end, n
+
+    def chains(self, found: list[tuple[int, int, int, int]]) -> tuple[dict[int, int], list[tuple[int, int, int]]]:
         """Per template the words that its best chain covers, and (template, first word, end) in the text of all chains that
-        cover enough. Of chains of one template that overlap, the one that covers more stays. ``found``: matches in order of their ends."""
+        cover enough and hold all phrases. Of chains of one template that overlap, the one that covers more stays. ``found``: (end,
+        template, end in it, words) of matches in order of their ends."""
         best: dict[int, int] = {}
         enough: dict[int, list[tuple[int, int, int]]] = {}  # (-covered, text start, text end)
-        recent: dict[int, list[tuple[int, int, int, int]]] = {}  # (text end, template end, covered, text start)
-        for end, length, state in found:
-            for t, t_end, n in self.automaton.credits(state, length):
-                begin, t_begin = end - n, t_end - n
-                kept = [c for c in recent.get(t, ()) if end - length - c[0] <= GAP]
-                covered, start = n, begin
-                for c_end, c_t_end, c_covered, c_start in kept:
-                    # Overlaps, in the text or in the template, count once.
-                    lap = max(c_end - begin, c_t_end - t_begin, 0)
-                    near = begin - c_end <= GAP and t_begin - c_t_end <= GAP
-                    if lap < n and near and c_t_end < t_end and c_covered + n - lap > covered:
-                        covered, start = c_covered + n - lap, c_start
-                kept.append((end, t_end, covered, start))
-                recent[t] = kept
-                best[t] = max(covered, best.get(t, 0))
-                if covered >= self.needed(t):
-                    enough.setdefault(t, []).append((-covered, start, end))
+        recent: dict[int, list[Chain]] = {}
+        for end, t, t_end, n in found:
+            template, begin, t_begin = self.templates[t], end - n, t_end - n
+            held = template.held(t_begin, t_end)
+            kept = [c for c in recent.get(t, ()) if c.end >= end - self.longest - GAP]
+            chain = Chain(end, t_end, n, held, begin)
+            for c in kept:
+                # Overlaps, in the text or in the template, count once.
+                lap = max(c.end - begin, c.t_end - t_begin, 0)
+                if lap < n and begin - c.end <= GAP and t_begin - c.t_end <= GAP and c.t_end < t_end and c.end < end:
+                    longer = Chain(end, t_end, c.covered + n - lap, c.held | held, c.start)
+                    if (longer.held.bit_count(), longer.covered) > (chain.held.bit_count(), chain.covered):
+                        chain = longer
+            recent[t] = [*kept, chain]
+            best[t] = max(chain.covered, best.get(t, 0))
+            if chain.covered >= template.needed and chain.held == template.all:
+                enough.setdefault(t, []).append((-chain.covered, chain.start, end))
         spans = []
         for t, own in enough.items():
             taken: list[tuple[int, int]] = []
@@ -273,20 +235,24 @@ class Scanner:
             for d, a in zip(doc.tolist(), (at - starts[doc]).tolist()):
                 places.setdefault(d, []).append((a, label))
         edge = np.flatnonzero(np.diff(np.concatenate([[0], ids > 0, [0]]).astype(np.int8)))
-        found: dict[int, list[tuple[int, int, int]]] = {}
+        found: dict[int, list[tuple[int, int, int, int]]] = {}
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
             if b - a >= MIN_MATCH:
-                for end, length, state in self.automaton.matches(ids[a:b].tolist()):
-                    d = int(np.searchsorted(starts, a, side="right")) - 1
-                    found.setdefault(d, []).append((a + end - int(starts[d]), length, state))
+                d = int(np.searchsorted(starts, a, side="right")) - 1
+                own = [(a + end - int(starts[d]), *rest) for end, *rest in self.ends(ids[a:b].tolist())]
+                if own:
+                    found.setdefault(d, []).extend(own)
         out = []
         for d, n in enumerate(sizes.tolist()):
             own = places.get(d, [])
             best, whole = self.chains(found[d]) if d in found else ({}, [])
-            spans = sorted((self.labels[t], start, end) for t, start, end in whole)
+            spans: list[tuple[str, int, int]] = []
+            for label, start, end in sorted({(self.labels[t], start, end) for t, start, end in whole}, key=lambda x: (x[0], x[1], -x[2])):
+                if not spans or spans[-1][0] != label or end > spans[-1][2]:  # not within another of its label
+                    spans.append((label, start, end))
             base = {label for _, label in own}
             labels = base | {label for label, _, _ in spans}
-            score = max((min(1.0, covered / self.sizes[t]) for t, covered in best.items()), default=0.0)
+            score = max((min(1.0, covered / len(self.templates[t].words)) for t, covered in best.items()), default=0.0)
             at = [a for a, _ in own]
             out.append((n, len(own), min(at, default=None), max(at, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score, spans))
         return out
