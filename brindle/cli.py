@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import itertools
 import platform
 import sys
 from pathlib import Path
@@ -32,11 +33,9 @@ def _resolve(spark: SparkSession, prefix: str, env_file: str | None, **overrides
 def config_check(spark: SparkSession, prefix: str, env_file: str | None, strict: bool) -> int:
     """Print the report of the local configuration; its outcome code."""
     values = _resolve(spark, prefix, env_file)
-    print(f"Version: {__version__}")
-    print(f"Python-Version: {platform.python_version()}")
-    print(f"Betriebssystem: {platform.system()}")
-    print(f"Plattform: {platform.platform()}")
-    print(f"Worker-ID: {values['worker_id'] or record.MISSING}")
+    facts = (__version__, platform.python_version(), platform.system(), platform.platform(), values["worker_id"] or record.MISSING)
+    for line, fact in zip(record.FACTS, facts):
+        print(line.format(fact))
     fields = spark.createDataFrame([tuple(values[f] for f in ("cfg", *record.FIELDS))], ", ".join(f"{f} string" for f in ("cfg", *record.FIELDS)))
     probes = spark.createDataFrame(sources.probe_rows("local", values), config.PROBES)
     row = config.report(fields, probes, strict).first()
@@ -54,21 +53,19 @@ def setup_local(spark: SparkSession, prefix: str, env_file: str | None, create:
     """Create the local folders, and the env file if asked to; the outcome code."""
     there = env_file is not None and Path(env_file).exists()
     if env_file is not None and not there and not create:
-        raise sources.ConfigurationError(f"Konfigurationsfehler: env-Datei nicht gefunden: {env_file}")
+        raise sources.ConfigurationError(record.NO_ENV_FILE, env_file)
     values = _resolve(spark, prefix, env_file if there else None, **overrides)
     local_setup.check_preconditions(values)
     local_setup.make_folders(values)
     created = False
     if create:
         if env_file is None:
-            raise sources.ConfigurationError("--create-env-if-missing erfordert --env-file.")
+            raise sources.ConfigurationError(record.SETUP_NO_TARGET)
         created = local_setup.create_env_file(env_file, values, prefix)
-    print(f"Worker-ID: {values['worker_id']}")
-    print(f"Datenwurzel: {values['data_root']}")
-    print(f"PDF-Quellordner: {values['pdf_source_dir']}")
-    print("Lokale Verzeichnisse sind bereit: runs, cache, exports, logs.")
+    for line, field in itertools.zip_longest(record.SETUP_LINES, record.REQUIRED):
+        print(line.format(values.get(field)))
     if env_file is not None:
-        print("Lokale env-Datei wurde erstellt." if created else "Vorhandene env-Datei blieb unverändert.")
+        print(record.ENV_CREATED if created else record.ENV_KEPT)
     return 0
 
 

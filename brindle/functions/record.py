@@ -33,6 +33,19 @@ MISSING_CREDENTIALS = (2, "Erforderliche Service-Zugangsdaten fehlen.")
 VALID = (0, "Lokale Grundkonfiguration ist gültig.")
 WARNING = "Warnung: Externe Service-Zugangsdaten sind teilweise nicht gesetzt."
 
+# What stops loading and setup, with exit codes.
+NO_ENV_FILE = (2, "Konfigurationsfehler: env-Datei nicht gefunden: {}")
+INVALID_SETTINGS = (2, "Konfigurationsfehler: ungültige lokale Einstellungen.")
+SETUP_NEEDS = (2, "Worker-ID, Datenwurzel und PDF-Quellordner sind erforderlich.")
+SETUP_NO_SOURCE = (3, "PDF-Quellordner fehlt oder ist nicht lesbar.")
+SETUP_NO_ROOT = (3, "Datenwurzel ist nicht beschreibbar.")
+SETUP_NO_TARGET = (2, "--create-env-if-missing erfordert --env-file.")
+
+# Further lines of the two commands.
+FACTS = ("Version: {}", "Python-Version: {}", "Betriebssystem: {}", "Plattform: {}", "Worker-ID: {}")
+SETUP_LINES = ("Worker-ID: {}", "Datenwurzel: {}", "PDF-Quellordner: {}", "Lokale Verzeichnisse sind bereit: runs, cache, exports, logs.")
+ENV_CREATED, ENV_KEPT = "Lokale env-Datei wurde erstellt.", "Vorhandene env-Datei blieb unverändert."
+
 
 def aliases(prefix: str) -> dict[str, tuple[str, int]]:
     """Accepted keys, case-sensitive: the field that each names, and its rank among that field's keys.
@@ -50,9 +63,18 @@ def present(value: Column) -> Column:
     return F.when(value.isNotNull(), F.lit(SET)).otherwise(F.lit(MISSING))
 
 
+def normal_path(path: Column) -> Column:
+    """A path as ``pathlib`` writes it: without empty and "." parts and without a slash at its end; "." if nothing is left. Two slashes
+    at its beginning stay, more are one."""
+    parts = F.filter(F.split(path, "/+"), lambda x: (x != "") & (x != "."))
+    lead = F.when(path.rlike("^//([^/]|$)"), F.lit("//")).when(path.startswith("/"), F.lit("/")).otherwise(F.lit(""))
+    whole = F.concat(lead, F.array_join(parts, "/"))
+    return F.when(whole == "", F.lit(".")).otherwise(whole)
+
+
 def join_path(root: Column, name: str) -> Column:
-    """``name`` in the folder ``root``; slashes at its end do not count."""
-    return F.concat(F.regexp_replace(root, "/+$", ""), F.lit(f"/{name}"))
+    """``name`` in the folder ``root``, a normal path."""
+    return F.when(root == ".", F.lit(name)).when(root.endswith("/"), F.concat(root, F.lit(name))).otherwise(F.concat(root, F.lit(f"/{name}")))
 
 
 def path_state(path: Column, exists: Column, is_dir: Column, accessible: Column, access: str) -> Column:

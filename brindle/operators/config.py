@@ -18,27 +18,25 @@ PROBES = "cfg string, field string, exists boolean, is_dir boolean, accessible b
 
 
 def known_values(sources: DataFrame, prefix: str) -> DataFrame:
-    """(cfg, field, rank, value) of the values that count: of known keys; overrides that are not null; of the
-    environment and of env files those that are not empty. The smallest rank wins."""
+    """(cfg, field, rank, value), a row per row of ``sources``. A null field does not count: unknown keys, overrides that are null,
+    and what is empty in the environment and in env files. The smallest rank wins."""
     names = record.aliases(prefix)
     field = F.create_map(*(F.lit(x) for key, (f, _) in names.items() for x in (key, f)))
     alias = F.create_map(*(F.lit(x) for key, (_, rank) in names.items() for x in (key, rank)))
     priority = F.create_map(*(F.lit(x) for kv in PRIORITY.items() for x in kv))
     value = F.when(F.col("source") == "override", F.col("value")).otherwise(F.nullif(F.col("value"), F.lit("")))
-    found = sources.where(F.col("key").isin(*names)).select(
-        "cfg", field[F.col("key")].alias("field"), (priority[F.col("source")] * 2 + alias[F.col("key")]).alias("rank"), value.alias("value")
-    )
-    return found.where("value IS NOT NULL AND rank IS NOT NULL")
+    counts = F.col("key").isin(*names) & F.col("source").isin(*PRIORITY) & value.isNotNull()
+    rank = priority[F.col("source")] * 2 + alias[F.col("key")]
+    return sources.select("cfg", F.when(counts, field[F.col("key")]).alias("field"), F.when(counts, rank).alias("rank"), value.alias("value"))
 
 
 def merge(sources: DataFrame, prefix: str) -> DataFrame:
-    """(cfg, fields...): one record per configuration that has any source row; values by precedence."""
-    best = known_values(sources, prefix).groupBy("cfg").agg(
-        *(F.min_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, F.col("rank"))).alias(f) for f in record.FIELDS)
-    )
-    # A configuration of unknown keys alone is a record of nulls.
-    names = sources.select("cfg").distinct()
-    return names.join(best, "cfg", "left")
+    """(cfg, fields...): one record per configuration that has any source row, be it of unknown keys alone; values by precedence,
+    paths in normal form. One aggregation."""
+    own = lambda f, x: F.when(F.col("field") == f, F.col(x))
+    best = {f: F.min_by(own(f, "value"), own(f, "rank")) for f in record.FIELDS}
+    paths = {f: record.normal_path(x) if f in record.PATHS else x for f, x in best.items()}
+    return known_values(sources, prefix).groupBy("cfg").agg(*(x.alias(f) for f, x in paths.items()))
 
 
 def derive_paths(records: DataFrame) -> DataFrame:

@@ -13,10 +13,10 @@ from brindle.sources.env_file import ConfigurationError
 def check_preconditions(values: Mapping[str, str | None]) -> None:
     """The three required values are there, and the source folder can be read."""
     if any(values.get(f) is None for f in record.REQUIRED):
-        raise ConfigurationError("Worker-ID, Datenwurzel und PDF-Quellordner sind erforderlich.")
+        raise ConfigurationError(record.SETUP_NEEDS)
     source = Path(values["pdf_source_dir"])
     if not (source.is_dir() and os.access(source, os.R_OK)):
-        raise ConfigurationError("PDF-Quellordner fehlt oder ist nicht lesbar.", 3)
+        raise ConfigurationError(record.SETUP_NO_SOURCE)
 
 
 def make_folders(values: Mapping[str, str | None]) -> None:
@@ -24,7 +24,7 @@ def make_folders(values: Mapping[str, str | None]) -> None:
     root = Path(values["data_root"])
     root.mkdir(parents=True, exist_ok=True)
     if not os.access(root, os.W_OK):
-        raise ConfigurationError("Datenwurzel ist nicht beschreibbar.", 3)
+        raise ConfigurationError(record.SETUP_NO_ROOT)
     for field in record.DERIVED:
         Path(values[field]).mkdir(parents=True, exist_ok=True)
 

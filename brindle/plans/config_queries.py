@@ -10,9 +10,9 @@ from brindle.operators import config
 
 PREFIX = "APP"
 SOURCES = [
-    ("full", "env_file", "APP_WORKER_ID", "file-worker"),
-    ("full", "environment", "APP_WORKER_ID", "env-worker"),
-    ("full", "override", "worker_id", "argument-worker"),
+    ("full", "env_file", "APP_WORKER_ID", "from-file"),
+    ("full", "environment", "APP_WORKER_ID", "from-environment"),
+    ("full", "override", "worker_id", "from-argument"),
     ("full", "env_file", "APP_DATA_ROOT", "/d/"),
     ("full", "env_file", "APP_PDF_SOURCE_DIR", "/pdfs"),
     ("full", "env_file", "APP_RUNS_DIR", "/special/runs"),
@@ -22,7 +22,7 @@ SOURCES = [
     ("full", "env_file", "NCBI_EMAIL", "set"),
     ("partial", "override", "worker_id", None),
     ("partial", "environment", "APP_WORKER_ID", ""),
-    ("partial", "env_file", "APP_WORKER_ID", "file-worker"),
+    ("partial", "env_file", "APP_WORKER_ID", "from-file"),
     ("partial", "env_file", "worker_id", "second-name"),
     ("partial", "env_file", "APP_DATA_ROOT", "/e"),
     ("partial", "env_file", "APP_PDF_SOURCE_DIR", "/pdfs"),
@@ -31,6 +31,14 @@ SOURCES = [
     ("rootless", "env_file", "app_data_root", "/wrong-case"),
     ("rootless", "override", "worker_id", ""),
     ("unknown", "env_file", "UNKNOWN", "x"),
+    ("no-name root", "override", "data_root", ""),
+    ("here", "env_file", "APP_DATA_ROOT", "."),
+    ("dots", "env_file", "APP_DATA_ROOT", "/a/./b/."),
+    ("slashes", "environment", "APP_DATA_ROOT", "///a//b/"),
+    ("two slashes", "environment", "APP_DATA_ROOT", "//a"),
+    ("top", "environment", "APP_DATA_ROOT", "/"),
+    ("up", "override", "data_root", "./x/../y"),
+    ("up", "override", "logs_dir", "l//m/./"),
 ]
 PROBES = [
     *(("full", f, True, True, True) for f in record.PATHS),
@@ -82,9 +90,12 @@ def _values(rows: list[tuple]) -> str:
 def _resolved_sql() -> str:
     names = [(k, f, rank) for k, (f, rank) in record.aliases(PREFIX).items()]
     pick = ", ".join(f"(SELECT value FROM known k WHERE k.cfg = c.cfg AND k.field = '{f}' ORDER BY prio, alias_rank LIMIT 1) AS {f}" for f in record.FIELDS)
-    derive = ", ".join(
-        f"coalesce({f}, regexp_replace(data_root, '/+$', '') || '/{record.DERIVED[f]}') AS {f}" if f in record.DERIVED else f for f in record.FIELDS
-    )
+    body = "array_to_string(list_filter(string_split_regex({0}, '/+'), lambda x: x <> '' AND x <> '.'), '/')"
+    lead = "CASE WHEN regexp_matches({0}, '^//([^/]|$)') THEN '//' WHEN {0} LIKE '/%' THEN '/' ELSE '' END"
+    whole = f"coalesce(nullif(({lead}) || {body}, ''), '.')"
+    normal = ", ".join(f"CASE WHEN {f} IS NOT NULL THEN {whole.format(f)} END AS {f}" if f in record.PATHS else f for f in record.FIELDS)
+    under = "CASE WHEN data_root = '.' THEN '{0}' WHEN data_root LIKE '%/' THEN data_root || '{0}' ELSE data_root || '/{0}' END"
+    derive = ", ".join(f"coalesce({f}, {under.format(record.DERIVED[f])}) AS {f}" if f in record.DERIVED else f for f in record.FIELDS)
     return f"""
     sources(cfg, source, key, value) AS (VALUES {_values(SOURCES)}),
     names(key, field, alias_rank) AS (VALUES {_values(names)}),
@@ -95,7 +106,8 @@ def _resolved_sql() -> str:
         WHERE s.value IS NOT NULL AND (s.source = 'override' OR s.value <> '')
     ),
     picked AS (SELECT c.cfg, {pick} FROM (SELECT DISTINCT cfg FROM sources) c),
-    resolved AS (SELECT cfg, {derive} FROM picked)
+    paths AS (SELECT cfg, {normal} FROM picked),
+    resolved AS (SELECT cfg, {derive} FROM paths)
     """
 
 

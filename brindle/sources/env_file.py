@@ -17,20 +17,25 @@ _LINE = re.compile(
 
 
 class ConfigurationError(Exception):
-    """A configuration that cannot be loaded; ``code`` is the exit code."""
+    """A configuration that cannot be used: one of the (exit code, message) of ``record``, whose place is filled with ``what``."""
 
-    def __init__(self, message: str, code: int = 2):
-        super().__init__(message)
-        self.code = code
+    def __init__(self, reason: tuple[int, str], what: object = ""):
+        super().__init__(reason[1].format(what))
+        self.code = reason[0]
 
 
 def read_env_file(path: str | Path) -> dict[str, str]:
-    """Keys and values of an env file; of repeated keys the last counts. Fails where there is no such file."""
+    """Keys and values of an env file; of repeated keys the last counts. Fails where there is no such file, where it cannot be
+    read, and where it is no UTF-8."""
     path = Path(path)
     if not path.is_file():
-        raise ConfigurationError(f"Konfigurationsfehler: env-Datei nicht gefunden: {path}")
+        raise ConfigurationError(record.NO_ENV_FILE, path)
+    try:
+        text = path.read_text(encoding="utf-8")
+    except (OSError, UnicodeDecodeError) as error:
+        raise ConfigurationError(record.INVALID_SETTINGS) from error
     out = {}
-    for line in path.read_text(encoding="utf-8").splitlines():
+    for line in text.splitlines():
         if line.lstrip().startswith("#") or not (m := _LINE.match(line)):
             continue
         if m["single"] is not None:
