@@ -5,7 +5,7 @@ pairs (n-gram, 1) to (n-gram, q). Probing for 1, 2, ... until a pair is missing
 large with a small probability, never too small. Counts are those of the training documents, all of them.
 
 The filter is built in shards by the leading bits of the n-grams' hashes, each in one task and of the size that
-its own n-grams need; so is the exact table of word counts that the base score asks for. Shards that together fit a sixteenth of
+its own n-grams need; so is the exact table of word counts that the base score asks for. Shards that together fit an eighth of
 an executor's memory are broadcast. Those of a larger model stay where they are and are probed there: runs of texts send them
 their distinct n-grams (see :mod:`brindle.llm.lookup`), so that the cost grows with the corpus alone.
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.lookup import Found, look_up, shard_edges, with_runs
+from brindle.llm.lookup import Found, look_up, pack, shard_edges, unpack, with_runs
 from brindle.llm.work import broadcast_bytes, materialize, slices
 
 #: Base of the quantisation, bits per pair held, probes per pair.
@@ -105,7 +105,7 @@ def _counter(shard_bits: int):
         for size, parts in kept.items():
             keys, counts = np.unique(np.concatenate(parts), return_counts=True)
             edges = shard_edges(keys, shard_bits)
-            rows = [(s, size, keys[a:b].tobytes(), counts[a:b].astype("<u4").tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+            rows = [(s, size, pack(keys[a:b]), pack(counts[a:b].astype("<u4"))) for s, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
             kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
@@ -148,8 +148,8 @@ SHARD = "shard int, filter binary, words binary, counts binary, n_tokens long, n
 
 def _summed(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, and the sums of their counts."""
-    keys = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(k, "<u8") for k, _ in parts)])
-    counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(c, "<u4").astype(np.int64) for _, c in parts)])
+    keys = np.concatenate([np.zeros(0, "<u8"), *(unpack(k, "<u8") for k, _ in parts)])
+    counts = np.concatenate([np.zeros(0, np.int64), *(unpack(c, "<u4").astype(np.int64) for _, c in parts)])
     order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
@@ -287,12 +287,10 @@ WORD, PAIR = 1, 2
 ANSWER = {WORD: np.dtype([("count", "<i8"), ("level", "u1")]), PAIR: np.dtype([("level", "u1")])}
 
 
-def _keys(texts: list[str]) -> dict[int, np.ndarray]:
-    parts: dict[int, list[np.ndarray]] = {WORD: [], PAIR: []}
-    for _, tokens, sizes in _runs(texts):
-        parts[WORD].append(np.unique(tokens))
-        parts[PAIR].append(np.unique(bigrams(tokens, sizes)))
-    return {kind: np.unique(np.concatenate(own)) for kind, own in parts.items()}
+def _prepare(texts: list[str]) -> tuple[dict[int, np.ndarray], list[tuple]]:
+    kept = [(at, tokens, bigrams(tokens, sizes), sizes) for at, tokens, sizes in _runs(texts)]
+    keys = {kind: np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(run[kind]) for run in kept)])) for kind in (WORD, PAIR)}
+    return keys, kept
 
 
 def _answer(shard_bits: int):
@@ -312,13 +310,14 @@ def _answer(shard_bits: int):
 
 
 def _finish(totals: Totals):
-    def finish(docs: pa.Table, answers: Found) -> pa.Table:
-        out, texts = [], docs.column("text").to_pylist()
+    def finish(docs: pa.Table, found: Found, kept: list[tuple]) -> pa.Table:
         ids, held = (docs.column(c).combine_chunks() for c in ("doc_id", "held_out"))
-        for at, tokens, sizes in _runs(texts):
-            words, pairs = (values[np.searchsorted(keys, own)] for own, (keys, values) in ((tokens, answers[WORD]), (bigrams(tokens, sizes), answers[PAIR])))
-            found = np.stack([words["count"], words["level"].astype(np.int64), pairs["level"].astype(np.int64)])
-            out.append(_scored(ids.slice(at, len(sizes)), held.slice(at, len(sizes)), found, sizes, totals))
+        (words, known), (pairs, levels) = found[WORD], found[PAIR]
+        out = []
+        for at, tokens, own, sizes in kept:
+            word, pair = known[np.searchsorted(words, tokens)], levels[np.searchsorted(pairs, own)]
+            rows = np.stack([word["count"], word["level"].astype(np.int64), pair["level"].astype(np.int64)])
+            out.append(_scored(ids.slice(at, len(sizes)), held.slice(at, len(sizes)), rows, sizes, totals))
         return pa.Table.from_batches(out)
 
     return finish
@@ -356,8 +355,9 @@ def score(docs: DataFrame, shard_text: int = SHARD_TEXT, model_bytes: int | None
     size = F.octet_length("filter") + F.octet_length("words") + F.octet_length("counts")
     held = shards.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
     if held > (broadcast_bytes(spark) if model_bytes is None else model_bytes):
-        runs = with_runs(_documents(docs))
-        return materialize(look_up(runs, _keys, shards, shard_bits, _answer(shard_bits), ANSWER, _finish(totals), SCORES), "scores")
+        rows = _documents(docs)
+        runs = with_runs(rows, rows.agg(F.sum(F.char_length("text").cast("long"))).first()[0])
+        return materialize(look_up(runs, _prepare, shards, shard_bits, _answer(shard_bits), ANSWER, _finish(totals), SCORES), "scores")
     part = spark.sparkContext.broadcast(Slice(list(shards.toLocalIterator()), shard_bits))
     rows = materialize(_documents(docs).mapInArrow(_scorer(part, totals), SCORES), "scores")
     part.unpersist()

@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.work import materialize
+from brindle.llm.work import discard, materialize
 
-#: The steps end far earlier: their number grows with the logarithm of the longest path.
+#: The steps end far earlier: their number grows with the logarithm of the longest path. If they don't, that is an error.
 MAX_STEPS = 100
 
 
@@ -35,10 +35,13 @@ def components(edges: DataFrame) -> DataFrame:
     current = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     seen = None
     for _ in range(MAX_STEPS):
-        current = materialize(_star(_star(current, True), False), "star")
+        before, current = current, materialize(_star(_star(current, True), False), "star")
+        discard(before)
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError(f"components still change after {MAX_STEPS} steps")
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

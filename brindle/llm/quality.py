@@ -3,7 +3,7 @@
 One modified Kneser-Ney model of four-grams of characters, whatever their script: code points as they are, but all digits as one. Spark
 counts the n-grams of all whole texts and smooths the counts (Chen and Goodman 1998: three discounts an order from the counts of
 counts, continuation counts below the highest order). Probabilities and back-off weights are kept in arrays sorted by hash, in
-shards by the hashes' leading bits. Shards that together fit a sixteenth of an executor's memory are broadcast; those of a larger
+shards by the hashes' leading bits. Shards that together fit an eighth of an executor's memory are broadcast; those of a larger
 model stay where they are, and runs of texts send them their distinct n-grams (see :mod:`brindle.llm.lookup`).
 
 Characters rather than words: texts without spaces have no words to count, and each text of this corpus has words of its own. One model
@@ -409,7 +409,7 @@ def _scorer(model):
 ANSWER = dict.fromkeys(range(1, ORDER + 1), np.dtype([("logp", "<f4"), ("back", "<f4")]))
 
 
-def _keys(texts: list[str]) -> dict[int, np.ndarray]:
+def _prepare(texts: list[str]) -> tuple[dict[int, np.ndarray], None]:
     """The hashes of all n-grams and contexts that scoring may look for."""
     kept: dict[int, list[np.ndarray]] = {k: [] for k in ANSWER}
     for run in runs(texts):
@@ -418,7 +418,7 @@ def _keys(texts: list[str]) -> dict[int, np.ndarray]:
         for k in range(1, ORDER):
             own = rest & np.uint64(LOW[k]) if k < ORDER - 1 else rest
             kept[k] += [np.unique(mix(k, 0, own)), np.unique(mix(k, 0, _context(k + 1, head, rest)))]
-    return {k: np.unique(np.concatenate([np.zeros(0, np.uint64), *own])) for k, own in kept.items()}
+    return {k: np.unique(np.concatenate([np.zeros(0, np.uint64), *own])) for k, own in kept.items()}, None
 
 
 def _answer(rows: list[dict]):
@@ -433,9 +433,9 @@ def _answer(rows: list[dict]):
 
 
 def _finish(root: float):
-    def finish(docs: pa.Table, answers: Found) -> pa.Table:
+    def finish(docs: pa.Table, found: Found, _: None) -> pa.Table:
         def find(order: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            keys, values = answers[order]
+            keys, values = found[order]
             own = values[np.searchsorted(keys, hashes)]
             return own["logp"].astype(float), own["back"].astype(float)
 
@@ -454,7 +454,9 @@ def score(docs: DataFrame, model_bytes: int | None = None) -> DataFrame:
         shards, root, bits = built
         held = 16 * shards.agg(F.sum("n")).first()[0]
     if held > (broadcast_bytes(spark) if model_bytes is None else model_bytes):
-        return materialize(look_up(with_runs(_texts(docs)), _keys, shards, bits, _answer, ANSWER, _finish(root), SCORED), "scored")
+        rows = _texts(docs)
+        docs_in_runs = with_runs(rows, rows.agg(F.sum(F.char_length("text").cast("long"))).first()[0])
+        return materialize(look_up(docs_in_runs, _prepare, shards, bits, _answer, ANSWER, _finish(root), SCORED), "scored")
     rows = list(shards.toLocalIterator()) if shards is not None else []
     return materialize(_texts(docs).mapInArrow(_scorer(spark.sparkContext.broadcast(Model(rows, root))), SCORED), "scored")
 

@@ -12,7 +12,7 @@ Copies collapse first, so a bucket (one variant) holds distinct fingerprints onl
 that connect the same fingerprints as all pairs would.
 
 Cases: a null text counts as empty; texts without words have fingerprint zero and link like any other. A text
-of fewer words than a shingle is one shingle. Rows that repeat a doc_id are rows of their own; null doc_ids
+of fewer words than a shingle is one shingle. A very long text is held by one task with its words and hashes. Rows that repeat a doc_id are rows of their own; null doc_ids
 never name a component unless all of its are null. An empty table gives an empty result.
 """
 
@@ -117,7 +117,8 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Forest:
-    """Union-find over fingerprints: of the links that a task verifies it keeps those that connect something new."""
+    """Union-find over fingerprints: of the links that a task verifies it keeps those that connect something new. It holds an entry for
+    each linked fingerprint that a task meets, some 200 bytes, so tasks must be as many as the corpus asks for."""
 
     def __init__(self):
         self.up: dict[int, int] = {}

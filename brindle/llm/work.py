@@ -42,10 +42,10 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def broadcast_bytes(spark: SparkSession) -> int:
-    """Bytes of a table that every Python worker may hold: a sixteenth of an executor's memory."""
+    """Bytes of a table that every Python worker may hold: an eighth of an executor's memory."""
     context = spark.sparkContext
     size = context.getConf().get("spark.driver.memory" if context.master.startswith("local[") else "spark.executor.memory", "1g")
-    return context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size) // 16
+    return context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size) // 8
 
 
 @contextlib.contextmanager
@@ -61,14 +61,54 @@ def small_arrow_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]
         spark.conf.set(key, before)
 
 
+#: Paths of written tables, for each open :func:`scratch`.
+_written: list[list[str]] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: the lineage ends there,
     so a lost executor costs a file read, not a recomputation."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _written:
+        _written[-1].append(path)
     with small_arrow_batches(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a written table that nothing will read again; other frames stay as they are."""
+    if path := getattr(df, "written_to", None):
+        _delete(df.sparkSession, path)
+        for paths in _written:
+            if path in paths:
+                paths.remove(path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, *kept: DataFrame) -> Iterator[list[DataFrame]]:
+    """Tables written inside are deleted at the end, but for those added to the list that it gives: frames that are read later. Results
+    that were not computed inside must not rest on the others."""
+    _written.append([])
+    keep = list(kept)
+    try:
+        yield keep
+    finally:
+        stay = {getattr(df, "written_to", None) for df in keep}
+        paths = _written.pop()
+        for path in paths:
+            if path not in stay:
+                _delete(spark, path)
+        if _written:
+            _written[-1] += [path for path in paths if path in stay]
 
 
 def numbered(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, int]:

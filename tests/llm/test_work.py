@@ -43,3 +43,28 @@ def test_keep_rows_whose_verdicts_depend_on_another_column(spark):
     got = work.keep_rows(docs, verdicts, ("lang",)).collect()
     assert sorted(map(str, got)) == sorted(map(str, docs.where("coalesce(lang, '') <> 'de'").collect()))
     assert work.keep_rows(docs, verdicts).where("doc_id = 1").count() == 3
+
+
+def test_scratch_deletes_what_is_not_kept(spark):
+    from pathlib import Path
+
+    with work.scratch(spark) as outer:
+        with work.scratch(spark) as kept:
+            a, b = work.materialize(spark.range(3), "a"), work.materialize(spark.range(4), "b")
+            kept.append(b)
+        assert not Path(a.written_to).exists() and b.count() == 4
+        c = work.materialize(spark.range(5), "c")
+        work.discard(c)
+        work.discard(spark.range(1))
+        assert not Path(c.written_to).exists()
+        d = work.materialize(spark.range(6), "d")
+        outer.append(d)
+    assert not Path(b.written_to).exists() and d.count() == 6
+
+
+def test_numbers_follow_the_keys_for_any_partitioning(spark):
+    for n in (1, 7):
+        df, rows = work.numbered(spark.range(50).selectExpr("id * 7 % 50 AS x").repartition(n), ["x"], "n")
+        assert rows == 50 and {(r.x, r.number) for r in df.collect()} == {(i, i) for i in range(50)}
+    df, rows = work.numbered(spark.range(0).selectExpr("id AS x"), ["x"], "n")
+    assert rows == 0 and df.collect() == []
