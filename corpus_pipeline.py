@@ -1,11 +1,14 @@
-"""The corpus pipeline: documents to packed training sequences, stage by stage."""
+"""The corpus pipeline: documents to packed training sequences, stage by stage.
+
+Null and empty texts fail the quality rules, so later stages get none from it; on their own they treat them like their operators do.
+Rows that repeat, ties, null ids, very long texts and empty tables: see each stage's operator."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from brindle.llm import exact_dedup, quality, queries, simhash
-from brindle.llm.work import materialize
+from brindle.llm.work import discard, materialize, scratch
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +43,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's result is written and read again."""
+    """All stages over documents; each stage's result is written and read again. What a stage wrote besides is deleted when its result
+    is there, and that result when the next one is; the last stage's tables stay, since its result is read from them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialize(docs, name.replace(" ", "-"))
-    return docs
+    *first, (_, last) = STAGES
+    for name, stage in first:
+        before = docs
+        with scratch(spark) as kept:
+            docs = materialize(stage(spark, before, sf_dir), name.replace(" ", "-"))
+            kept.append(docs)
+        discard(before)
+    return last(spark, docs, sf_dir)
