@@ -1,8 +1,9 @@
 import itertools
 from collections import defaultdict
+from pathlib import Path
 
 import corpus_pipeline
-from brindle.llm import exact_dedup, quality, simhash
+from brindle.llm import exact_dedup, quality, simhash, work
 from tests.llm.common import documents, empty, prose
 
 
@@ -39,7 +40,12 @@ def test_stages_in_order_keep_columns_and_clean_documents(spark):
 
 def test_run_reads_the_documents_table(spark, tmp_path):
     documents(spark, corpus()).write.parquet(str(tmp_path / "documents.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    folder = Path(work.work_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    left = {p.name.rpartition("-")[0] for p in set(folder.iterdir()) - before}
+    assert not left & {"ngrams", "scored", "fingerprints", "simhash", "distinct", "quality-rules", "exact-dedup"}
+    assert found.count() > 0
 
 
 def test_empty(spark):

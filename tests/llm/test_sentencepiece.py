@@ -53,7 +53,7 @@ def test_all_ids_come_from_commits(library, monkeypatch):
     newline = op._pieces(PATH).byte_ids[10]  # also ends cuts that nothing else ends
     seen = 0
     for text in [*texts(1000), "x" * 3000, " ".join(f"w{k}" for k in range(500))]:
-        cuts = op._CUT.findall(op.SPACE + text.replace(" ", op.SPACE))
+        cuts = op._pieces(PATH).pattern.findall(op.SPACE + text.replace(" ", op.SPACE))
         if len(set(cuts)) < len(cuts):
             continue
         committed.clear()
@@ -136,7 +136,7 @@ def test_each_prefix_has_one_forward_step(monkeypatch):
     pieces, some = op._pieces(PATH), texts(900)
     own = trie_counts.TrieCounter(pieces)
     got = np.concatenate([own.count(some[k : k + 100]) for k in range(0, len(some), 100)])
-    cuts = {c for t in some for c in op._CUT.findall(op.SPACE + t.replace(" ", op.SPACE) if t else "")}
+    cuts = {c for t in some for c in op._pieces(PATH).pattern.findall(op.SPACE + t.replace(" ", op.SPACE) if t else "")}
     assert own.steps == len({c[:k] for c in cuts for k in range(1, len(c) + 1)})
     monkeypatch.setattr(trie_counts, "NODES", 50)
     monkeypatch.setattr(trie_counts, "LONG", 9)
