@@ -173,9 +173,9 @@ def _gnu() -> Iterator[tuple[str, str]]:
     for label, name, what, versions in GNU:
         for v in versions:
             own = f"{label}-{v}"
-            yield own, f"This work is licensed under the GNU {{{name}, version {v}}}."
-            yield own, f"Licensed under the GNU {{{name} v{v}}}"
-            yield own, f"Licensed under the GNU {{{name} v{v}.0}}"
+            yield own, f"This work is licensed under the {{GNU {name}, version {v}}}."
+            yield own, f"Licensed under the {{GNU {name} v{v}}}"
+            yield own, f"Licensed under the {{GNU {name} v{v}.0}}"
             yield (
                 own,
                 f"""This {what} is free software: you can redistribute it and/or modify it under the terms of the {{GNU {name}}} as published by

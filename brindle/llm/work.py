@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import itertools
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,6 +19,8 @@ BROADCAST_ROWS = 1_000_000
 TAG, KEEPS, NUMBER = "__brindle_tag", "__brindle_keeps", "__brindle_number"
 
 
+#: Paths of tables and files written, for each open :func:`scratch`.
+_written: list[list[str]] = []
 #: Folders of sessions in which ``spark.checkpoint.dir`` is unset, by application.
 _own: dict[str, str] = {}
 
@@ -38,13 +41,16 @@ def work_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _written:
+        _written[-1].append(path)
+    return path
 
 
 def broadcast_bytes(spark: SparkSession) -> int:
     """Bytes of a table that every Python worker may hold: an eighth of an executor's memory."""
     context = spark.sparkContext
-    size = context.getConf().get("spark.driver.memory" if context.master.startswith("local[") else "spark.executor.memory", "1g")
+    size = context.getConf().get("spark.driver.memory" if re.match(r"local(\[|$)", context.master) else "spark.executor.memory", "1g")
     return context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size) // 8
 
 
@@ -61,17 +67,11 @@ def small_arrow_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]
         spark.conf.set(key, before)
 
 
-#: Paths of written tables, for each open :func:`scratch`.
-_written: list[list[str]] = []
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: the lineage ends there,
     so a lost executor costs a file read, not a recomputation."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    if _written:
-        _written[-1].append(path)
     with small_arrow_batches(spark):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -95,7 +95,7 @@ def discard(df: DataFrame) -> None:
 
 @contextlib.contextmanager
 def scratch(spark: SparkSession, *kept: DataFrame) -> Iterator[list[DataFrame]]:
-    """Tables written inside are deleted at the end, but for those added to the list that it gives: frames that are read later. Results
+    """Tables and files written inside are deleted at the end, but for those added to the list that it gives: frames that are read later. Results
     that were not computed inside must not rest on the others."""
     _written.append([])
     keep = list(kept)
