@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: A memo of more entries or characters than these is cut back, and so is any at the end of a task, to the
+#: By default, a memo of more entries or characters than these is cut back, and so is any at the end of a task, to the
 #: cuts met first: frequent ones are met early, and idle worker processes hold little.
 MEMO_ENTRIES, MEMO_CHARS, MEMO_KEPT = 600_000, 10_000_000, 400_000
 #: Characters whose cuts are held at once, unless one cut is longer.
@@ -71,6 +71,8 @@ class CutMemo:
     its values in one flat array. ``boundary`` finds places in a text at which a cut always begins."""
 
     boundary: re.Pattern
+    #: Entries and characters of a memo that is not cut back yet, and the entries that it is cut back to.
+    entries, chars_held, kept = MEMO_ENTRIES, MEMO_CHARS, MEMO_KEPT
 
     def __init__(self, pattern: re.Pattern, dtype: np.dtype):
         self.pattern, self.dtype = pattern, dtype
@@ -80,9 +82,9 @@ class CutMemo:
     def trim(self) -> None:
         """Keep the cuts with the smallest numbers; none, if these are long."""
         pop = self.numbers.popitem  # the newest first
-        for _ in range(len(self.numbers) - MEMO_KEPT):
+        for _ in range(len(self.numbers) - self.kept):
             self.chars -= len(pop()[0])
-        if self.chars > MEMO_CHARS * 3 // 4:
+        if self.chars > self.chars_held * 3 // 4:
             self.numbers, self.chars = _Numbers(), 0
         self.ends = self.ends[: len(self.numbers)].copy()
         self.values = self.values[: self.ends[-1] if len(self.ends) else 0].copy()
@@ -96,7 +98,7 @@ class CutMemo:
 
     def number(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         """The numbers of all texts' cuts, and how many cuts each text has."""
-        if len(self.numbers) > MEMO_ENTRIES or self.chars > MEMO_CHARS:
+        if len(self.numbers) > self.entries or self.chars > self.chars_held:
             self.trim()
         cuts = [self.cut(t) for t in texts]
         sizes = [len(c) for c in cuts]

@@ -10,9 +10,9 @@ Two kinds of model share the search. For ``unigram`` models a path's score is th
 pieces; each position then has exactly one admissible path, and it is the merge order's own result.
 Characters that no piece has fall back to their UTF-8 bytes.
 
-No piece holds a space after another character, and none a line feed. All paths therefore converge before each run of spaces and
-around each line feed. :class:`Codec` feeds the search what lies between such places once and remembers the ids that it commits
-there; longer runs of characters are fed part by part and not remembered. Texts are taken in segments of bounded length.
+No piece holds a space after another character, and none a line feed; nor does any join signs to letters, in many vocabularies. All
+paths therefore converge at such places. :class:`Codec` feeds the search what lies between them once and remembers the ids
+that it commits there; longer runs of characters are fed part by part and not remembered. Texts are taken in segments of bounded length.
 
 Cases: a null or empty text has no ids and decodes to the empty text. A very long text, with spaces or without, needs memory for
 itself and its ids. Rows that repeat are rows of their own. An empty
@@ -26,6 +26,7 @@ import functools
 import heapq
 import itertools
 import re
+import string
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -44,8 +45,8 @@ UNKNOWN_PENALTY = 10.0
 UNKNOWN = 1 << 24
 #: Characters fed at once, and of the longest cut that is remembered.
 FEED, LONG = 1 << 16, 256
-#: Cuts of a text whose ends every path runs through.
-_CUT = re.compile(rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+#: Characters that no piece may join to letters, if the vocabulary is so.
+_SIGNS = frozenset(string.punctuation + string.digits)
 
 
 def default_path() -> str:
@@ -82,9 +83,20 @@ class Pieces:
                 node = node[c][0]
         #: Neighbouring characters of pieces: where two others meet, no piece and no merge reaches across.
         self.joined = {s[k : k + 2] for s in self.ids for k in range(len(s) - 1)}
+        self.pattern = self._cuts()
         self.by_score = {s: self.scores[i] for s, i in self.ids.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+
+    def _cuts(self) -> re.Pattern:
+        """Cuts of a text whose ends every path runs through: before spaces, around line feeds, and between signs and other characters,
+        as far as pieces never hold both."""
+        signs, before = set(_SIGNS), None
+        while signs != before:
+            before = set(signs)
+            signs -= {c for a, b in self.joined if a != SPACE and (a in signs) != (b in signs) for c in (a, b)}
+        own = re.escape("".join(sorted(signs)))
+        both = rf"{SPACE}*[{own}]+|{SPACE}*[^{own}{SPACE}\n]+" if signs else rf"{SPACE}*[^{SPACE}\n]+"
+        return re.compile(rf"{both}|{SPACE}+|\n")
 
     def string(self, number: int) -> str:
         return chr(number - UNKNOWN) if number >= UNKNOWN else self.strings[number]
@@ -109,15 +121,16 @@ class Pieces:
 
     def admissible(self, before: int, piece: int) -> bool:
         """Whether merging leaves these two pieces as they are, side by side; -1: nothing is before."""
-        if before < 0:
-            if (known := self.alone.get(piece)) is None:
-                known = self.alone[piece] = self.merge(self.string(piece)) == [self.string(piece)]
-            return known
         if (known := self.pairs.get((before, piece))) is None:
             if len(self.pairs) > 400_000:
                 self.pairs.clear()
-            a, b = self.string(before), self.string(piece)
-            known = self.pairs[before, piece] = self.admissible(-1, piece) and self.merge(a + b) == [a, b]
+            b = self.string(piece)
+            if before < 0:
+                known = self.merge(b) == [b]
+            else:
+                a = self.string(before)
+                known = self.admissible(-1, piece) and self.merge(a + b) == [a, b]
+            self.pairs[before, piece] = known
         return known
 
     def out(self, number: int) -> list[int]:
@@ -135,7 +148,7 @@ class StreamingViterbi:
 
     def __init__(self, pieces: Pieces, kind: str = "bpe"):
         self.pieces, self.bpe = pieces, kind == "bpe"
-        #: By position: where the piece that ends there starts, its number, and its path's score.
+        #: By position: where the piece that ends there starts, its number, and, for unigram models, its path's score.
         self.starts, self.numbers, self.scores = [0], [-1], [0.0]
         self.open: list[tuple[int, dict]] = []  # start positions, ascending, and the trie nodes reached from them
         self.last = ""
@@ -146,66 +159,73 @@ class StreamingViterbi:
     def feed(self, text: str) -> list[int]:
         """Read ``text`` and return the ids that it commits."""
         done: list[int] = []
-        pieces, bpe = self.pieces, self.bpe
+        bpe, pieces, commit = self.bpe, self.pieces, self._commit
         trie, ids, joined, limit = pieces.trie, pieces.ids, pieces.joined, 2 * pieces.longest
-        pairs, admissible, piece_scores = pieces.pairs, pieces.admissible, pieces.scores
-        starts, numbers, scores, open_, last = self.starts, self.numbers, self.scores, self.open, self.last
+        pairs, admissible = pieces.pairs, pieces.admissible
+        starts, numbers, open_, last = self.starts, self.numbers, self.open, self.last
         for c in text:
-            at = len(starts)
-            if at == 1 and last + c not in joined:
+            end = len(starts)
+            at = end - 1
+            if not at and last + c not in joined:
                 numbers[0] = -1  # no piece, and no merge, reaches over the boundary
-            open_.append((at - 1, trie))
-            reached, number, begin, best = [], -1, at - 1, 0.0
-            for start, node in open_:
-                if (step := node.get(c)) is None:
-                    continue
-                node, i = step
-                if node:
-                    reached.append((start, node))
-                if i < 0:
-                    continue
-                if bpe:
-                    if number < 0:
-                        before = numbers[start]
-                        if (good := pairs.get((before, i))) is None:
-                            good = admissible(before, i)
-                        if good:
-                            number, begin = i, start
-                elif number < 0 or scores[start] + piece_scores[i] > best:
-                    number, begin, best = i, start, scores[start] + piece_scores[i]
-            if c not in ids:
-                i = UNKNOWN + ord(c)
-                if bpe:
-                    if number < 0 and admissible(numbers[at - 1], i):
-                        number = i
-                elif number < 0 or scores[at - 1] + pieces.unknown_score > best:
-                    number, begin, best = i, at - 1, scores[at - 1] + pieces.unknown_score
-            if number < 0:
-                raise AssertionError("no admissible piece ends here")
-            starts.append(begin)
-            numbers.append(number)
-            scores.append(best)
-            open_ = reached
-            if not reached:
-                if begin and begin == at - 1:
-                    self._commit(begin, done)
-                    at = 1
-                boundary = at
-            elif begin == at - 1 and reached[0][0] == begin:
-                boundary = begin
-            elif at >= limit:
-                boundary = self._meeting(open_)
+            open_.append((at, trie))
+            if bpe:
+                # Extend the open pieces, and the one admissible path by a piece that ends here.
+                reached, number, begin = [], -1, at
+                for start, node in open_:
+                    if c in node:
+                        node, i = node[c]
+                        if node:
+                            reached.append((start, node))
+                        if i >= 0 and number < 0:
+                            pair = numbers[start], i
+                            if pairs[pair] if pair in pairs else admissible(*pair):
+                                number, begin = i, start
+                if number < 0:
+                    number = UNKNOWN + ord(c)
+                    if c in ids or not admissible(numbers[at], number):
+                        raise AssertionError("no admissible piece ends here")
+                starts.append(begin)
+                numbers.append(number)
+                open_ = reached
             else:
-                boundary = 0
-            if boundary:
-                self._commit(boundary, done)
-                if boundary == at - 1 and last + c not in joined:
-                    numbers[0] = -1
+                open_, begin = self._best(c, open_, at)
+            if not open_:  # all paths run through this place
+                if begin and begin == at:
+                    commit(begin, done)
+                    end = 1
+                commit(end, done)
+            elif begin == at and open_[0][0] == at:  # through the one before
+                if at:
+                    commit(at, done)
+                    if last + c not in joined:
+                        numbers[0] = -1
+                    open_ = [(0, node) for _, node in open_]
+            elif end >= limit and (boundary := self._meeting(open_)):
+                commit(boundary, done)
                 open_ = [(start - boundary, node) for start, node in open_]
             last = c
         self.open, self.last = open_, last
         return done
 
+    def _best(self, c: str, open_: list[tuple[int, dict]], at: int) -> tuple[list[tuple[int, dict]], int]:
+        """Extend the open pieces, and the path of the best score by a piece that ends with ``c``; of equal ones that whose last piece is
+        the longest. What is open now, and where that piece starts."""
+        pieces, scores, reached, number, begin, best = self.pieces, self.scores, [], -1, at, 0.0
+        for start, node in open_:
+            if (found := node.get(c)) is not None:
+                node, i = found
+                if node:
+                    reached.append((start, node))
+                if i >= 0 and (number < 0 or scores[start] + pieces.scores[i] > best):
+                    number, begin, best = i, start, scores[start] + pieces.scores[i]
+        if c not in pieces.ids and (number < 0 or scores[at] + pieces.unknown_score > best):
+            number, begin, best = UNKNOWN + ord(c), at, scores[at] + pieces.unknown_score
+        self.starts.append(begin)
+        self.numbers.append(number)
+        scores.append(best)
+        return reached, begin
+
     def finish(self) -> list[int]:
         """The ids not yet committed; the stream ends, and with it all paths but one."""
         done: list[int] = []
@@ -229,23 +249,22 @@ class StreamingViterbi:
 
     def _commit(self, boundary: int, done: list[int]) -> None:
         """Add the ids of the one path up to ``boundary`` to ``done`` and forget it."""
-        found, k, starts, numbers = [], boundary, self.starts, self.numbers
-        while k > 0:
-            i = numbers[k]
-            if i < UNKNOWN:
+        k, starts, numbers, n = boundary, self.starts, self.numbers, len(done)
+        found = []
+        while k:
+            if (i := numbers[k]) < UNKNOWN:
                 found.append(i)
             else:
                 found += reversed(self.pieces.out(i))
             k = starts[k]
-        found.reverse()
-        done += found
-        starts[: boundary + 1] = [boundary]
-        starts[:] = [start - boundary for start in starts]
+        done += found[::-1]
+        starts[:] = [0, *[start - boundary for start in starts[boundary + 1 :]]]
         del numbers[:boundary]
-        least = self.scores[boundary]
-        self.scores[:] = [x - least for x in self.scores[boundary:]]
+        if not self.bpe:
+            least = self.scores[boundary]
+            self.scores[:] = [x - least for x in self.scores[boundary:]]
         self.chars += boundary
-        self.ids += len(found)
+        self.ids += len(done) - n
         self.commits.append((self.chars, self.ids))
 
 
@@ -253,10 +272,11 @@ class Codec(CutMemo):
     """Whole texts to ids and back. All ids come from the streaming search; those of short cuts are remembered."""
 
     boundary = re.compile(rf"(?<=[^{SPACE}]){SPACE}|\n")
+    entries, chars_held, kept = 1_200_000, 20_000_000, 900_000  # a cut costs more to search than to hold
 
     def __init__(self, path: str, kind: str = "bpe"):
         self.pieces, self.kind = _pieces(path), kind
-        super().__init__(_CUT, np.dtype("<u2" if len(self.pieces.strings) <= 1 << 16 else "<u4"))
+        super().__init__(self.pieces.pattern, np.dtype("<u2" if len(self.pieces.strings) <= 1 << 16 else "<u4"))
 
     def stream(self, text: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of a text that comes in parts, with spaces as U+2581, as they are committed."""
@@ -275,8 +295,8 @@ class Codec(CutMemo):
         for k, cut in enumerate(cuts):
             if len(cut) > LONG:
                 continue
-            # "\n" is a cut itself, and no piece has it; U+2581 after another character begins a cut.
-            if parts and (cut[0] != SPACE or parts[-1][-1] == SPACE):
+            # "\n" is a cut itself, and no piece has it.
+            if parts and parts[-1][-1] + cut[0] in self.pieces.joined:
                 parts.append("\n")
                 at += 1
             order.append((k, at))

@@ -6,7 +6,7 @@ pre-tokens that begin with it; new pre-tokens come in sorted order, so that the
 pre-token's terminal count is remembered; a text has the sum of its pre-tokens' counts. A trie of NODES nodes is begun anew.
 Pre-tokens of over LONG characters are not inserted: their forward scores are held for as long as open pieces ask for them.
 
-Pre-tokens end before runs of spaces and around line feeds, which no piece of the model spans, so that the best
+Pre-tokens end before runs of spaces, around line feeds and between signs and letters, which no piece of the model spans, so that the best
 segmentation of a text is made of those of its pre-tokens. Of segmentations with equal scores the one with fewer tokens
 counts. A character that no piece has counts as many tokens as it has bytes.
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.bpe_ids import CutMemo
-from brindle.llm.sentencepiece_stream import _CUT, LONG, SPACE, Codec, Pieces, _pieces
+from brindle.llm.sentencepiece_stream import LONG, SPACE, Codec, Pieces, _pieces
 from brindle.llm.work import slices
 
 #: Nodes of a worker's trie, some 150 bytes each.
@@ -45,7 +45,7 @@ class TrieCounter(CutMemo):
         self.pieces = pieces
         self.steps = 0  # forward scores computed
         self.drop()
-        super().__init__(_CUT, np.dtype(np.int64))
+        super().__init__(pieces.pattern, np.dtype(np.int64))
 
     def drop(self) -> None:
         self.children: dict[int, int] = {}

@@ -149,8 +149,8 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame, by: tuple[str, ...] = ()) ->
     more = repeated.where(F.col(KEEPS) > 1)
     if not more.head(1):
         return kept
-    numbered = tagged.join(more, met).withColumn(NUMBER, F.row_number().over(Window.partitionBy(*equal).orderBy(TAG)))
-    return kept.unionByName(numbered.where(F.col(NUMBER) <= F.col(KEEPS)).select(*docs.columns))
+    ranked = tagged.join(more, met).withColumn(NUMBER, F.row_number().over(Window.partitionBy(*equal).orderBy(TAG)))
+    return kept.unionByName(ranked.where(F.col(NUMBER) <= F.col(KEEPS)).select(*docs.columns))
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:

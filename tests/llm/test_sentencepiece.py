@@ -166,9 +166,8 @@ def test_tables(spark, library):
 
 
 def test_memo_limits_change_nothing(monkeypatch, library):
-    from brindle.llm import bpe_ids
-
-    monkeypatch.setattr(bpe_ids, "MEMO_ENTRIES", 2)
+    monkeypatch.setattr(op.Codec, "entries", 2)
+    monkeypatch.setattr(op.Codec, "kept", 1)
     own = op.Codec(PATH)
     assert [own.encode_texts([t])[0].tolist() for t in ("one two", "two three", "one")] == library.encode(["one two", "two three", "one"])
     assert own.decode(np.array([], dtype=np.uint16)) == ""

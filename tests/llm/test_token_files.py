@@ -35,7 +35,8 @@ def test_added_tokens_are_the_library_s(library):
 
 
 def test_a_full_memo_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(bpe_ids, "MEMO_ENTRIES", 3)
+    monkeypatch.setattr(bpe_ids.Encoder, "entries", 3)
+    monkeypatch.setattr(bpe_ids.Encoder, "kept", 2)
     e = bpe_ids.Encoder(bpe_ids.default_path())
     for text in ["one two three four", "five six", "one six"]:
         assert np.frombuffer(e.encode([text])[0], e.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
