@@ -10,7 +10,6 @@ tokens' ids, and what stands before and after one is encoded on its own.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import os
 import re
@@ -18,11 +17,13 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from brindle.llm.work import held
+
 #: By default, a memo of more entries or characters than these is cut back, and so is any at the end of a task, to the
 #: cuts met first: frequent ones are met early, and idle worker processes hold little.
 MEMO_ENTRIES, MEMO_CHARS, MEMO_KEPT = 600_000, 10_000_000, 400_000
 #: Characters whose cuts are held at once, unless one cut is longer.
-RUN = 4_000_000
+RUN = 1_000_000
 
 _L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _CUT = re.compile(
@@ -34,9 +35,8 @@ _CUT = re.compile(
 _WORD = re.compile(rf" [{_L}]+")
 
 
-@functools.lru_cache(maxsize=1)
 def _library(path: str):
-    """Loaded once a worker process: the tokenizer; the same for texts of spaced words alone, which it need not
+    """The tokenizer; the same for texts of spaced words alone, which it need not
     search by the full pattern; which ids begin with a space; and the strings of added tokens."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -195,10 +195,9 @@ class Encoder(CutMemo):
         return ids, lens
 
 
-@functools.lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One encoder a worker process: its later tasks know the words of its earlier ones."""
-    return Encoder(path)
+    return held(("bpe_ids", path), lambda: Encoder(path))
 
 
 def default_path() -> str:

@@ -35,7 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
     current = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     seen = None
     for _ in range(MAX_STEPS):
-        before, current = current, materialize(_star(_star(current, True), False), "star")
+        before, current = current, materialize(_star(_star(current, True), False), "star", small=True)
         discard(before)
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:

@@ -197,7 +197,7 @@ def duplicate_groups(docs: DataFrame, moduli=MODULI, huge: int = HUGE, chunk: in
             "doc_id", "tag", "more", F.col("keep_rid").alias("gid"), F.ceil(F.col("size") / PER_SALT).cast("int").alias("salts")
         )
         members = members.agg(F.max(F.col("rid") == F.col("keep_rid")).alias("is_rep"), F.count(F.lit(1)).alias("rows"))
-        differs = materialize(_compare(docs, members, chunk).where("NOT equal"), "unequal")
+        differs = materialize(_compare(docs, members, chunk).where("NOT equal"), "unequal", small=True)
         if not differs.head(1):
             break
         if differs.where("is_rep").head(1):

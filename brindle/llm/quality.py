@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.llm.lookup import Found, look_up, with_runs
-from brindle.llm.work import BROADCAST_ROWS, broadcast_bytes, keep_rows, materialize, slices
+from brindle.llm.work import BROADCAST_ROWS, broadcast_bytes, held, keep_rows, materialize, slices
 
 ORDER = 4
 #: Bits of a code point: codes of three characters fit 63.
@@ -124,6 +124,7 @@ def distinct(grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    scripts()  # other operators' models go
     kept: list[tuple[np.ndarray, ...]] = []
 
     def merged() -> tuple[np.ndarray, ...]:
@@ -298,7 +299,7 @@ def _context(k: int, head: np.ndarray, rest: np.ndarray) -> np.ndarray:
 
 def build_model(docs: DataFrame) -> tuple[DataFrame, float, int] | None:
     """The shards of the model of all texts, a written table; its root; the bits that name a shard. None without texts."""
-    counts = materialize(count_ngrams(docs), "ngrams")
+    counts = materialize(count_ngrams(docs), "ngrams", small=True)
     n = counts.count()
     if not n:
         return None
@@ -348,9 +349,7 @@ def repeat_words(words: list[bytes]) -> int:
     return int((np.cumsum(covered) > 0).sum())
 
 
-@functools.lru_cache(maxsize=1)
-def scripts() -> tuple[np.ndarray, list[str | None]]:
-    """A number for each code point, and what they stand for: the first word of a letter's name, None for what is no letter."""
+def _scripts() -> tuple[np.ndarray, list[str | None]]:
     numbers: dict[str | None, int] = {None: 0}
     table = np.zeros(0x110000, dtype=np.uint16)
     for point in range(0x110000):
@@ -361,6 +360,11 @@ def scripts() -> tuple[np.ndarray, list[str | None]]:
     return table, list(numbers)
 
 
+def scripts() -> tuple[np.ndarray, list[str | None]]:
+    """A number for each code point, and what they stand for: the first word of a letter's name, None for what is no letter."""
+    return held(("quality",), _scripts)
+
+
 SCORED = (
     "rid long, doc_id long, tag long, lang string, script string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, per_word double, per_char double"
@@ -449,11 +453,11 @@ def score(docs: DataFrame, model_bytes: int | None = None) -> DataFrame:
     :func:`brindle.llm.work.broadcast_bytes`) is not broadcast but asked in its shards."""
     spark, built = docs.sparkSession, build_model(docs)
     if built is None:
-        shards, root, bits, held = None, 0.0, 1, 0
+        shards, root, bits, size = None, 0.0, 1, 0
     else:
         shards, root, bits = built
-        held = 16 * shards.agg(F.sum("n")).first()[0]
-    if held > (broadcast_bytes(spark) if model_bytes is None else model_bytes):
+        size = 16 * shards.agg(F.sum("n")).first()[0]
+    if size > (broadcast_bytes(spark) if model_bytes is None else model_bytes):
         rows = _texts(docs)
         docs_in_runs = with_runs(rows, rows.agg(F.sum(F.char_length("text").cast("long"))).first()[0])
         return materialize(look_up(docs_in_runs, _prepare, shards, bits, _answer, ANSWER, _finish(root), SCORED), "scored")
@@ -495,7 +499,7 @@ def find_bands(scored: DataFrame) -> DataFrame:
     good = good.select("lang", "script", "n_words", "x.measure", "x.value")
     keys = ["lang", "script", "measure"]
     mid = _middle(_histogram(good, F.col("value")), *keys).select(*(F.col(c).alias(f"b_{c}") for c in keys), F.col("middle").alias("mid"))
-    mid = materialize(mid, "medians")
+    mid = materialize(mid, "medians", small=True)
     spread = _histogram(_with_bands(good, mid, True), F.abs(F.col("value") - F.col("mid")) * F.sqrt("n_words"))
     whole = spread.where(F.col("script").isNull()).groupBy("measure", "bin").agg(F.sum("n").alias("n"))  # each text once
     every = _middle(whole, "measure").select(F.col("measure").alias("e_measure"), F.col("middle").alias("every"))
@@ -503,7 +507,7 @@ def find_bands(scored: DataFrame) -> DataFrame:
     devs = _middle(spread, *keys).join(F.broadcast(every), F.col("measure") == F.col("e_measure")).withColumn("dev", dev)
     both = _with_bands(devs, mid, True)
     columns = [F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}") for m in MEASURES for c in ("mid", "dev")]
-    return materialize(both.groupBy(F.col("lang").alias("b_lang"), F.col("script").alias("b_script")).agg(*columns), "bands")
+    return materialize(both.groupBy(F.col("lang").alias("b_lang"), F.col("script").alias("b_script")).agg(*columns), "bands", small=True)
 
 
 def judge(docs: DataFrame, model_bytes: int | None = None) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.bpe_ids import CutMemo
-from brindle.llm.work import slices
+from brindle.llm.work import held, slices
 
 SPACE = "▁"
 #: What the library subtracts from the lowest score for an unknown character.
@@ -338,9 +338,8 @@ def _pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-@functools.lru_cache(maxsize=1)
 def codec(path: str, kind: str) -> Codec:
-    return Codec(path, kind)
+    return held(("sentencepiece_stream", path, kind), lambda: Codec(path, kind))
 
 
 ENCODED = "doc_id long, ids array<int>"

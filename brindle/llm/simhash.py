@@ -205,7 +205,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, block
     whether the row is the one that stands for its component."""
     rows = materialize(fingerprints(docs, words), "simhash")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
-    distinct = materialize(rows.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
+    distinct = materialize(rows.groupBy("fp").agg(F.min(first).alias("first")), "distinct", small=True)
     edges = materialize(link_edges(distinct.select("fp"), radius, blocks), "links")
     roots = components(edges)
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))

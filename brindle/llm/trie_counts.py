@@ -16,7 +16,6 @@ result. Other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 from array import array
 from collections.abc import Iterator
 
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from brindle.llm.bpe_ids import CutMemo
 from brindle.llm.sentencepiece_stream import LONG, SPACE, Codec, Pieces, _pieces
-from brindle.llm.work import slices
+from brindle.llm.work import held, slices
 
 #: Nodes of a worker's trie, some 150 bytes each.
 NODES = 1_000_000
@@ -51,10 +50,6 @@ class TrieCounter(CutMemo):
         self.children: dict[int, int] = {}
         self.score, self.tokens = array("d", [0.0]), array("q", [0])  # of tokens the negative number
 
-    def trim(self) -> None:
-        super().trim()
-        self.drop()
-
     def find(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         counts = np.empty(len(cuts), dtype=np.int64)
         root, scores, ids, unknown = self.pieces.trie, self.pieces.scores, self.pieces.ids, self.pieces.unknown_score
@@ -144,9 +139,8 @@ class TrieCounter(CutMemo):
         return out
 
 
-@functools.lru_cache(maxsize=1)
 def counter(path: str) -> TrieCounter:
-    return TrieCounter(_pieces(path))
+    return held(("trie_counts", path), lambda: TrieCounter(_pieces(path)))
 
 
 def _counts(path: str):

@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 import itertools
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: A table of keys of at most so many rows (some 32 bytes each) is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Tasks for each core that write a small table.
+SMALL_TASKS = 4
 #: Column names of ours that no table has.
 TAG, KEEPS, NUMBER = "__brindle_tag", "__brindle_keeps", "__brindle_number"
 
@@ -67,11 +74,14 @@ def small_arrow_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]
         spark.conf.set(key, before)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: the lineage ends there,
-    so a lost executor costs a file read, not a recomputation."""
+    so a lost executor costs a file read, not a recomputation. A ``small`` table, of keys or sums, is written by a few
+    tasks for each core: not by as many as large shuffles have, in files of a few rows."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if small:
+        df = df.coalesce(SMALL_TASKS * spark.sparkContext.defaultParallelism)
     with small_arrow_batches(spark):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -134,7 +144,7 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame, by: tuple[str, ...] = ()) ->
     keys = verdicts.groupBy("doc_id", "tag", *by).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("kept").cast("int")).alias("keeps"))
     others = [F.col(c).alias(f"x_{c}") for c in by]
     gone = keys.where("keeps < rows").select(F.col("doc_id").alias("x_id"), F.col("tag").alias("x_tag"), *others, F.col("keeps").alias(KEEPS))
-    gone = materialize(gone, "dropped")
+    gone = materialize(gone, "dropped", small=True)
     side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     tagged = docs.withColumn(TAG, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     met = (F.col(TAG) == F.col("x_tag")) & F.col("doc_id").cast("long").eqNullSafe(F.col("x_id"))
@@ -153,9 +163,30 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame, by: tuple[str, ...] = ()) ->
     return kept.unionByName(ranked.where(F.col(NUMBER) <= F.col(KEEPS)).select(*docs.columns))
 
 
+#: By key, the one model that a worker process keeps.
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], T]) -> T:
+    """What ``make`` makes, kept in this worker process for its later tasks, until another key is asked for: workers serve all
+    operators of a session, and hold one model at a time."""
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        _held[key] = make()
+    return _held[key]
+
+
+def give_back() -> None:
+    """Return unused memory of this process to the system: Arrow's, and the C library's where it can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most so many rows, so that few texts are Python objects at once."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
-    pa.default_memory_pool().release_unused()  # an idle worker holds no buffers of its last task
+    give_back()  # an idle worker holds no buffers of its last task
