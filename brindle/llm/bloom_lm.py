@@ -9,11 +9,13 @@ its own n-grams need; so is the exact table of word counts that the base score a
 an executor's memory are broadcast. Those of a larger model stay where they are and are probed there: runs of texts send them
 their distinct n-grams (see :mod:`brindle.llm.lookup`), so that the cost grows with the corpus alone.
 
-Model: p(w | v) = (c(v w) + m * p(w)) / (c(v) + m), p(w) = (c(w) + 1) / z. Counts are the mean counts of
-their quantisation bins; m is the mean number of bigrams a context has, z makes p(w) sum to one over the
-training words and one unknown word. A bigram counts only if both its words are in the filter. The p(w | v) of a context sum to
-one as exactly as counts are known: the means of bigrams' bins need not add up to that of their context's bin (each within
-a factor BASE of its count), and a false positive of the filter adds to a sum.
+Model: absolute discounting, p(w | v) = (max(c(v w) - d, 0) + d * t(v) * p(w)) / c(v), and p(w) = (c(w) + 1) / z, which also stands for
+p(w | v) where v is unknown. Counts are the mean counts of their quantisation bins. d = n1 / (n1 + 2 n2), from the numbers of bigrams seen
+once and twice. t(v) = c(v) ** b stands for the number of words that follow v: b is such that the t(v) of all contexts add up to the
+number of distinct bigrams. z makes p(w) sum to one over the training words and one unknown word. A bigram counts only if both its words
+are in the filter. The p(w | v) of a context so sum to one on average, not each: t(v) is an estimate, the means of bigrams' bins
+need not add up to that of their context's bin (each within a factor BASE of its count), and false positives of the filter
+add to a sum.
 
 Words are told apart by 64-bit hashes.
 
@@ -232,8 +234,15 @@ class Totals:
         self.mean = mean.reshape(2, -1)  # mean count by size and level
         filled = np.maximum.accumulate(np.where(self.mean > 0, self.mean, 0), axis=1)
         self.mean = np.where(self.mean > 0, self.mean, filled)  # levels that only false positives reach
-        self.z = float((self.mean[0] * sizes[: len(sizes) // 2]).sum() + n_words + 1)
-        self.m = max(1.0, float(sizes[len(sizes) // 2 :].sum()) / max(1, n_words))
+        words, pairs = sizes[: len(sizes) // 2], sizes[len(sizes) // 2 :]
+        self.z = float((self.mean[0] * words).sum() + n_words + 1)
+        self.start_level = 0
+        once, twice = int(pairs[1]), int(pairs[2])  # the bins of counts 1 and 2 hold these alone
+        self.discount = min(max(once / (once + 2 * twice), 0.05), 0.95) if once else 0.5
+        low, high = 0.0, 1.0
+        for _ in range(60):
+            self.power = (low + high) / 2
+            low, high = (self.power, high) if (words[1:] * self.mean[0][1:] ** self.power).sum() < pairs.sum() else (low, self.power)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -260,7 +269,9 @@ def _scores(found: np.ndarray, sizes: np.ndarray, totals: Totals) -> list[np.nda
     context[starts] = totals.start_level
     c = totals.mean[0][context]
     both = np.where((own > 0) & (context > 0), np.minimum(totals.mean[1][pair], c), 0.0)
-    model = np.log10((both + totals.m * p) / (c + totals.m))
+    c, d = np.maximum(c, 1.0), totals.discount
+    follows = np.maximum(both - d, 0.0) / c + d * c ** (totals.power - 1) * p
+    model = np.log10(np.where(context > 0, follows, p))
     return [np.add.reduceat(x, starts) for x in ((count > 0).astype(np.int64), base, model)]
 
 

@@ -42,8 +42,8 @@ def test_probing_shards_where_they_are_changes_no_score(spark, monkeypatch):
     monkeypatch.setattr(lookup, "RUN_CHARS", 5000)
     docs = documents(spark, ROWS)
     key = lambda r: (r.doc_id or -1, r.n_tokens, round(r.base_score, 6))
-    a = sorted((*key(r), round(r.score, 9)) for r in op.score(docs, 2000).collect())
-    b = sorted((*key(r), round(r.score, 9)) for r in op.score(docs, 2000, 0).collect())
+    a = sorted((*key(r), round(r.score, 9)) for r in op.score(docs, 20000).collect())
+    b = sorted((*key(r), round(r.score, 9)) for r in op.score(docs, 20000, 0).collect())
     assert a == b
 
 
@@ -64,7 +64,13 @@ def exact_scores(texts, held):
             bins.setdefault(own[k], []).append(c)
         mean.append({q: sum(c) / len(c) for q, c in bins.items()})
     z = sum(mean[0][q] for q in level[0].values()) + len(words) + 1
-    m = max(1.0, len(pairs) / max(1, len(words)))
+    once, twice = (sum(c == k for c in pairs.values()) for k in (1, 2))
+    d = min(max(once / (once + 2 * twice), 0.05), 0.95) if once else 0.5
+    low_b, high_b = 0.0, 1.0
+    while high_b - low_b > 1e-15:
+        b = (low_b + high_b) / 2
+        types = sum(mean[0][q] ** b for q in level[0].values())
+        low_b, high_b = (b, high_b) if types < len(pairs) else (low_b, b)
     n_train = held.count(False)
     start = mean[0].get(low(n_train)) or max((mean[0][q] for q in mean[0] if q < low(n_train)), default=0) if n_train else 0
     out = []
@@ -74,7 +80,7 @@ def exact_scores(texts, held):
             c = start if before == 0 else mean[0][level[0][before]] if before in level[0] else 0.0
             p = ((mean[0][level[0][x]] if x in level[0] else 0.0) + 1) / z
             both = min(mean[1][level[1][before, x]], c) if (before, x) in level[1] and x in level[0] else 0.0
-            total += math.log10((both + m * p) / (c + m))
+            total += math.log10((max(both - d, 0) + d * c**b * p) / c if c else p)
             before = x
         out.append(total)
     return out
@@ -139,5 +145,11 @@ def test_probabilities_sum_to_one_and_learn(spark):
     assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_held_out_documents_are_likelier_than_by_words_alone(spark):
+    rows = [r for r in op.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect() if r.held_out]
+    n = sum(r.n_tokens for r in rows)
+    assert sum(r.score for r in rows) / n > sum(r.base_score for r in rows) / n + 0.2
+
+
 def test_empty(spark):
     assert op.score(empty(spark)).collect() == []
