@@ -67,7 +67,7 @@ class _Numbers(dict):
 
 
 class CutMemo:
-    """Values of texts' cuts, each found once and remembered: the number of each cut, and by number the place of
+    """Values of texts' cuts, each found once and remembered: the number of each cut, and by number the bounds of
     its values in one flat array. ``boundary`` finds places in a text at which a cut always begins."""
 
     boundary: re.Pattern
@@ -77,7 +77,7 @@ class CutMemo:
     def __init__(self, pattern: re.Pattern, dtype: np.dtype):
         self.pattern, self.dtype = pattern, dtype
         self.numbers, self.chars = _Numbers(), 0
-        self.values, self.ends = np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        self.values, self.bounds = np.zeros(0, self.dtype), np.zeros(1, np.int64)
 
     def trim(self) -> None:
         """Keep the cuts with the smallest numbers; none, if these are long."""
@@ -86,8 +86,8 @@ class CutMemo:
             self.chars -= len(pop()[0])
         if self.chars > self.chars_held * 3 // 4:
             self.numbers, self.chars = _Numbers(), 0
-        self.ends = self.ends[: len(self.numbers)].copy()
-        self.values = self.values[: self.ends[-1] if len(self.ends) else 0].copy()
+        self.bounds = self.bounds[: len(self.numbers) + 1].copy()
+        self.values = self.values[: self.bounds[-1]].copy()
 
     def cut(self, text: str) -> list[str]:
         return self.pattern.findall(text)
@@ -108,7 +108,7 @@ class CutMemo:
         if waiting:
             self.chars += sum(map(len, waiting))
             values, lens = self.find(waiting)
-            self.ends = np.concatenate([self.ends, np.cumsum(lens) + len(self.values)])
+            self.bounds = np.concatenate([self.bounds, np.cumsum(lens) + len(self.values)])
             self.values = np.concatenate([self.values, values])
         return which, sizes
 
@@ -143,8 +143,8 @@ class CutMemo:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         which, sizes = self.number(texts)
-        starts = np.concatenate([[0], self.ends])[which]
-        lens = self.ends[which] - starts
+        starts = self.bounds[which]
+        lens = self.bounds[which + 1] - starts
         stops = np.cumsum(lens)
         total = int(stops[-1]) if len(stops) else 0
         small = np.int32 if total + len(self.values) < 1 << 31 else np.int64
