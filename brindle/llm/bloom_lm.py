@@ -249,12 +249,13 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 def _look_up(part: Slice, tokens: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """Rows: exact word counts, levels of words, levels of bigrams."""
+    """Rows: exact word counts, levels of words, levels of bigrams. Distinct n-grams are probed in order, shard by shard."""
     distinct, back = np.unique(tokens, return_inverse=True)
     out = np.empty((3, len(tokens)), dtype=np.int64)
     out[0] = part.word_counts(distinct)[back]
     out[1] = part.levels(distinct, distinct)[back]
-    out[2] = part.levels(mix(pairs), pairs)
+    distinct, back = np.unique(pairs, return_inverse=True)
+    out[2] = part.levels(mix(distinct), distinct)[back]
     return out
 
 
