@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bloom_lm, bpe_ids, exact_dedup, license_scan, packing, page_text, quality, sentencepiece_stream, simhash, token_files, trie_counts
+from brindle.llm import bloom_lm, bpe_ids, exact_dedup, fim, license_scan, packing, page_text, quality, sentencepiece_stream, simhash, token_files, trie_counts
 from brindle.llm.work import materialize, new_path
 
 
@@ -68,6 +68,14 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fim.restore(fim.transform(_table(spark, sf_dir, "documents")))
+    return done.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_bloom_lm": op2_bloom_lm,
@@ -79,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_trie_counts": op9_trie_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -90,4 +99,19 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
     """,
+    "op13_fill_in_middle": """
+        WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS x FROM documents),
+        drawn AS (
+            SELECT *, CAST('0x' || x[1:8] AS BIGINT) % (n + 1) AS one, CAST('0x' || x[9:16] AS BIGINT) % (n + 1) AS two,
+                   n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || x[17:24] AS BIGINT) % 100 >= 90 AS stays,
+                   CAST('0x' || x[25:32] AS BIGINT) % 100 < 20 AS suffix_first FROM texts),
+        parts AS (
+            SELECT *, least(one, two) AS a, greatest(one, two) AS b, substr(t, 1, least(one, two)) AS p,
+                   substr(t, least(one, two) + 1, greatest(one, two) - least(one, two)) AS m, substr(t, greatest(one, two) + 1) AS s FROM drawn)
+        SELECT doc_id, n, CASE WHEN stays THEN 'plain' WHEN suffix_first THEN 'spm' ELSE 'psm' END AS form,
+               CASE WHEN NOT stays THEN a END AS prefix_chars, CASE WHEN NOT stays THEN b - a END AS middle_chars,
+               sha256(CASE WHEN stays THEN t WHEN suffix_first THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM parts
+    """,
 }
