@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bloom_lm, bpe_ids, exact_dedup, fim, license_scan, packing, page_text, quality, sentencepiece_stream, simhash, token_files, trie_counts
+from brindle.llm import bloom_lm, bpe_ids, exact_dedup, fim, license_scan, packing, page_text, quality, sentencepiece_stream, simhash, token_files, topk, trie_counts
 from brindle.llm.work import materialize, new_path
 
 
@@ -68,6 +68,10 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = fim.restore(fim.transform(_table(spark, sf_dir, "documents")))
     return done.select(
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_trie_counts": op9_trie_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_exact_top_k": op11_exact_top_k,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -99,6 +104,16 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
     """,
+    "op11_exact_top_k": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+            FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM pairs QUALIFY rank <= 10
+    """,
     "op13_fill_in_middle": """
         WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS x FROM documents),
         drawn AS (
