@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bloom_lm, bpe_ids, exact_dedup, fim, license_scan, packing, page_text, quality, sentencepiece_stream, simhash, token_files, topk, trie_counts
+from brindle.llm import bloom_lm, bpe_ids, exact_dedup, fim, lexical, license_scan, packing, page_text, quality, sentencepiece_stream, simhash, token_files, topk, trie_counts
 from brindle.llm.work import materialize, new_path
 
 
@@ -72,6 +72,10 @@ def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op12_tput_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = fim.restore(fim.transform(_table(spark, sf_dir, "documents")))
     return done.select(
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_trie_counts": op9_trie_counts,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_exact_top_k": op11_exact_top_k,
+    "op12_tput_search": op12_tput_search,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -114,6 +119,26 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM pairs QUALIFY rank <= 10
     """,
+    "op12_tput_search": r"""
+        WITH words AS (
+            SELECT row_number() OVER () AS k, doc_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        asked AS (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        totals AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM words WHERE len(w) > 0),
+        postings AS (
+            SELECT k, any_value(doc_id) AS doc_id, term, count(*) AS tf, any_value(n) AS n
+            FROM (SELECT k, doc_id, unnest(w) AS term, len(w) AS n FROM words) WHERE term IN (SELECT term FROM asked) GROUP BY k, term),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM postings, totals GROUP BY term),
+        scores AS (
+            SELECT item_id, k, any_value(doc_id) AS doc_id,
+                   CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM asked JOIN postings USING (term) JOIN weights USING (term), totals GROUP BY item_id, k)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, k) AS INTEGER) AS rank, doc_id, score
+        FROM scores WHERE score > 0 QUALIFY rank <= 20
+    """,
     "op13_fill_in_middle": """
         WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS x FROM documents),
         drawn AS (
