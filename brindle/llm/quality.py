@@ -12,7 +12,8 @@ rather than one a language, since texts mix languages; the bands make it languag
 A text has a log perplexity per word and one per character. Each must lie in its band: the median of all texts of its language and
 script, give or take BAND robust deviations for the text's number of words. The language is the table's, whatever its value; the
 script is that of most of the text's letters, by their Unicode names; texts without letters have their whole language's band.
-Medians and deviations come from histograms, fixed in size for each band, over all texts that pass the base rules.
+Medians and deviations come from histograms over all texts that pass the base rules, whose size grows only with the logarithm of the largest
+value, to one part in BINS.
 
 Cases: a null text has no words and fails the base rules. Every value of the language has bands, and so has null. Rows
 that repeat stay rows of their own. A band without any text that passes the base rules rejects nothing; one of fewer than FEW texts has its
@@ -48,8 +49,9 @@ MIN_WORDS, MAX_REPEAT, WINDOW = 10, 20, 5
 BAND = 4.0
 #: A band of fewer texts deviates at least as all texts do from their bands' medians.
 FEW = 30
-#: Bins a unit in the histograms, and the largest value told apart.
-BINS, TOP = 2000, 60
+#: A bin of the histograms is one BINS-th of its value wide, but for values far below FINE, whose bins are one BINS-th of FINE. No value is
+#: too large for a bin of its own.
+BINS, FINE = 2000, 1 / 64
 #: Characters scored at once, and distinct four-grams counted before they are passed on.
 CHARS, HELD = 1_000_000, 1_000_000
 #: Entries of the model a shard.
@@ -462,7 +464,11 @@ def score(docs: DataFrame, model_bytes: int | None = None) -> DataFrame:
         docs_in_runs = with_runs(rows, rows.agg(F.sum(F.char_length("text").cast("long"))).first()[0])
         return materialize(look_up(docs_in_runs, _prepare, shards, bits, _answer, ANSWER, _finish(root), SCORED), "scored")
     rows = list(shards.toLocalIterator()) if shards is not None else []
-    return materialize(_texts(docs).mapInArrow(_scorer(spark.sparkContext.broadcast(Model(rows, root))), SCORED), "scored")
+    model = spark.sparkContext.broadcast(Model(rows, root))
+    del rows
+    scored = materialize(_texts(docs).mapInArrow(_scorer(model), SCORED), "scored")
+    model.destroy()
+    return scored
 
 
 def base_failed() -> Column:
@@ -471,16 +477,17 @@ def base_failed() -> Column:
 
 
 def _histogram(values: DataFrame, column: Column) -> DataFrame:
-    """(lang, script, measure, bin, n): fixed in size for each band. A null script stands for all of the language."""
-    binned = values.select("lang", "script", "measure", F.least(F.floor(column * BINS), F.lit(TOP * BINS)).alias("bin"))
+    """(lang, script, measure, bin, n): some BINS rows for each factor of e between a band's values. A null script stands for all of the
+    language."""
+    binned = values.select("lang", "script", "measure", F.floor(F.log1p(column / FINE) * BINS).alias("bin"))
     return binned.groupBy("lang", "script", "measure", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _middle(histogram: DataFrame, *keys: str) -> DataFrame:
-    """(keys, texts, middle): the median of each histogram, to 1 / BINS."""
+    """(keys, texts, middle): the median of each histogram, to one BINS-th."""
     own = Window.partitionBy(*keys)
     ranked = histogram.withColumn("below", F.sum("n").over(own.orderBy("bin"))).withColumn("texts", F.sum("n").over(own))
-    return ranked.where("2 * below >= texts").groupBy(*keys, "texts").agg(((F.min("bin") + 0.5) / BINS).alias("middle"))
+    return ranked.where("2 * below >= texts").groupBy(*keys, "texts").agg((F.expm1((F.min("bin") + 0.5) / BINS) * FINE).alias("middle"))
 
 
 def _with_bands(rows: DataFrame, bands: DataFrame, measure: bool = False) -> DataFrame:

@@ -155,8 +155,7 @@ def slow_judge(rows):
         out.append([counts[0] < 10 or 100 * counts[4] > 20 * counts[0], counts[0], lang, {s for s in letters if letters[s] == most} or {None}, total / max(counts[0], 1), total / max(len(t), 1)])
 
     def middle(values):
-        bins = sorted(min(math.floor(v * op.BINS), op.TOP * op.BINS) for v in values)
-        return (bins[(len(bins) - 1) // 2] + 0.5) / op.BINS
+        return sorted(values)[(len(values) - 1) // 2]
 
     good = [r for r in out if not r[0]]
     kept = [not r[0] for r in out]
@@ -188,6 +187,33 @@ def test_whole_table_against_brute_force(spark, model_bytes):
         assert got[d].kept == kept
 
 
+@pytest.mark.parametrize("n_chars", [120, 240, 2000])
+def test_texts_of_very_long_words_are_kept(spark, n_chars):
+    """Scripts without spaces: a word is a sentence or more, and log perplexities per word have no bound."""
+    r = random.Random(n_chars)
+    signs = [chr(0x4E00 + k) for k in range(60)]
+    word = lambda: "".join(r.choices(signs, range(1, 61), k=n_chars))
+    rows = [(i, " ".join(word() for _ in range(30)), "zz") for i in range(100)]
+    rows += [(200 + i, " ".join("".join(chr(0x5E00 + r.randrange(3000)) for _ in range(n_chars)) for _ in range(30)), "zz") for i in range(3)]
+    judged = op.judge(documents(spark, rows)).collect()
+    assert sum(r.kept for r in judged if r.doc_id < 200) >= 99
+    assert not any(r.kept for r in judged if r.doc_id >= 200)
+    values = sorted(r.per_word for r in judged)
+    assert math.isclose(judged[0].per_word_low + judged[0].per_word_high, 2 * values[(len(values) - 1) // 2], rel_tol=1e-3)
+    assert n_chars < 200 or values[50] > 100
+
+
+def test_medians_of_any_values(spark):
+    """To one BINS-th of the value, or of the fixed smallest width, from 0.0001 to ten million."""
+    r = random.Random(4)
+    rows = [(f"l{k}", None, "m", 10.0**k * r.uniform(0.5, 2)) for k in range(-4, 8) for _ in range(25)]
+    values = spark.createDataFrame(rows, "lang string, script string, measure string, x double")
+    got = {m.lang: m.middle for m in op._middle(op._histogram(values, values.x), "lang").collect()}
+    for k in range(-4, 8):
+        own = sorted(x for lang, _, _, x in rows if lang == f"l{k}")
+        assert abs(got[f"l{k}"] - own[12]) <= (own[12] + op.FINE) / op.BINS
+
+
 def test_long_texts_are_scored_in_segments(monkeypatch):
     text = prose(500, 3)
     whole = op.Grams(next(op.runs([text])))
