@@ -20,8 +20,8 @@ T = TypeVar("T")
 
 #: A table of keys of at most so many rows (some 32 bytes each) is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
-#: Tasks for each core that write a small table.
-SMALL_TASKS = 4
+#: Tasks for each core that write a table by size, at least, and bytes by Spark's estimate that justify another.
+SMALL_TASKS, TASK_BYTES = 4, 64 << 20
 #: Column names of ours that no table has.
 TAG, KEEPS, NUMBER = "__brindle_tag", "__brindle_keeps", "__brindle_number"
 
@@ -54,11 +54,30 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _worker_memory(conf, master: str, parallelism: int, executors: int, as_mib) -> tuple[int, int]:
+    """MiB outside the heap that an executor's Python workers share, and how many workers they are. In a local session they are the driver's."""
+    local = re.match(r"local(\[(\d+|\*)|$)", master)
+    kind = "driver" if local else "executor"
+    heap = as_mib(conf.get(f"spark.{kind}.memory", "1g"))
+    beside = conf.get(f"spark.{kind}.memoryOverhead", None)
+    beside = as_mib(beside) if beside else max(384, int(heap * float(conf.get(f"spark.{kind}.memoryOverheadFactor", "0.1"))))
+    cores = conf.get("spark.executor.cores", None)
+    if local:
+        cores = parallelism
+    elif given := re.match(r"local-cluster\[\s*\d+\s*,\s*(\d+)", master):
+        cores = given[1]
+    elif not cores:
+        cores = -(-parallelism // max(1, executors))
+    return beside + as_mib(conf.get("spark.executor.pyspark.memory", "0m")) * (not local), max(1, int(cores))
+
+
 def broadcast_bytes(spark: SparkSession) -> int:
-    """Bytes of a table that every Python worker may hold: an eighth of an executor's memory."""
+    """Bytes of a table that every Python worker may hold. All workers of an executor together hold half of its memory outside the heap."""
     context = spark.sparkContext
-    size = context.getConf().get("spark.driver.memory" if re.match(r"local(\[|$)", context.master) else "spark.executor.memory", "1g")
-    return context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size) // 8
+    as_mib = context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsMb
+    executors = context._jsc.sc().getExecutorMemoryStatus().size() - 1
+    memory, workers = _worker_memory(context.getConf(), context.master, context.defaultParallelism, executors, as_mib)
+    return (memory << 20) // (2 * workers)
 
 
 @contextlib.contextmanager
@@ -74,14 +93,20 @@ def small_arrow_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]
         spark.conf.set(key, before)
 
 
+def tasks_by_size(df: DataFrame) -> int:
+    """How many tasks a table deserves by Spark's estimate of its size, which grows with what it is made from; joins are overestimated."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return min(max(SMALL_TASKS * df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)), (1 << 31) - 1)
+
+
 def materialize(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: the lineage ends there,
-    so a lost executor costs a file read, not a recomputation. A ``small`` table, of keys or sums, is written by a few
-    tasks for each core: not by as many as large shuffles have, in files of a few rows."""
+    so a lost executor costs a file read, not a recomputation. A ``small`` table, of keys or sums, is written by as many tasks as its
+    size deserves: not by as many as large shuffles have, in files of a few rows."""
     spark = df.sparkSession
     path = new_path(spark, name)
     if small:
-        df = df.coalesce(SMALL_TASKS * spark.sparkContext.defaultParallelism)
+        df = df.coalesce(tasks_by_size(df))
     with small_arrow_batches(spark):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

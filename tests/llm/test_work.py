@@ -27,6 +27,25 @@ def test_only_local_sessions_do_without():
         work.work_dir(Session("spark://h"))
 
 
+def test_workers_share_the_memory_beside_the_heap():
+    mib = lambda x: int(x[:-1]) * {"m": 1, "g": 1024}[x[-1]]
+    of = lambda master, executors=2, **conf: work._worker_memory({f"spark.{k.replace('_', '.')}": v for k, v in conf.items()}, master, 16, executors, mib)
+    assert of("local-cluster[3,2,3000]", executor_memory="1800m") == (384, 2)
+    assert of("yarn", executor_memory="40g", executor_cores="8") == (4096, 8)
+    assert of("spark://h", executor_memory="40g", executor_memoryOverhead="6g") == (6144, 8)
+    assert of("k8s://h", executor_memory="40g", executor_cores="4", executor_pyspark_memory="2g") == (4096 + 2048, 4)
+    assert of("local[16]", driver_memory="8g") == (819, 16)
+
+
+def test_tasks_of_a_written_table_follow_its_size(spark, monkeypatch):
+    sums = spark.range(0, 100_000, 1, 50).groupBy("id").count()
+    least = 4 * spark.sparkContext.defaultParallelism
+    assert work.tasks_by_size(sums) == least
+    monkeypatch.setattr(work, "TASK_BYTES", 1000)
+    assert work.tasks_by_size(sums) >= 800 and work.tasks_by_size(spark.range(1_000_000).groupBy("id").count()) >= 8000
+    assert work.materialize(sums, "s", small=True).count() == 100_000
+
+
 def test_keep_rows_with_nulls_and_whole_repeats(spark):
     docs = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (2, None), (3, "c"), (3, "d")], "doc_id long, text string")
     tagged = docs.selectExpr("doc_id", "xxhash64(coalesce(text, '')) AS tag", "text")
