@@ -95,7 +95,7 @@ def small_arrow_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]
 
 def tasks_by_size(df: DataFrame) -> int:
     """How many tasks a table deserves by Spark's estimate of its size, which grows with what it is made from; joins are overestimated."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return min(max(SMALL_TASKS * df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)), (1 << 31) - 1)
 
 
