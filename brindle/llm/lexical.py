@@ -279,16 +279,16 @@ def _one_pass(docs: DataFrame, rows: list, k: int) -> tuple[DataFrame, dict[str,
 
     order = Window.partitionBy("item", "part").orderBy(F.desc("sum"), "slice", "row")
     heads = blocks.mapInArrow(_header(shared, k), PLACES).withColumn("at", F.row_number().over(order)).where(F.col("at") <= k)
-    heads = materialize(heads.select(*DOCUMENT).distinct(), "heads")
+    heads = materialize(heads.select(*DOCUMENT).distinct(), "heads", small=True)
     bounds = _kth(look_up(blocks, heads, shared), "score", k, len(items))
 
     least = [max(1, -(-b // PARTS)) for b in bounds]
     sent = blocks.mapInArrow(_sender(shared, least), PLACES).groupBy(*DOCUMENT).agg(F.sum("sum").alias("known"), F.count(F.lit(1)).alias("lists"))
-    sent = materialize(sent, "sent")
+    sent = materialize(sent, "sent", small=True)
     bounds = [max(a, b) for a, b in zip(bounds, _kth(sent, "known", k, len(items)))]
     limits = spark.createDataFrame([(i, t - 1, b) for i, (t, b) in enumerate(zip(least, bounds))], "item int, rest long, bound long")
     may = sent.join(F.broadcast(limits), "item").where(F.col("known") + (PARTS - F.col("lists")) * F.col("rest") >= F.col("bound"))
-    may = materialize(may.select(*DOCUMENT), "candidates")
+    may = materialize(may.select(*DOCUMENT), "candidates", small=True)
 
     last = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "slice", "row")
     ranked = look_up(blocks, may, shared).where(F.col("score") > 0).withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)
