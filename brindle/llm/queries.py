@@ -47,7 +47,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = page_text.extract(_table(spark, sf_dir, "pages"))
-    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_differenced")
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

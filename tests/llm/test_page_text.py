@@ -33,12 +33,64 @@ def extract(spark, rows):
     ('<div class="has-sidebar"><p>k</p></div><div class="sidebar">s</div>', "k"), ("<p>a<p class=ad>b<p>c", "a\nc"), ('<a x="b>c</a><p>d', "c\nd"),
     ("<article><div>x</article><p>y", "x"), ("<table><tr><td>a<td class=ad>b<td>c</table>", "a\nc"), ("<ul><li class=ad>a<li>b</ul>", "b"),
     ("<form><p>menu</p><main><p>x</p><form>q</form></main></form><form>z</form>", "x"), ("<article><form><main>q</main></form>x</article>", "x"),
-    ("<form class=search><article>q</article></form><p>x</p>", "x"), ("<p>a</i>b</span>c</p>", "abc"), ("a<!-->b<!--->c<!-- > --!>d", "abcd"), ("<div>" * 600 + "x" + "</div>" * 600 + "<p class=ad>y</p>z", "x\nz"),
+    ("<form class=search><article>q</article></form><p>x</p>", "q"), ("<p>a</i>b</span>c</p>", "abc"), ("a<!-->b<!--->c<!-- > --!>d", "abcd"), ("<div>" * 600 + "x" + "</div>" * 600 + "<p class=ad>y</p>z", "x\nz"),
     ("<div class=main-nav>n</div><p>x</p>", "x"),
 ])
 def test_markup(html, want):
-    lines, marks = op.page_lines(html)
-    assert "\n".join(x for x, stays in zip(lines, op.alone(marks)) if stays) == want
+    assert "\n".join(op.page_lines(html)[0]) == want
+
+
+@pytest.mark.parametrize("open_tag", [
+    '<article class="post type-post category-social hentry">', '<article class="post tag-advertising">', '<article class="post comments-open">',
+    '<main class="search-results">', '<main class="layout-sidebar-left">', '<div id="content" class="related-content">', '<main role="alert" id="menu">',
+    '<div class="has-menu"><article>', '<div class="nav-layout"><main>', '<section class="comments"><article>', '<article id="comment-1" class="comment">',
+    '<form class="search"><main>', '<article class="ad">', '<div class="post-social">', '<div class="sidebar-right"><section>',
+])
+def test_names_never_empty_an_article(open_tag):
+    html = f"<nav>n</nav><div class='ad'>buy</div>{open_tag}<h1>Title</h1><p>All of the text.</p></article></main></div></form></section><footer>f</footer>"
+    assert "\n".join(op.page_lines(html)[0]).endswith("Title\nAll of the text.")
+
+
+@pytest.mark.parametrize("block", [
+    '<div class="search-engine-history">{}</div>', '<p class="notice">{}</p>', '<p id="social">{}</p>', '<h2 id="comment">{}</h2>', '<section class="share-of-market">{}</section>',
+    '<h2 class="alert">{}</h2>', '<blockquote class="promo">{}</blockquote>',
+])
+def test_blocks_of_doubtful_names_are_text_unless_they_recur(spark, block):
+    page = "<article><p>{}</p>" + block + "<p>last words</p></article>"
+    rows = [(1, "http://h/a", page.format("one", "the same")), (2, "http://h/b", page.format("two", "the same"))]
+    rows += [(3, "http://i/a", page.format("one", "this")), (4, "http://i/b", page.format("two", "that")), (5, "http://j/", page.format("one", "lone"))]
+    named = "id=" not in block  # ids of paragraphs and headings are anchors
+    got = {r[0]: (r[2], r[3]) for r in extract(spark, rows)}
+    same = {i: (f"{x}\nlast words", 1) if named else (f"{x}\nthe same\nlast words", 0) for i, x in ((1, "one"), (2, "two"))}
+    assert got == same | {3: ("one\nthis\nlast words", 0), 4: ("two\nthat\nlast words", 0), 5: ("one\nlone\nlast words", 0)}
+
+
+@pytest.mark.parametrize("inside", [
+    "<div class='ad'>Buy now</div>", "<section class='comments'><article class='comment'><p>Nice post, says Ann</p></article></section>", "<div class='comment-list'><p>c</p></div>",
+    "<div id='cookie-notice'>c</div>", "<ul class='share-buttons'><li>s</ul>", "<div class='post-comments'>c</div>", "<aside>a</aside>", "<div class='newsletter'>n</div>",
+    "<div role='navigation'>n</div>", "<form>f</form>", "<div class='sidebar widget'>s</div>", "<div class='related-posts'>r</div>", "<p class='copyright'>c</p>",
+])
+def test_parts_of_plain_names_go_also_where_they_are_unique(inside):
+    assert op.page_lines(f"<article><h1>T</h1><p>x</p>{inside}</article><div>d</div>")[0] == ["T", "x"]
+    assert op.page_lines(f"<article><h1>T</h1><p>x</p></article>{inside}<div>d</div>")[0] == ["T", "x"]
+
+
+def test_a_small_article_is_not_the_text_alone(spark):
+    page = "<div>Site name</div><p>{}</p><article>teaser {}</article>"
+    rows = [(1, "http://h/1", page.format("long text " * 20, "a")), (2, "http://h/2", page.format("other words " * 20, "b"))]
+    assert [r[2] for r in extract(spark, rows)] == [("long text " * 20).strip() + "\nteaser a", ("other words " * 20).strip() + "\nteaser b"]
+
+
+def test_pages_among_many_copies_have_a_neighbour(spark, monkeypatch):
+    monkeypatch.setattr(op, "BLOCK_PAGES", 5)
+    page, long = "<div>Site name</div><p>{}</p><div>Imprint</div>", [f"line {k} of a long text" for k in range(40)]
+    copy = lambda k: page.format("</p><p>".join([*long, str(k)]))
+    rows = [(k, f"http://h/m?copy={k}", copy(k)) for k in range(40)] + [(100, "http://h/a", page.format("a")), (101, "http://h/z", page.format("z"))]
+    rows += [(200 + k, f"http://one/?copy={k}", copy(k)) for k in range(12)]  # no other path
+    got = {r[0]: r[2] for r in extract(spark, rows)}
+    want = {k: "\n".join([*long, str(k)]) for k in range(40)} | {100: "a", 101: "z"}
+    want |= {200 + k: "\n".join(["Site name", *long, str(k), "Imprint"]) for k in range(12)}
+    assert got == want
 
 
 def test_shared_undecided_lines_go_and_decided_ones_stay(spark):
