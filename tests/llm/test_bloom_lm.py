@@ -79,7 +79,7 @@ def exact_scores(texts, held):
         for x in w:
             c = start if before == 0 else mean[0][level[0][before]] if before in level[0] else 0.0
             p = ((mean[0][level[0][x]] if x in level[0] else 0.0) + 1) / z
-            both = min(mean[1][level[1][before, x]], c) if (before, x) in level[1] and x in level[0] else 0.0
+            both = min(mean[1][level[1][before, x]], c, mean[0][level[0][x]]) if (before, x) in level[1] and x in level[0] else 0.0
             total += math.log10((max(both - d, 0) + d * c**b * p) / c if c else p)
             before = x
         out.append(total)
@@ -90,7 +90,7 @@ def exact_scores(texts, held):
 def test_scores_of_the_whole_table_against_exact_counts(spark, model_bytes):
     """With so many bits that nothing is a false positive, the filter's scores are those of exact counts."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    rows = {r.doc_id: r for r in op.score(docs, model_bytes=model_bytes, bits=60).collect()}
+    rows = {r.doc_id: r for r in op.score(docs, model_bytes=model_bytes, false=1e-9, probes=30).collect()}
     texts = docs.orderBy("doc_id").collect()
     want = exact_scores([r.text for r in texts], [rows[r.doc_id].held_out for r in texts])
     assert len(rows) == len(texts)
@@ -111,9 +111,10 @@ def test_filter_never_forgets_and_seldom_errs():
     keys = r.integers(0, 1 << 63, 20000).astype(np.uint64)
     counts = np.maximum(1, r.geometric(0.3, len(keys)))
     q = op.quantise(counts)
-    row = {"shard": 0, "filter": op.build_filter(keys, q).tobytes(), "words": b"", "counts": b""}
+    row = {"shard": 0, "first": op.PROBES, "more": op.PROBES, "filter": op.build_filter(keys, q).tobytes(), "words": b"", "counts": b""}
     part = op.Slice([row], 2)
-    part.bits[:] = part.bits[0]
+    for values in (part.bits, part.first, part.more):
+        values[:] = values[0]
     found = part.levels(keys, keys)
     assert (found >= q).all() and (found > q).mean() < 0.03
     assert (part.levels(r.integers(0, 1 << 63, 20000).astype(np.uint64), keys) > 0).mean() < 0.03
@@ -145,6 +146,29 @@ def test_probabilities_sum_to_one_and_learn(spark):
     assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_conditional_probabilities_sum_to_one_on_a_whole_table(spark):
+    """Contexts drawn as often as they occur, and alike: the sums over all words of the table, and one unknown one."""
+    shards, totals, bits = op.build(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    part = op.Slice(shards.collect(), bits)
+    words, n = part.words, len(part.words)
+    level = part.levels(words, words)
+    r = np.random.default_rng(1)
+    for weights in (part.counts / part.counts.sum(), None):
+        sums = []
+        for at in r.choice(n, 150, p=weights):
+            pairs = np.stack([np.full(n, words[at]), words], axis=1).ravel()  # texts of two words, and the second one's place
+            hashes = op.bigrams(pairs, np.full(n, 2))[1::2]
+            found = np.stack([np.zeros(2 * n, np.int64), np.stack([np.full(n, level[at]), level], axis=1).ravel(), np.zeros(2 * n, np.int64)])
+            found[2, 1::2] = part.levels(op.mix(hashes), hashes)
+            first = (totals.mean[0][level[at]], totals.mean[0][totals.start_level])
+            both = op._scores(found, np.full(n, 2), totals)[2]
+            alone = op._scores(found[:, :1], np.array([1]), totals)[2][0]
+            unknown = op._scores(np.array([[0, 0], [level[at], 0], [0, 0]]), np.array([2]), totals)[2][0] - alone
+            assert min(first) > 0
+            sums.append((10 ** (both - alone)).sum() + 10**unknown)
+        assert abs(np.mean(sums) - 1) < 0.05 and max(sums) < 2
+
+
 def test_held_out_documents_are_likelier_than_by_words_alone(spark):
     rows = [r for r in op.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect() if r.held_out]
     n = sum(r.n_tokens for r in rows)
