@@ -89,19 +89,20 @@ def hash_many(texts: list[bytes], powers: np.ndarray, moduli=MODULI) -> np.ndarr
 
 def _fingerprint_batches(moduli):
     """Batches of (..., data) to batches of (..., h0, h1): hashes of each row's bytes, shifted by ``after``,
-    the number of bytes that follow it in its text."""
+    the number of bytes that follow it in its text. Null bytes have null hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = block_powers(moduli)
         for batch in slices(batches):
             data = batch.column("data").to_pylist()
             after = batch.column("after").to_pylist()
-            hashes = hash_many(data, powers, moduli)
+            absent = np.array([x is None for x in data], dtype=bool)
+            hashes = hash_many([x or b"" for x in data], powers, moduli)
             for i, shift in enumerate(after):
                 if shift:
                     hashes[i] = [int(h) * pow(b, shift, p) % p for h, (p, b) in zip(hashes[i], moduli)]
             keep = [k for k, n in enumerate(batch.schema.names) if n not in ("data", "after")]
-            columns = [batch.column(k) for k in keep] + [pa.array(hashes[:, m]) for m in range(len(moduli))]
+            columns = [batch.column(k) for k in keep] + [pa.array(hashes[:, m], mask=absent) for m in range(len(moduli))]
             names = [batch.schema.names[k] for k in keep] + [f"h{m}" for m in range(len(moduli))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -127,8 +128,11 @@ def _more(text: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, moduli=MODULI, huge: int = HUGE, chunk: int = CHUNK) -> DataFrame:
-    """(rid, doc_id, tag, more, n_bytes, text_sha256, h0, h1), a row per document. ``tag`` and ``more`` are JVM-side hashes that,
-    with ``doc_id``, find a row again when the table is read a second time."""
+    """(rid, doc_id, tag, more, n_bytes, text_sha256, h0, h1), a row per document, a written table. ``tag`` and ``more`` are JVM-side hashes
+    that, with ``doc_id``, find a row again when the table is read a second time.
+
+    One pass hashes all texts but huge ones, of which it writes a row without hashes. Only if there are any, they are read again and
+    their chunks are dealt out."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"),
@@ -143,46 +147,54 @@ def fingerprints(docs: DataFrame, moduli=MODULI, huge: int = HUGE, chunk: int =
         f"h{m} long" for m in range(len(moduli))
     )
     run = _fingerprint_batches(moduli)
-    # A huge text's row holds no bytes on the first path, which all rows take; its chunks are dealt out on the second.
     is_huge = F.col("n_bytes") > huge
-    plain = rows.where(~is_huge).withColumn("after", F.lit(0).cast("long")).mapInArrow(run, schema)
+    first = rows.withColumn("data", F.when(~is_huge, F.col("data"))).withColumn("after", F.lit(0).cast("long"))
+    plain = materialize(first.mapInArrow(run, schema), "fingerprints")
+    if not plain.where(F.col("h0").isNull()).head(1):
+        return plain
     dealt = rows.where(is_huge).withColumn("rid", -1 - F.col("rid"))
     dealt = _chunks(dealt, chunk).repartition("rid", "chunk")
     sums = [(F.sum(f"h{m}") % p).alias(f"h{m}") for m, (p, _) in enumerate(moduli)]
     parts = dealt.drop("chunk").mapInArrow(run, schema)
     combined = parts.groupBy("rid", "doc_id", "tag", "more", "n_bytes", "text_sha256").agg(*sums)
-    return plain.unionByName(combined)
+    return materialize(plain.where(F.col("h0").isNotNull()).unionByName(combined), "fingerprints")
 
 
 def _compare(docs: DataFrame, members: DataFrame, chunk: int) -> DataFrame:
-    """(m_id, m_tag, m_more, is_rep, equal) of each key: whether all its rows' texts equal its representative's, chunk against chunk.
+    """(m_id, m_tag, m_more, is_rep, equal, whole) of each key that is compared: whether all its rows' texts equal its representative's, chunk
+    against chunk, and whether as many chunks met as its rows have.
 
     ``members``: (doc_id, tag, more, gid, salts, is_rep, rows), a row per key. The texts of members only are read, cut into chunks and
-    met by (gid, salt, chunk); a representative's chunks, one row each, go to every salt, so no group meets in one task.
-    A representative's key is compared too if it has several rows.
+    met by (gid, salt, chunk); a representative's chunks go to every salt, so no group meets in one task. Salts are told from a row's place
+    in the table as it is read, before any shuffle: a task that runs again deals its rows out as before.
+    A representative's key is compared too if it has several rows; only then are its chunks aggregated, to one row each.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     read = docs.select(
         F.col("doc_id").cast("long").alias("d_id"), F.xxhash64(text).alias("d_tag"), _more(text).alias("d_more"),
-        F.octet_length(text).cast("long").alias("n_bytes"), text.cast("binary").alias("data"),
+        F.octet_length(text).cast("long").alias("n_bytes"), text.cast("binary").alias("data"), F.monotonically_increasing_id().alias("place"),
     )
     keys = members.select(F.col("doc_id").alias("m_id"), F.col("tag").alias("m_tag"), F.col("more").alias("m_more"), "gid", "salts", "is_rep", "rows")
     if members.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
     same = (F.col("d_tag") == F.col("m_tag")) & (F.col("d_more") == F.col("m_more")) & F.col("d_id").eqNullSafe(F.col("m_id"))
-    found = read.join(keys, same).select("m_id", "m_tag", "m_more", "gid", "salts", "is_rep", "rows", "n_bytes", "data")
-    found = found.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.col("salts")).cast("int"))
-    pieces = _chunks(found, chunk)
+    found = read.join(keys, same).withColumn("salt", F.pmod(F.xxhash64("place"), F.col("salts")).cast("int"))
+    pieces = _chunks(found.select("m_id", "m_tag", "m_more", "gid", "salts", "salt", "is_rep", "rows", "n_bytes", "data"), chunk)
     one = pieces.where(~F.col("is_rep") | (F.col("rows") > 1))
-    rep = pieces.where("is_rep").groupBy(F.col("gid").alias("r_gid"), F.col("chunk").alias("r_chunk"), F.col("salts").alias("r_salts"))
-    rep = rep.agg(F.min("data").alias("r_data")).select("r_gid", "r_chunk", "r_data", F.explode(F.sequence(F.lit(0), F.col("r_salts") - 1)).alias("r_salt"))
+    rep = pieces.where("is_rep").select(F.col("gid").alias("r_gid"), F.col("chunk").alias("r_chunk"), F.col("salts").alias("r_salts"), F.col("data").alias("r_data"), "rows")
+    repeated = rep.where("rows > 1").groupBy("r_gid", "r_chunk", "r_salts").agg(F.min("r_data").alias("r_data"))
+    rep = rep.where("rows = 1").drop("rows").unionByName(repeated)
+    rep = rep.select("r_gid", "r_chunk", "r_data", F.explode(F.sequence(F.lit(0), F.col("r_salts") - 1)).alias("r_salt"))
     met = one.join(rep, (F.col("gid") == F.col("r_gid")) & (F.col("salt") == F.col("r_salt")) & (F.col("chunk") == F.col("r_chunk")))
-    return met.groupBy("m_id", "m_tag", "m_more", "is_rep").agg(F.min(F.col("data") == F.col("r_data")).alias("equal"))
+    same = met.select("m_id", "m_tag", "m_more", "is_rep", "rows", "n_bytes", (F.col("data") == F.col("r_data")).alias("same"))
+    sums = same.groupBy("m_id", "m_tag", "m_more", "is_rep", "rows").agg(F.min("same").alias("equal"), F.count(F.lit(1)).alias("chunks"), F.max("n_bytes").alias("n_bytes"))
+    whole = F.col("chunks") == F.col("rows") * F.greatest(F.lit(1), F.ceil(F.col("n_bytes") / chunk))
+    return sums.select("m_id", "m_tag", "m_more", "is_rep", "equal", whole.alias("whole"))
 
 
 def duplicate_groups(docs: DataFrame, moduli=MODULI, huge: int = HUGE, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256, tag), a row per document; the largest doc_id stays."""
-    prints = materialize(fingerprints(docs, moduli, huge, chunk), "fingerprints")
+    prints = fingerprints(docs, moduli, huge, chunk)
     keys = ["n_bytes", *(f"h{m}" for m in range(len(moduli))), "round"]
     rows, newest = prints.withColumn("round", F.lit(0)), 0
     while True:
@@ -196,12 +208,17 @@ def duplicate_groups(docs: DataFrame, moduli=MODULI, huge: int = HUGE, chunk: in
         members = joined.where(F.col("size").isNotNull() & (F.col("round") == newest)).groupBy(
             "doc_id", "tag", "more", F.col("keep_rid").alias("gid"), F.ceil(F.col("size") / PER_SALT).cast("int").alias("salts")
         )
-        members = members.agg(F.max(F.col("rid") == F.col("keep_rid")).alias("is_rep"), F.count(F.lit(1)).alias("rows"))
-        differs = materialize(_compare(docs, members, chunk).where("NOT equal"), "unequal", small=True)
-        if not differs.head(1):
+        members = materialize(members.agg(F.max(F.col("rid") == F.col("keep_rid")).alias("is_rep"), F.count(F.lit(1)).alias("rows")), "members", small=True)
+        compared = materialize(_compare(docs, members, chunk), "compared", small=True)
+        n_keys = members.where("NOT is_rep OR rows > 1").count()
+        n, n_whole, n_odd, n_rep = compared.agg(F.count(F.lit(1)), F.count_if("whole"), F.count_if(~F.col("equal")), F.count_if(F.col("is_rep") & ~F.col("equal"))).first()
+        if n_rep or n_whole < n:
+            raise ArithmeticError("rows of one doc_id whose texts differ and all their hashes do not, or rows that changed between two reads")
+        if n < n_keys:
+            raise RuntimeError("rows changed between two reads")
+        if not n_odd:
             break
-        if differs.where("is_rep").head(1):
-            raise ArithmeticError("rows of one doc_id whose texts differ and all their hashes do not")
+        differs = compared.where("NOT equal")
         newest += 1
         own = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("tag") == F.col("m_tag")) & (F.col("more") == F.col("m_more"))
         moved = rows.join(differs, own, "left")
