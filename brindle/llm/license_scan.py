@@ -9,8 +9,13 @@ that the template marks, labels the text.
 
 The base phrases are templates as well; their places are counted besides. Templates are in :mod:`brindle.llm.license_texts`.
 
+Where the texts of two licences share most of their words, the one with more of them is meant if both are found close together
+(license_texts.RELATIVES). The expression after "SPDX-License-Identifier:", or on a line of its own after "License:", labels the text with all
+the licences that it names.
+
 Only runs of words that some template has enter the automaton, since a match has no others. A text is read once and
-needs memory for its words and matches.
+needs memory for its words and matches. Time is linear in the text, but a text of nothing but repeated words of many notices ("licensed under
+the" over and over) takes some 15 seconds a MB, in one task.
 
 Cases: a null text has no words. Rows that repeat are rows of their own. An empty table gives an empty result. Other
 columns are ignored.
@@ -38,6 +43,11 @@ from brindle.llm.work import slices
 MIN_MATCH, GAP = 3, 24
 #: Share of a template's words that a chain must cover; templates of few words must be covered whole.
 COVER, WHOLE = 0.75, 5
+#: Most words between a licence and one whose text holds most of it, for the lesser one not to count.
+NEXT_TO = 60
+#: A line that declares a licence, and the words before an expression.
+_DECLARED = re.compile(r"^[#*/\-\"' \t]*+licen[cs]e[\"']?[ \t]*+[:=][ \t]*+[\"'(]?([^\n\"']{2,80})[\"',.; \t\r]*+$", re.I | re.M)
+_SPDX_WORDS = (b"spdx", b"license", b"identifier")
 #: Words scanned together.
 WORDS = 1_000_000
 
@@ -160,6 +170,26 @@ class Chain(NamedTuple):
     start: int
 
 
+def without_lesser(spans: set[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The spans without those of licences that stand in one row, of gaps of at most NEXT_TO words, with a licence that contains them."""
+    gone: set[tuple[str, int, int]] = set()
+    for more, less in license_texts.RELATIVES:
+        own = sorted((s for s in spans if s[0] in (more, less)), key=lambda s: s[1:])
+        if len({label for label, _, _ in own}) < 2:
+            continue
+        row: list[tuple[str, int, int]] = []
+        reach = 0
+        for s in [*own, None]:
+            if row and (s is None or s[1] > reach + NEXT_TO):
+                if any(label == more for label, _, _ in row):
+                    gone.update(x for x in row if x[0] == less)
+                row, reach = [], 0
+            if s:
+                row.append(s)
+                reach = max(reach, s[2])
+    return [s for s in spans if s not in gone]
+
+
 class Scanner:
     """The automaton, the numbers of its words and the base phrases in these."""
 
@@ -170,6 +200,9 @@ class Scanner:
         self.templates = [Template(label, text, number) for label, text in own]
         self.labels = [t.label for t in self.templates]
         self.base = [(np.array(t.words), t.label) for t in self.templates[: len(base)]]
+        self.spdx = [number(w) for w in _SPDX_WORDS]
+        self.identifiers = {tuple(words_of(x)): label for label, x in license_texts.identifiers()}
+        self.widest = max(map(len, self.identifiers))
         self.longest = max(len(t.words) for t in self.templates)
         self.automaton = Automaton([t.words for t in self.templates])
 
@@ -217,6 +250,33 @@ class Scanner:
             spans += [(t, start, end) for start, end in taken]
         return best, spans
 
+    def expression(self, words: list[bytes], at: int) -> list[tuple[str, int]]:
+        """The label and end of each licence of an expression that begins at a word, as far as its identifiers are known."""
+        out = []
+        while True:
+            n = next((n for n in range(min(self.widest, len(words) - at), 0, -1) if tuple(words[at : at + n]) in self.identifiers), 0)
+            if not n:
+                return out
+            label, at = self.identifiers[tuple(words[at : at + n])], at + n
+            at += 2 if words[at : at + 2] == [b"or", b"later"] else words[at : at + 1] == [b"only"]
+            out.append((label, at))
+            if words[at : at + 1] not in ([b"or"], [b"and"]):
+                return out
+            at += 1
+
+    def declared(self, text: str, words: list[bytes], after: list[int]) -> list[tuple[str, int, int]]:
+        """The spans of expressions: those that begin at the words ``after``, and those that are all of a line behind "License:"."""
+        spans = [(label, at - len(_SPDX_WORDS), end) for at in after for label, end in self.expression(words, at)]
+        if "icens" in text or "ICENS" in text or "icenc" in text or "ICENC" in text:
+            for m in _DECLARED.finditer(text):
+                own = words_of(m[1])
+                own = own[:-1] if own[-1:] in ([b"license"], [b"licence"]) else own
+                found = self.expression(own, 0)
+                if found and found[-1][1] == len(own):
+                    first = len(words_of(text[: m.start()]))
+                    spans += [(label, first, first + 1 + end) for label, end in found]
+        return spans
+
     def scan(self, texts: list[str]) -> list[tuple]:
         """Per text: n_words, n_base, first_word, last_word, base labels, labels, score, spans of (label, first, end)."""
         split = [words_of(t) for t in texts]
@@ -234,6 +294,10 @@ class Scanner:
             doc = np.searchsorted(starts, at, side="right") - 1
             for d, a in zip(doc.tolist(), (at - starts[doc]).tolist()):
                 places.setdefault(d, []).append((a, label))
+        after: dict[int, list[int]] = {}
+        for a in np.flatnonzero(np.all([ids[k : len(ids) - 2 + k] == w for k, w in enumerate(self.spdx)], axis=0) if len(ids) > 2 else []).tolist():
+            d = int(np.searchsorted(starts, a, side="right")) - 1
+            after.setdefault(d, []).append(a - int(starts[d]) + len(_SPDX_WORDS))
         edge = np.flatnonzero(np.diff(np.concatenate([[0], ids > 0, [0]]).astype(np.int8)))
         found: dict[int, list[tuple[int, int, int, int]]] = {}
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
@@ -247,7 +311,8 @@ class Scanner:
             own = places.get(d, [])
             best, whole = self.chains(found[d]) if d in found else ({}, [])
             spans: list[tuple[str, int, int]] = []
-            for label, start, end in sorted({(self.labels[t], start, end) for t, start, end in whole}, key=lambda x: (x[0], x[1], -x[2])):
+            every = {(self.labels[t], start, end) for t, start, end in whole} | set(self.declared(texts[d], split[d], after.get(d, [])))
+            for label, start, end in sorted(without_lesser(every), key=lambda x: (x[0], x[1], -x[2])):
                 if not spans or spans[-1][0] != label or end > spans[-1][2]:  # not within another of its label
                     spans.append((label, start, end))
             base = {label for _, label in own}

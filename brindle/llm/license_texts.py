@@ -145,6 +145,48 @@ TEXTS = (
         to do so""",
     ),
     ("bsl-1", "Distributed under the {Boost Software License, Version 1.0}."),
+    (
+        "gpl-3",
+        """"This License" refers to {version 3 of the GNU General Public License}. "Copyright" also means copyright-like laws that apply to
+        other kinds of works, such as semiconductor masks. "The Program" refers to any copyrightable work licensed under this License.
+        Each licensee is addressed as "you". "Licensees" and "recipients" may be individuals or organizations.""",
+    ),
+    (
+        "agpl-3",
+        """"This License" refers to {version 3 of the GNU Affero General Public License}. "Copyright" also means copyright-like laws that
+        apply to other kinds of works, such as semiconductor masks. "The Program" refers to any copyrightable work licensed under this
+        License. Each licensee is addressed as "you". "Licensees" and "recipients" may be individuals or organizations.""",
+    ),
+    (
+        "gpl-2",
+        """This License applies to any program or other work which contains a notice placed by the copyright holder saying it may be
+        distributed under the terms of {this General Public License}. The "Program", below, refers to any such program or work, and a
+        "work based on the Program" means either the Program or any derivative work under copyright law""",
+    ),
+    (
+        "0bsd",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is {hereby granted. THE
+        SOFTWARE IS PROVIDED "AS IS"} AND THE AUTHOR DISCLAIMS ALL WARRANTIES""",
+    ),
+    ("apache-1.1", "{The Apache Software License, Version 1.1}"),
+    (
+        "apache-1.1",
+        """The end-user documentation included with the redistribution, if any, must include the following acknowledgment: "This
+        product includes software {developed by the Apache Software Foundation} (http://www.apache.org/)." Alternately, this
+        acknowledgment may appear in the software itself, if and wherever such third-party acknowledgments normally appear.""",
+    ),
+    (
+        "wtfpl",
+        """Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is
+        allowed {as long as the name is changed}.""",
+    ),
+    ("wtfpl", "{DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE}"),
+    (
+        "x11",
+        """Except as contained in this notice, the name of the X Consortium {shall not be used in advertising} or otherwise to promote the
+        sale, use or other dealings in this Software without prior written authorization from the X Consortium.""",
+    ),
+    ("cc0", "{creativecommons.org/publicdomain/zero/1.0}"),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
 )
 
@@ -154,6 +196,14 @@ GNU = (
     ("lgpl", "Lesser General Public License", "library", ("2.1", "3")),
     ("agpl", "Affero General Public License", "program", ("3",)),
 )
+# The heads of their texts.
+GNU_HEADS = (
+    ("gpl-2", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"), ("gpl-3", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("lgpl-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"), ("lgpl-3", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("agpl-3", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+)
+# Licences whose texts hold most of another's: where both are found close together, the other is not meant.
+RELATIVES = (("bsd-3-clause", "bsd-2-clause"), ("apache-1.1", "bsd-2-clause"), ("apache-1.1", "bsd-3-clause"), ("x11", "mit"), ("0bsd", "isc"))
 # Codes and names of the Creative Commons licences, and names of their versions.
 CC = (
     ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"),
@@ -165,7 +215,7 @@ SPDX = (
     ("mit", "MIT"), ("isc", "ISC"), ("zlib", "Zlib"), ("bsl-1", "BSL-1.0"), ("apache-2", "Apache-2.0"), ("bsd-2-clause", "BSD-2-Clause"),
     ("bsd-3-clause", "BSD-3-Clause"), ("gpl-2", "GPL-2.0"), ("gpl-3", "GPL-3.0"), ("lgpl-2.1", "LGPL-2.1"), ("lgpl-3", "LGPL-3.0"),
     ("agpl-3", "AGPL-3.0"), ("mpl-2", "MPL-2.0"), ("epl-1", "EPL-1.0"), ("epl-2", "EPL-2.0"), ("artistic-2", "Artistic-2.0"),
-    ("unlicense", "Unlicense"), ("cc0", "CC0-1.0"),
+    ("unlicense", "Unlicense"), ("cc0", "CC0-1.0"), ("0bsd", "0BSD"), ("apache-1.1", "Apache-1.1"), ("wtfpl", "WTFPL"), ("x11", "X11"),
 )
 
 
@@ -189,8 +239,15 @@ def _cc() -> Iterator[tuple[str, str]]:
         for v, kind in CC_VERSIONS:
             yield own, f"Licensed under {{CC {code} {v}}}."
             yield own, f"This work is licensed under a {{Creative Commons {name} {v}}} {kind} License."
+            yield own, f"{{creativecommons.org/licenses/{code.lower()}/{v}}}"
+
+
+def identifiers() -> list[tuple[str, str]]:
+    """(label, identifier) as they stand in expressions such as "MIT OR Apache-2.0"."""
+    return [*SPDX, *((f"cc-{code.lower()}", f"CC-{code}-{v}") for code, _ in CC for v, _ in CC_VERSIONS)]
 
 
 def templates() -> list[tuple[str, str]]:
     """(label, text) of all templates."""
-    return [*TEXTS, *_gnu(), *_cc(), *((label, f"{{SPDX-License-Identifier: {name}}}") for label, name in SPDX)]
+    heads = ((label, f"{{{head}}}") for label, head in GNU_HEADS)
+    return [*TEXTS, *_gnu(), *heads, *_cc(), *((label, f"{{SPDX-License-Identifier: {name}}}") for label, name in identifiers())]

@@ -75,6 +75,30 @@ def test_notices(label, text):
     assert op.scanner().scan([before + text + "\nmore text"])[0][5] == label
 
 
+BSD = [x for label, x in license_texts.TEXTS if label.startswith("bsd")]
+MIT = [x for label, x in license_texts.TEXTS if label == "mit"][3:]
+ISC = [x for label, x in license_texts.TEXTS if label == "isc"]
+OF = {label: [x for own, x in license_texts.TEXTS if own == label] for label, _ in license_texts.TEXTS}
+
+
+@pytest.mark.parametrize("label,text", [
+    ("bsd-3-clause", "\n".join(BSD)), ("bsd-2-clause", BSD[0] + "\n" + BSD[2]), ("mit", "\n".join(MIT)), ("x11", "\n".join([*MIT, *OF["x11"]])),
+    ("isc", "\n".join(ISC)), ("0bsd", OF["0bsd"][0] + " " + " ".join(ISC[1].split()[9:])), ("apache-1.1", "\n".join([BSD[0], OF["apache-1.1"][1]])),
+    ("bsd-2-clause,bsd-3-clause", "\n".join([*BSD, prose(200), BSD[0], BSD[2]])),
+    ("gpl-2", "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies"),
+    ("gpl-3", "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007"), ("lgpl-3", "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007"),
+    ("gpl-3", "0. Definitions. " + OF["gpl-3"][1]), ("agpl-3", "0. Definitions. " + OF["agpl-3"][1]), ("wtfpl", "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE"),
+    ("cc-by-nc", "see https://creativecommons.org/licenses/by-nc/4.0/"), ("cc-by", "http://creativecommons.org/licenses/by/3.0/"),
+    ("mit", "License: MIT"), ("apache-2,mit", "// SPDX-License-Identifier: MIT OR Apache-2.0"), ("apache-2,gpl-2", '  "license": "(GPL-2.0-or-later AND Apache-2.0)",'),
+    ("gpl-2,mit", "/* SPDX-License-Identifier: (GPL-2.0-only OR MIT) */"), ("cc-by-sa", "SPDX-License-Identifier: CC-BY-SA-4.0"), ("bsd-3-clause", "# License: BSD-3-Clause"),
+    ("", "License: mit freundlichen Grüßen"), ("", "The license: MIT is a university"), ("", "Lizenz mit"), ("", "a license mit dem"), ("", "License: none"), ("", "licenses by nc 4 0"),
+    ("", "Everyone is permitted to copy and distribute verbatim copies of this document"), ("", "GNU GENERAL PUBLIC LICENSE Version 9, June 1991"),
+])
+def test_whole_texts_heads_and_expressions(label, text):
+    text = text.replace("{", "").replace("}", "")
+    assert op.scanner().scan([f"Copyright 2020 A. Author\n{text}\nmore text"])[0][5] == label
+
+
 @pytest.mark.parametrize("label", sorted({x for x, _ in license_texts.TEXTS}))
 def test_each_text_has_its_label(label):
     for own, text in license_texts.TEXTS:
