@@ -15,10 +15,11 @@ once and twice. t(v) = c(v) ** b stands for the number of words that follow v: b
 number of distinct bigrams. z makes p(w) sum to one over the training words and one unknown word. A bigram counts only if both its words
 are in the filter, and at most as often as they do.
 
-The p(w | v) of a context are estimates whose sum is near one, not exactly one: t(v) is the mean of its bin, and the means of bigrams' bins
-need not add up to that of their context's bin. False positives add little: each would be a false follower of a context, so the probes grow with the
-logarithm of the number of words until all words together give a context only FALSE of them. Over the words of a table of 79,171
-(sf0.01) the sums of 150 contexts are 1.02 on average if drawn by frequency, 1.04 if drawn alike, and 1.7 at most.
+False positives are false followers of a context. Probes grow with the logarithm of the number of words, so that all words together give a context
+a few of them at most, however large the corpus; the expected mass of these, f * (words - t(v)) * (1 - d) / c(v) with the filters' share f of false positives, is divided out. It
+matters for rare contexts only. The p(w | v) of a context remain estimates whose sum is near one, not exactly one: t(v) is the mean of its bin, and the
+means of bigrams' bins need not add up to that of their context's bin. Over the words of a table of 79,171 (sf0.01) the sums of 150
+contexts are 1.01 on average if drawn by frequency, 1.03 if drawn alike, and 1.6 at most.
 
 Words are told apart by 64-bit hashes.
 
@@ -43,10 +44,15 @@ from brindle.llm.work import broadcast_bytes, materialize, slices
 
 #: Base of the quantisation.
 BASE = 1.5
-#: Words that a context has as false followers, on average. The probes of (n-gram, 1) are as many as this takes for the corpus's words.
-FALSE = 0.02
+#: Words that a context may have as false followers, on average, in a filter without blocks; with them it has some more. The probes of
+#: (n-gram, 1) are as many as this takes for the corpus's words.
+FALSE = 2
 #: Probes of (n-gram, 2) and further, which decide only between neighbouring bins.
 PROBES = 7
+#: Share of the bits that are set.
+LOAD = 0.5
+#: Bits of a block, and probes that a hash of 64 bits names in it.
+BLOCK, DRAWN = 4096, 5
 #: Bytes of text per shard, and most tasks that build shards.
 SHARD_TEXT, BUILDERS = 1 << 25, 50_000
 #: Tokens counted or scored at once.
@@ -135,10 +141,15 @@ def _counter(shard_bits: int):
     return run
 
 
-def positions(keys: np.ndarray, level: int, probe: int, bits: int) -> np.ndarray:
-    """Where the probe-th bit of (key, level) lies in a filter of so many bits."""
-    x = mix(keys + np.uint64(int(_GOLD) * (level << 8 | probe + 1) & 0xFFFFFFFFFFFFFFFF))
-    return ((x >> np.uint64(32)) * np.uint64(bits)) >> np.uint64(32)
+def blocks(keys: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+    """The block of a key, of ``n``: all bits of a key lie in one block, so that its probes stay in one page of memory."""
+    x = mix(keys + _GOLD)
+    return (((x >> np.uint64(32)) * np.asarray(n, np.uint64)) >> np.uint64(32)).astype(np.int64)
+
+
+def draws(keys: np.ndarray, level: int, some: int) -> np.ndarray:
+    """The places in its block of DRAWN probes of (key, level), 12 bits each."""
+    return mix(keys + np.uint64(int(_GOLD) * (level << 8 | some + 2) & 0xFFFFFFFFFFFFFFFF))
 
 
 def first_probes(n_words: int, false: float = FALSE) -> int:
@@ -146,19 +157,23 @@ def first_probes(n_words: int, false: float = FALSE) -> int:
     return max(PROBES, math.ceil(math.log2(max(1, n_words) / false)))
 
 
-def build_filter(keys: np.ndarray, q: np.ndarray, first: int = PROBES, more: int = PROBES) -> np.ndarray:
-    """The packed bits of the pairs (key, 1) to (key, q), half of them set; their number is a multiple of 64."""
+def build_filter(keys: np.ndarray, q: np.ndarray, first: int = PROBES, more: int = PROBES, load: float = LOAD) -> tuple[np.ndarray, float]:
+    """The packed bits of the pairs (key, 1) to (key, q), a share ``load`` of them set, in blocks of BLOCK bits; and the share of keys that are not there and pass."""
     held = first * len(keys) + more * (int(q.sum(dtype=np.int64)) - len(keys))
-    bits = max(64, -(-int(held / math.log(2)) // 64) * 64)
-    flags = np.zeros(bits, dtype=bool)
+    n = max(1, math.ceil(held / -math.log(1 - load) / BLOCK))
+    flags = np.zeros(n * BLOCK, dtype=bool)
     for level in range(1, int(q.max(initial=0)) + 1):
         own = keys[q >= level]
+        base = blocks(own, n) * BLOCK
         for probe in range(first if level == 1 else more):
-            flags[positions(own, level, probe, bits)] = True
-    return np.packbits(flags, bitorder="little")
+            some, k = divmod(probe, DRAWN)
+            if k == 0:
+                drawn = draws(own, level, some)
+            flags[base + (drawn >> np.uint64(12 * k) & np.uint64(BLOCK - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little"), float((flags.reshape(n, BLOCK).mean(axis=1) ** first).mean())
 
 
-SHARD = "shard int, first int, more int, filter binary, words binary, counts binary, n_tokens long, n_words long, bin_sizes array<long>, bin_counts array<long>"
+SHARD = "shard int, first int, more int, false double, filter binary, words binary, counts binary, n_tokens long, n_words long, bin_sizes array<long>, bin_counts array<long>"
 
 
 def _summed(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -171,22 +186,22 @@ def _summed(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
     return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
-def _build_shard(shard: int, parts: dict[int, list[tuple[bytes, bytes]]], shard_bits: int, false: float, more: int) -> pa.RecordBatch:
+def _build_shard(shard: int, parts: dict[int, list[tuple[bytes, bytes]]], shard_bits: int, false: float, more: int, load: float) -> pa.RecordBatch:
     """Sum the counts of one shard; its filter, its exact word counts, and per size and bin the n-grams and their counts."""
     merged = {size: _summed(parts.get(size, [])) for size in (1, 2)}
     q = {size: quantise(counts) for size, (_, counts) in merged.items()}
     first = first_probes(len(merged[1][0]) << shard_bits, false)  # words are dealt evenly over the shards
-    held = build_filter(np.concatenate([merged[1][0], mix(merged[2][0])]), np.concatenate([q[1], q[2]]), first, more)
+    held, passing = build_filter(np.concatenate([merged[1][0], mix(merged[2][0])]), np.concatenate([q[1], q[2]]), first, more, load)
     sizes = np.concatenate([np.bincount(q[s], minlength=len(_POWERS) + 1) for s in (1, 2)])
     sums = np.concatenate([np.bincount(q[s], weights=merged[s][1], minlength=len(_POWERS) + 1).astype(np.int64) for s in (1, 2)])
     words, counts = merged[1]
     packed = counts.astype("<u4" if counts.max(initial=0) < 1 << 32 else "<u8").tobytes()
-    row = [shard, first, more, held.tobytes(), words.tobytes(), packed, int(counts.sum()), len(words), sizes.tolist(), sums.tolist()]
-    kinds = [*[pa.int32()] * 3, *[pa.binary()] * 3, *[pa.int64()] * 2, *[pa.list_(pa.int64())] * 2]
+    row = [shard, first, more, passing, held.tobytes(), words.tobytes(), packed, int(counts.sum()), len(words), sizes.tolist(), sums.tolist()]
+    kinds = [*[pa.int32()] * 3, pa.float64(), *[pa.binary()] * 3, *[pa.int64()] * 2, *[pa.list_(pa.int64())] * 2]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[x.split()[0] for x in SHARD.split(", ")])
 
 
-def _builder(shard_bits: int, false: float, more: int):
+def _builder(shard_bits: int, false: float, more: int, load: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by shard to a row for each shard."""
         rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "size", "keys", "counts"))))
@@ -194,7 +209,7 @@ def _builder(shard_bits: int, false: float, more: int):
             parts: dict[int, list[tuple[bytes, bytes]]] = {}
             for _, size, keys, counts in own:
                 parts.setdefault(size, []).append((keys, counts))
-            yield _build_shard(shard, parts, shard_bits, false, more)
+            yield _build_shard(shard, parts, shard_bits, false, more, load)
 
     return run
 
@@ -206,13 +221,13 @@ class Slice:
         rows = sorted(rows, key=lambda r: r["shard"])
         n = 1 << shard_bits
         self.shift = np.uint64(64 - shard_bits)
-        self.bits, self.at, self.first, self.more = (np.zeros(n, np.int64) for _ in range(4))
-        filters = [np.frombuffer(r["filter"], np.uint8) for r in rows]
+        self.blocks, self.at, self.first, self.more = (np.zeros(n, np.int64) for _ in range(4))
+        filters = [np.frombuffer(r["filter"], "<u8") for r in rows]
         ends = np.cumsum([len(f) for f in filters])
         for r, f, end in zip(rows, filters, ends):
-            self.bits[r["shard"]], self.at[r["shard"]] = 8 * len(f), 8 * (end - len(f))
+            self.blocks[r["shard"]], self.at[r["shard"]] = len(f) * 64 // BLOCK, end - len(f)
             self.first[r["shard"]], self.more[r["shard"]] = r["first"], r["more"]
-        self.filter = np.concatenate([np.zeros(0, np.uint8), *filters])
+        self.filter = np.concatenate([np.zeros(0, "<u8"), *filters])
         words = [np.frombuffer(r["words"], "<u8") for r in rows]
         self.words = np.concatenate([np.zeros(0, "<u8"), *words])
         self.counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["counts"], f"<u{len(r['counts']) // max(1, len(w))}" if len(w) else "<u4") for r, w in zip(rows, words))])
@@ -228,16 +243,20 @@ class Slice:
         """Quantised counts of n-grams, by membership probes; ``hashes`` name the shards, ``keys`` are probed."""
         out = np.zeros(len(keys), dtype=np.uint8)
         shard = (hashes >> self.shift).astype(np.int64)
-        size, at = self.bits[shard], self.at[shard]
-        active = np.flatnonzero(size)
+        active = np.flatnonzero(self.blocks[shard])
+        keys, shard = keys[active], shard[active]
+        base = self.at[shard] + blocks(keys, self.blocks[shard]) * (BLOCK // 64)
         for level in range(1, len(_POWERS)):
-            probes = (self.first if level == 1 else self.more)[shard]
-            for probe in range(int(probes.max(initial=0))):
-                asked = probes[active] > probe
-                own = active if asked.all() else active[asked]
-                where = at[own] + positions(keys[own], level, probe, size[own].astype(np.uint64)).astype(np.int64)
-                held = (self.filter[where >> 3] >> (where & 7).astype(np.uint8)) & 1 == 1
-                active = own[held] if len(own) == len(active) else np.sort(np.concatenate([own[held], active[~asked]]))
+            needed = (self.first if level == 1 else self.more)[shard]
+            for some in range(-(-int(needed.max(initial=0)) // DRAWN)):
+                # A few probes tell most of those that are not there; the others then take all of a hash's.
+                for low, high in ((0, 2), (2, DRAWN)):
+                    drawn, held = draws(keys, level, some), np.ones(len(keys), bool)
+                    for k in range(low, high):
+                        place = drawn >> np.uint64(12 * k) & np.uint64(BLOCK - 1)
+                        bit = self.filter[base + (place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)
+                        held &= (bit != 0) | (some * DRAWN + k >= needed)
+                    active, keys, shard, base, needed = (x[held] for x in (active, keys, shard, base, needed))
             if not len(active):
                 break
             out[active] = level
@@ -247,8 +266,8 @@ class Slice:
 class Totals:
     """What the shards' sums say of the whole model."""
 
-    def __init__(self, n_tokens: int, n_words: int, sizes: np.ndarray, sums: np.ndarray):
-        self.n_tokens, self.n_words = n_tokens, n_words
+    def __init__(self, n_tokens: int, n_words: int, sizes: np.ndarray, sums: np.ndarray, false_rate: float = 0.0):
+        self.n_tokens, self.n_words, self.false_rate = n_tokens, n_words, false_rate
         mean = np.divide(sums, sizes, out=np.zeros(len(sums)), where=sizes > 0)
         self.mean = mean.reshape(2, -1)  # mean count by size and level
         filled = np.maximum.accumulate(np.where(self.mean > 0, self.mean, 0), axis=1)
@@ -290,7 +309,9 @@ def _scores(found: np.ndarray, sizes: np.ndarray, totals: Totals) -> list[np.nda
     c = totals.mean[0][context]
     both = np.where((own > 0) & (context > 0), np.minimum(np.minimum(totals.mean[1][pair], c), totals.mean[0][own]), 0.0)
     c, d = np.maximum(c, 1.0), totals.discount
-    follows = np.maximum(both - d, 0.0) / c + d * c ** (totals.power - 1) * p
+    types = c**totals.power
+    follows = np.maximum(both - d, 0.0) / c + d * types / c * p
+    follows /= 1 + totals.false_rate * np.maximum(totals.n_words - types, 0.0) * (1 - d) / c
     model = np.log10(np.where(context > 0, follows, p))
     return [np.add.reduceat(x, starts) for x in ((count > 0).astype(np.int64), base, model)]
 
@@ -318,10 +339,21 @@ WORD, PAIR = 1, 2
 ANSWER = {WORD: np.dtype([("count", "<i8"), ("level", "u1")]), PAIR: np.dtype([("level", "u1")])}
 
 
-def _prepare(texts: list[str]) -> tuple[dict[int, np.ndarray], list[tuple]]:
-    kept = [(at, tokens, bigrams(tokens, sizes), sizes) for at, tokens, sizes in _runs(texts)]
-    keys = {kind: np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(run[kind]) for run in kept)])) for kind in (WORD, PAIR)}
-    return keys, kept
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, bigrams, sizes of all texts."""
+    runs = [(tokens, bigrams(tokens, sizes), sizes) for _, tokens, sizes in _runs(texts)]
+    return tuple(np.concatenate([np.zeros(0, kind), *own]) for kind, own in zip((np.uint64, np.uint64, np.int64), zip(*runs) if runs else ((), (), ())))
+
+
+def _keys(texts: list[str]) -> dict[int, np.ndarray]:
+    tokens, pairs, _ = _tokens(texts)
+    return {WORD: np.unique(tokens), PAIR: np.unique(pairs)}
+
+
+def _prepare(texts: list[str]) -> tuple[dict[int, np.ndarray], tuple]:
+    tokens, pairs, sizes = _tokens(texts)
+    (words, of_token), (both, of_pair) = (np.unique(x, return_inverse=True) for x in (tokens, pairs))
+    return {WORD: words, PAIR: both}, (of_token, of_pair, sizes)
 
 
 def _answer(shard_bits: int):
@@ -341,20 +373,17 @@ def _answer(shard_bits: int):
 
 
 def _finish(totals: Totals):
-    def finish(docs: pa.Table, found: Found, kept: list[tuple]) -> pa.Table:
+    def finish(docs: pa.Table, found: Found, kept: tuple) -> pa.Table:
         ids, held = (docs.column(c).combine_chunks() for c in ("doc_id", "held_out"))
-        (words, known), (pairs, levels) = found[WORD], found[PAIR]
-        out = []
-        for at, tokens, own, sizes in kept:
-            word, pair = known[np.searchsorted(words, tokens)], levels[np.searchsorted(pairs, own)]
-            rows = np.stack([word["count"], word["level"].astype(np.int64), pair["level"].astype(np.int64)])
-            out.append(_scored(ids.slice(at, len(sizes)), held.slice(at, len(sizes)), rows, sizes, totals))
-        return pa.Table.from_batches(out)
+        of_token, of_pair, sizes = kept
+        word, pair = found[WORD][1][of_token], found[PAIR][1][of_pair]
+        rows = np.stack([word["count"], word["level"].astype(np.int64), pair["level"].astype(np.int64)])
+        return pa.Table.from_batches([_scored(ids, held, rows, sizes, totals)])
 
     return finish
 
 
-def build(docs: DataFrame, shard_text: int = SHARD_TEXT, false: float = FALSE, probes: int = PROBES) -> tuple[DataFrame, Totals, int]:
+def build(docs: DataFrame, shard_text: int = SHARD_TEXT, false: float = FALSE, probes: int = PROBES, load: float = LOAD) -> tuple[DataFrame, Totals, int]:
     """The model of the training documents: its shards, a written table; its totals; the bits that name a shard."""
     rows = _documents(docs)
     n_bytes, n_train = rows.agg(F.sum(F.octet_length("text")), F.count_if(~F.col("held_out"))).first()
@@ -363,32 +392,33 @@ def build(docs: DataFrame, shard_text: int = SHARD_TEXT, false: float = FALSE, p
     counted = train.mapInArrow(_counter(shard_bits), "shard int, size int, keys binary, counts binary")
     tasks = min(1 << shard_bits, BUILDERS)
     dealt = counted.repartitionById(tasks, F.col("shard") % tasks).sortWithinPartitions("shard")
-    shards = materialize(dealt.mapInArrow(_builder(shard_bits, false, probes), SHARD), "shards")
+    shards = materialize(dealt.mapInArrow(_builder(shard_bits, false, probes, load), SHARD), "shards")
     sums = shards.select("n_tokens", "n_words", F.posexplode(F.arrays_zip("bin_sizes", "bin_counts")).alias("k", "x"))
     bins = sums.groupBy("k").agg(F.sum("x.bin_sizes").alias("sizes"), F.sum("x.bin_counts").alias("sums")).orderBy("k").collect()
-    n_tokens, n_words = shards.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    sums = [F.coalesce(x, F.lit(0)) for x in (F.sum("n_tokens"), F.sum("n_words"), F.avg("false"))]
+    n_tokens, n_words, false_rate = shards.agg(*sums).first()
     width = 2 * (len(_POWERS) + 1)
     sizes, counts = np.zeros(width, np.int64), np.zeros(width, np.int64)
     for r in bins:
         sizes[r["k"]], counts[r["k"]] = r["sizes"], r["sums"]
-    totals = Totals(n_tokens, n_words, sizes, counts)
+    totals = Totals(n_tokens, n_words, sizes, counts, false_rate)
     totals.start_level = int(quantise(np.array([n_train]))[0]) if n_train else 0
     return shards, totals, shard_bits
 
 
-def score(docs: DataFrame, shard_text: int = SHARD_TEXT, model_bytes: int | None = None, false: float = FALSE, probes: int = PROBES) -> DataFrame:
+def score(docs: DataFrame, shard_text: int = SHARD_TEXT, model_bytes: int | None = None, false: float = FALSE, probes: int = PROBES, load: float = LOAD) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row per document.
 
     A model of more than ``model_bytes`` (by default :func:`brindle.llm.work.broadcast_bytes`) is not broadcast but probed in its shards."""
     spark = docs.sparkSession
-    shards, totals, shard_bits = build(docs, shard_text, false, probes)
+    shards, totals, shard_bits = build(docs, shard_text, false, probes, load)
     shards = shards.select("shard", "first", "more", "filter", "words", "counts")
     size = F.octet_length("filter") + F.octet_length("words") + F.octet_length("counts")
     held = shards.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
     if held > (broadcast_bytes(spark) if model_bytes is None else model_bytes):
         rows = _documents(docs)
         runs = with_runs(rows, rows.agg(F.sum(F.char_length("text").cast("long"))).first()[0])
-        return materialize(look_up(runs, _prepare, shards, shard_bits, _answer(shard_bits), ANSWER, _finish(totals), SCORES), "scores")
+        return materialize(look_up(runs, _prepare, shards, shard_bits, _answer(shard_bits), ANSWER, _finish(totals), SCORES, _keys), "scores")
     part = spark.sparkContext.broadcast(Slice(list(shards.toLocalIterator()), shard_bits))
     rows = materialize(_documents(docs).mapInArrow(_scorer(part, totals), SCORES), "scores")
     part.unpersist()

@@ -63,10 +63,10 @@ def _check(keys: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(keys) >> np.uint64(1)) ^ len(keys)
 
 
-def _asker(prepare: Prepare, bits: int):
+def _asker(keys_of: Callable[[list[str]], dict[int, np.ndarray]], bits: int):
     def run(docs: pa.Table) -> pa.Table:
         number = docs.column("run")[0].as_py()
-        keys, _ = prepare(docs.column("text").to_pylist())
+        keys = keys_of(docs.column("text").to_pylist())
         rows = [(s, number, kind, pack(own)) for kind, s, own in _parts(keys, bits)]
         columns = list(zip(*rows)) or [()] * 4
         kinds = [pa.int32(), pa.int64(), pa.int32(), pa.binary()]
@@ -104,12 +104,12 @@ def _finisher(prepare: Prepare, bits: int, finish, dtypes: dict[int, np.dtype]):
     return run
 
 
-def look_up(docs: DataFrame, prepare: Prepare, shards: DataFrame, bits: int, answer, dtypes: dict[int, np.dtype], finish, schema: str) -> DataFrame:
+def look_up(docs: DataFrame, prepare: Prepare, shards: DataFrame, bits: int, answer, dtypes: dict[int, np.dtype], finish, schema: str, keys_of=None) -> DataFrame:
     """What ``finish`` makes of the documents of each run and the answers to its keys.
 
     ``docs`` come from :func:`with_runs`. ``answer`` makes, of the rows of a shard (one or none), a function of kind and keys that returns
     an array of ``dtypes[kind]``; ``finish`` gets a table of documents, what was found, and what ``prepare`` kept for them, and
-    returns a table of ``schema``."""
-    asked = docs.groupBy("run").applyInArrow(_asker(prepare, bits), REQUESTS)
+    returns a table of ``schema``. ``keys_of`` gives of some texts the same keys as ``prepare``, and nothing else."""
+    asked = docs.groupBy("run").applyInArrow(_asker(keys_of or (lambda texts: prepare(texts)[0]), bits), REQUESTS)
     answers = asked.groupBy("shard").cogroup(shards.groupBy("shard")).applyInArrow(_answerer(answer), ANSWERS)
     return docs.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(_finisher(prepare, bits, finish, dtypes), schema)

@@ -90,7 +90,7 @@ def exact_scores(texts, held):
 def test_scores_of_the_whole_table_against_exact_counts(spark, model_bytes):
     """With so many bits that nothing is a false positive, the filter's scores are those of exact counts."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    rows = {r.doc_id: r for r in op.score(docs, model_bytes=model_bytes, false=1e-9, probes=30).collect()}
+    rows = {r.doc_id: r for r in op.score(docs, model_bytes=model_bytes, false=1e-9, probes=30, load=0.02).collect()}
     texts = docs.orderBy("doc_id").collect()
     want = exact_scores([r.text for r in texts], [rows[r.doc_id].held_out for r in texts])
     assert len(rows) == len(texts)
@@ -111,9 +111,9 @@ def test_filter_never_forgets_and_seldom_errs():
     keys = r.integers(0, 1 << 63, 20000).astype(np.uint64)
     counts = np.maximum(1, r.geometric(0.3, len(keys)))
     q = op.quantise(counts)
-    row = {"shard": 0, "first": op.PROBES, "more": op.PROBES, "filter": op.build_filter(keys, q).tobytes(), "words": b"", "counts": b""}
+    row = {"shard": 0, "first": op.PROBES, "more": op.PROBES, "filter": op.build_filter(keys, q)[0].tobytes(), "words": b"", "counts": b""}
     part = op.Slice([row], 2)
-    for values in (part.bits, part.first, part.more):
+    for values in (part.blocks, part.first, part.more):
         values[:] = values[0]
     found = part.levels(keys, keys)
     assert (found >= q).all() and (found > q).mean() < 0.03
