@@ -16,7 +16,7 @@ number of distinct bigrams. z makes p(w) sum to one over the training words and
 are in the filter, and at most as often as they do.
 
 False positives are false followers of a context. Probes grow with the logarithm of the number of words, so that all words together give a context
-a few of them at most, however large the corpus; the expected mass of these, f * (words - t(v)) * (1 - d) / c(v) with the filters' share f of false positives, is divided out. It
+less than one of them, however large the corpus; the expected mass of these, f * (words - t(v)) * (1 - d) / c(v) with the filters' share f of false positives, is divided out. It
 matters for rare contexts only. The p(w | v) of a context remain estimates whose sum is near one, not exactly one: t(v) is the mean of its bin, and the
 means of bigrams' bins need not add up to that of their context's bin. Over the words of a table of 79,171 (sf0.01) the sums of 150
 contexts are 1.01 on average if drawn by frequency, 1.03 if drawn alike, and 1.6 at most.
@@ -46,7 +46,7 @@ from brindle.llm.work import broadcast_bytes, materialize, slices
 BASE = 1.5
 #: Words that a context may have as false followers, on average, in a filter without blocks; with them it has some more. The probes of
 #: (n-gram, 1) are as many as this takes for the corpus's words.
-FALSE = 2
+FALSE = 0.25
 #: Probes of (n-gram, 2) and further, which decide only between neighbouring bins.
 PROBES = 7
 #: Share of the bits that are set.
