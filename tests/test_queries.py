@@ -3,12 +3,11 @@
 import pytest
 
 import __spark_entry__ as driver
-from brindle.plans import config_queries, relational
 from tests.oracle import assert_same, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES = config_queries.QUERIES | relational.QUERIES
-SQL = config_queries.ORACLE_SQL | relational.ORACLE_SQL
+QUERIES = {name: query for module in driver.MODULES for name, query in module.QUERIES.items()}
+SQL = {name: sql for module in driver.MODULES for name, sql in module.ORACLE_SQL.items()}
 
 
 @pytest.fixture(scope="module")
