@@ -248,17 +248,23 @@ class Slice:
         base = self.at[shard] + blocks(keys, self.blocks[shard]) * (BLOCK // 64)
         for level in range(1, len(_POWERS)):
             needed = (self.first if level == 1 else self.more)[shard]
-            for some in range(-(-int(needed.max(initial=0)) // DRAWN)):
-                # A few probes tell most of those that are not there; the others then take all of a hash's.
-                for low, high in ((0, 2), (2, DRAWN)):
-                    drawn, held = draws(keys, level, some), np.ones(len(keys), bool)
-                    for k in range(low, high):
-                        place = drawn >> np.uint64(12 * k) & np.uint64(BLOCK - 1)
-                        bit = self.filter[base + (place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)
-                        held &= (bit != 0) | (some * DRAWN + k >= needed)
-                    active, keys, shard, base, needed = (x[held] for x in (active, keys, shard, base, needed))
             if not len(active):
                 break
+            least, most = int(needed.min()), int(needed.max())
+            alive = np.ones(len(keys), np.uint64)
+            for probe in range(most):
+                some, k = divmod(probe, DRAWN)
+                if k == 0:
+                    drawn = draws(keys, level, some)
+                place = drawn >> np.uint64(12 * k) & np.uint64(BLOCK - 1)
+                bit = self.filter[base + (place >> np.uint64(6)).view(np.int64)] >> (place & np.uint64(63))
+                if probe >= least:
+                    bit |= (needed <= probe).astype(np.uint64)
+                alive &= bit
+                if probe in (1, 3) or probe == most - 1:
+                    stay = alive != 0
+                    if probe == most - 1 or np.count_nonzero(stay) < 0.8 * len(stay):
+                        active, keys, shard, base, needed, drawn, alive = (x[stay] for x in (active, keys, shard, base, needed, drawn, alive))
             out[active] = level
         return out
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of a run, on average.
-RUN_CHARS = 4_000_000
+RUN_CHARS = 8_000_000
 REQUESTS = "shard int, run long, kind int, keys binary"
 ANSWERS = "run long, kind int, shard int, check long, answers binary"
 
