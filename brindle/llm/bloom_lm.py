@@ -5,8 +5,8 @@ pairs (n-gram, 1) to (n-gram, q). Probing for 1, 2, ... until a pair is missing
 large with a small probability, never too small. Counts are those of the training documents, all of them.
 
 The filter is built in shards by the leading bits of the n-grams' hashes, each in one task and of the size that
-its own n-grams need; so is the exact table of word counts that the base score asks for. Shards that together fit an eighth of
-an executor's memory are broadcast. Those of a larger model stay where they are and are probed there: runs of texts send them
+its own n-grams need; so is the exact table of word counts that the base score asks for. Shards that together fit PART of what a worker may
+hold are broadcast. Those of a larger model stay where they are and are probed there: runs of texts send them
 their distinct n-grams (see :mod:`brindle.llm.lookup`), so that the cost grows with the corpus alone.
 
 Model: absolute discounting, p(w | v) = (max(c(v w) - d, 0) + d * t(v) * p(w)) / c(v), and p(w) = (c(w) + 1) / z, which also stands for
@@ -55,6 +55,8 @@ LOAD = 0.5
 BLOCK, DRAWN = 4096, 5
 #: Bytes of text per shard, and most tasks that build shards.
 SHARD_TEXT, BUILDERS = 1 << 25, 50_000
+#: Of what a worker may hold, the part that a model may be: every token is probed some twenty times, at random places of it.
+PART = 0.25
 #: Tokens counted or scored at once.
 TOKENS = 2_000_000
 #: One document in FOLDS is held out, those of remainder HELD.
@@ -415,13 +417,13 @@ def build(docs: DataFrame, shard_text: int = SHARD_TEXT, false: float = FALSE, p
 def score(docs: DataFrame, shard_text: int = SHARD_TEXT, model_bytes: int | None = None, false: float = FALSE, probes: int = PROBES, load: float = LOAD) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row per document.
 
-    A model of more than ``model_bytes`` (by default :func:`brindle.llm.work.broadcast_bytes`) is not broadcast but probed in its shards."""
+    A model of more than ``model_bytes`` (by default PART of :func:`brindle.llm.work.broadcast_bytes`) is not broadcast but probed in its shards."""
     spark = docs.sparkSession
     shards, totals, shard_bits = build(docs, shard_text, false, probes, load)
     shards = shards.select("shard", "first", "more", "filter", "words", "counts")
     size = F.octet_length("filter") + F.octet_length("words") + F.octet_length("counts")
     held = shards.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
-    if held > (broadcast_bytes(spark) if model_bytes is None else model_bytes):
+    if held > (PART * broadcast_bytes(spark) if model_bytes is None else model_bytes):
         rows = _documents(docs)
         runs = with_runs(rows, rows.agg(F.sum(F.char_length("text").cast("long"))).first()[0])
         return materialize(look_up(runs, _prepare, shards, shard_bits, _answer(shard_bits), ANSWER, _finish(totals), SCORES, _keys), "scores")

@@ -3,7 +3,7 @@
 One modified Kneser-Ney model of four-grams of characters, whatever their script: code points as they are, but all digits as one. Spark
 counts the n-grams of all whole texts and smooths the counts (Chen and Goodman 1998: three discounts an order from the counts of
 counts, continuation counts below the highest order). Probabilities and back-off weights are kept in arrays sorted by hash, in
-shards by the hashes' leading bits. Shards that together fit an eighth of an executor's memory are broadcast; those of a larger
+shards by the hashes' leading bits. Shards that fit what a worker may hold are broadcast; those of a larger
 model stay where they are, and runs of texts send them their distinct n-grams (see :mod:`brindle.llm.lookup`).
 
 Characters rather than words: texts without spaces have no words to count, and each text of this corpus has words of its own. One model

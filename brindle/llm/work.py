@@ -81,16 +81,19 @@ def broadcast_bytes(spark: SparkSession) -> int:
 
 
 @contextlib.contextmanager
-def small_arrow_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
-    """While our own jobs run: rows of an Arrow batch between Spark and Python. Texts are long, and a batch is whole in both."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    if not 0 < int(before) <= rows:
-        spark.conf.set(key, rows)
+def own_settings(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """While a table is written: few rows in an Arrow batch between Spark and Python, since texts are long and a batch is whole in both; and
+    shuffle files go when the table is there, from which all that follows is read."""
+    batch, cleanup = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = {key: spark.conf.get(key) for key in (batch, cleanup)}
+    if not 0 < int(before[batch]) <= rows:
+        spark.conf.set(batch, rows)
+    spark.conf.set(cleanup, "true")
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def tasks_by_size(df: DataFrame) -> int:
@@ -107,7 +110,7 @@ def materialize(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     path = new_path(spark, name)
     if small:
         df = df.coalesce(tasks_by_size(df))
-    with small_arrow_batches(spark):
+    with own_settings(spark):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
