@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brindle.functions.gaps import FillDays
+from brindle.functions.semistructured import typed
 from brindle.operators import multisets, sketches
+from brindle.operators.selection import weighted_median
 from brindle.sources import clustered
 from brindle.sources.shared import new_folder
 from brindle.sources.tables import table
@@ -76,7 +79,30 @@ def t8_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(T8.format(text="STRING").replace("FROM conversations", "FROM {conversations}"), conversations=table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (t5_weekly_sketches, t6_set_algebra, t7_clustered_ranges, t8_walks)}
+def t9_filled_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of users by day, with the days in between on which they have none."""
+    spark.udtf.register("fill_days", FillDays)
+    return spark.sql(
+        """SELECT user_id, day, n, filled FROM fill_days(
+               TABLE(SELECT user_id, to_date(ts) AS day, count(*) AS n FROM {events} GROUP BY user_id, to_date(ts)) PARTITION BY (user_id) ORDER BY (day), 'day', 'user_id')""",
+        events=table(spark, sf_dir, "events"),
+    )
+
+
+def t10_weighted_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The median price of each part's lines in cents, weighted by quantity."""
+    lines = table(spark, sf_dir, "lineitem")
+    cents = lines.select(F.col("l_partkey").alias("part"), F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"), F.col("l_quantity").cast("long").alias("quantity"))
+    return weighted_median(cents, "part", "cents", "quantity").withColumnRenamed("median", "median_cents")
+
+
+def t11_typed_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums by type of event over columns that come out of the events' JSON properties."""
+    events = typed(table(spark, sf_dir, "events").select("event_type", "props"), "props", "p_")
+    return events.groupBy("event_type").agg(F.count("p_k").alias("n"), F.sum("p_k").alias("total"), F.max("p_k").alias("largest"))
+
+
+QUERIES = {f.__name__: f for f in (t5_weekly_sketches, t6_set_algebra, t7_clustered_ranges, t8_walks, t9_filled_days, t10_weighted_medians, t11_typed_props)}
 ORACLE_SQL = {
     "t5_weekly_sketches": """
         SELECT CAST(date_trunc('week', ts) AS DATE) AS week, count(*) AS n, count(DISTINCT user_id) AS n_users,
@@ -94,4 +120,16 @@ ORACLE_SQL = {
         SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS quantity FROM lineitem
         WHERE l_shipdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-09-30' AND l_partkey BETWEEN 50 AND 150""",
     "t8_walks": T8.format(text="VARCHAR"),
+    "t9_filled_days": """
+        WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL),
+        days AS (
+            SELECT user_id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM daily GROUP BY user_id)
+        SELECT user_id, day, coalesce(n, 0) AS n, n IS NULL AS filled FROM days LEFT JOIN daily USING (user_id, day)""",
+    "t10_weighted_medians": """
+        WITH lines AS (SELECT l_partkey AS part, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CAST(l_quantity AS BIGINT) AS w FROM lineitem),
+        sums AS (SELECT part, cents, sum(w) OVER (PARTITION BY part ORDER BY cents) AS upto, sum(w) OVER (PARTITION BY part) AS whole FROM lines WHERE w > 0)
+        SELECT part, min(cents) AS median_cents FROM sums WHERE 2 * upto >= whole GROUP BY part""",
+    "t11_typed_props": """
+        SELECT event_type, count(k) AS n, CAST(sum(k) AS BIGINT) AS total, max(k) AS largest
+        FROM (SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) GROUP BY event_type""",
 }

@@ -116,3 +116,62 @@ def test_a_write_that_dies_leaves_the_version_before(spark, tmp_path, monkeypatc
     assert clustered.read(spark, folder, {}).count() == 50
     with pytest.raises(FileNotFoundError):
         clustered.read(spark, str(tmp_path / "none"), {})
+
+
+def test_weighted_medians_against_sorting(spark):
+    from brindle.operators.selection import weighted_median
+
+    r = random.Random(6)
+    rows = [(r.choice(["hot"] * 8 + ["a", "b", None]), r.choice([None, -5, 0, r.randrange(-(10**9), 10**12), r.randrange(50)]), r.choice([None, 0, -1, 1, 2, r.randrange(100)])) for _ in range(3000)]
+    rows += [("one", 7, 3), ("two", 1, 1), ("two", 9, 1), ("none", 1, 0)]
+    for bits in (3, 8, 16):
+        got = weighted_median(spark.createDataFrame(rows, "g string, v long, w long"), "g", "v", "w", bits)
+        want = {}
+        for g in {x[0] for x in rows if x[0] is not None}:
+            own = sorted((v, w) for k, v, w in rows if k == g and v is not None and w is not None and w > 0)
+            total, upto = sum(w for _, w in own), 0
+            for v, w in own:
+                upto += w
+                if 2 * upto >= total:
+                    want[g] = v
+                    break
+        assert {x.g: x.median for x in got.collect()} == want and "none" not in want
+    assert weighted_median(spark.createDataFrame([], "g string, v long, w long"), "g", "v", "w").collect() == []
+
+
+def test_median_sums_before_the_shuffle(spark):
+    """What a task sends is sums: a partial aggregate stands below every exchange of values."""
+    from brindle.operators.selection import weighted_median
+
+    rows = spark.range(10_000).selectExpr("id % 3 AS g", "id * 7919 % 250 AS v", "1 AS w")
+    plan = plan_of(weighted_median(rows, "g", "v", "w", 8))
+    assert plan.count("partial_sum") >= 2 and "collect_list" not in plan and "Python" not in plan
+
+
+def test_gaps_of_any_table(spark):
+    from brindle.functions.gaps import FillDays
+
+    spark.udtf.register("fill_days", FillDays)
+    days = [("a", "2024-01-01", 1, 0.5, "x"), ("a", "2024-01-04", 2, None, "y"), ("b", "2024-02-28", 5, 1.0, "z"), ("b", "2024-03-01", 6, 2.0, "z"), ("c", None, 1, 1.0, "n")]
+    spark.createDataFrame(days, "who string, day string, n int, x double, s string").withColumn("day", F.to_date("day")).createOrReplaceTempView("gap_days")
+    got = spark.sql("SELECT * FROM fill_days(TABLE(gap_days) PARTITION BY (who) ORDER BY (day), 'day', 'who, s')").collect()
+    plain = sorted((r.who, str(r.day), r.n, r.x, r.s, r.filled) for r in got)
+    assert plain == [
+        ("a", "2024-01-01", 1, 0.5, "x", False), ("a", "2024-01-02", 0, 0.0, "x", True), ("a", "2024-01-03", 0, 0.0, "x", True), ("a", "2024-01-04", 2, None, "y", False),
+        ("b", "2024-02-28", 5, 1.0, "z", False), ("b", "2024-02-29", 0, 0.0, "z", True), ("b", "2024-03-01", 6, 2.0, "z", False), ("c", "None", 1, 1.0, "n", False),
+    ]
+    with pytest.raises(Exception, match="no column of dates"):
+        spark.sql("SELECT * FROM fill_days(TABLE(gap_days) PARTITION BY (who) ORDER BY (day), 'n', 'who')").collect()
+
+
+def test_schemas_are_merged_over_rows(spark):
+    from brindle.functions.semistructured import merged_schema, typed
+
+    rows = spark.createDataFrame([('{"k": 1}',), ('{"k": 2.5, "s": "a"}',), ('{"o": {"x": 1}}',), ("broken {",), (None,), ("[1]",)], "j string")
+    objects = rows.where("j IS NULL OR j LIKE '{%'")
+    assert merged_schema(objects, "j").startswith("STRUCT<")
+    got = typed(objects, "j", "p_").collect()
+    assert [(r.p_k and float(r.p_k), r.p_s, r.p_o and r.p_o.x) for r in got] == [(1.0, None, None), (2.5, "a", None), (None, None, 1), (None, None, None)]
+    assert typed(rows.where("j = '[1]'"), "j", "p_").columns == ["j"]
+    with pytest.raises(ValueError):
+        typed(objects.withColumn("p_k", F.lit(1)), "j", "p_")
