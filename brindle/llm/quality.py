@@ -10,7 +10,7 @@ Characters rather than words: texts without spaces have no words to count, and e
 rather than one a language, since texts mix languages; the bands make it language-specific.
 
 A text has a log perplexity per word and one per character. Each must lie in its band: the median of all texts of its language and
-script, give or take BAND robust deviations for the text's number of words. The language is the table's, whatever its value; the
+script, give or take BAND robust deviations for the text's number of words, or for SPAN if it has more. The language is the table's, whatever its value; the
 script is that of most of the text's letters, by their Unicode names; texts without letters have their whole language's band.
 Medians and deviations come from histograms over all texts that pass the base rules, whose size grows only with the logarithm of the largest
 value, to one part in BINS.
@@ -47,6 +47,8 @@ BASE_SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT, WINDOW = 10, 20, 5
 #: Robust deviations that a log perplexity may lie below and above its band's median.
 BAND = 4.0
+#: Texts of more words deviate as texts of so many do: however long a text is, what it is about moves its mean.
+SPAN = 2000
 #: A band of fewer texts deviates at least as all texts do from their bands' medians.
 FEW = 30
 #: A bin of the histograms is one BINS-th of its value wide, but for values far below FINE, whose bins are one BINS-th of FINE. No value is
@@ -507,7 +509,7 @@ def find_bands(scored: DataFrame) -> DataFrame:
     keys = ["lang", "script", "measure"]
     mid = _middle(_histogram(good, F.col("value")), *keys).select(*(F.col(c).alias(f"b_{c}") for c in keys), F.col("middle").alias("mid"))
     mid = materialize(mid, "medians", small=True)
-    spread = _histogram(_with_bands(good, mid, True), F.abs(F.col("value") - F.col("mid")) * F.sqrt("n_words"))
+    spread = _histogram(_with_bands(good, mid, True), F.abs(F.col("value") - F.col("mid")) * F.sqrt(F.least("n_words", F.lit(SPAN))))
     whole = spread.where(F.col("script").isNull()).groupBy("measure", "bin").agg(F.sum("n").alias("n"))  # each text once
     every = _middle(whole, "measure").select(F.col("measure").alias("e_measure"), F.col("middle").alias("every"))
     dev = 1.4826 * F.when(F.col("texts") < FEW, F.greatest("middle", "every")).otherwise(F.col("middle"))
@@ -523,7 +525,7 @@ def judge(docs: DataFrame, model_bytes: int | None = None) -> DataFrame:
     met = _with_bands(scored, find_bands(scored))
     inside = F.lit(True)
     for m in MEASURES:
-        reach = BAND * F.col(f"{m}_dev") / F.sqrt(F.greatest("n_words", F.lit(1)))
+        reach = BAND * F.col(f"{m}_dev") / F.sqrt(F.greatest(F.least("n_words", F.lit(SPAN)), F.lit(1)))
         met = met.withColumn(f"{m}_low", F.col(f"{m}_mid") - reach).withColumn(f"{m}_high", F.col(f"{m}_mid") + reach)
         inside = inside & F.coalesce(F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")), F.lit(True))
     return met.withColumn("kept", ~F.col("base_failed") & inside)

@@ -1,4 +1,5 @@
 import itertools
+import random
 from collections import defaultdict
 from pathlib import Path
 
@@ -48,6 +49,21 @@ def test_run_reads_the_documents_table(spark, tmp_path):
     assert found.count() > 0
 
 
+def test_texts_of_long_words_and_a_very_long_text_get_through(spark):
+    r = random.Random(8)
+    signs, weights = [chr(0x4E00 + k) for k in range(60)], range(1, 61)
+    rows = [(i, " ".join("".join(r.choices(signs, weights, k=240)) for _ in range(30)), "zz") for i in range(60)]
+    rows += [(100 + i, prose(300 + i, i), "en") for i in range(60)] + [(200, prose(300_000, 9), "en")]
+    docs = documents(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = corpus_pipeline.materialize(stage(spark, docs, ""), "t")
+        left = {r.doc_id for r in docs.collect()}
+        assert len(left & set(range(60))) >= 58 and len(left & set(range(100, 160))) >= 56 and 200 in left, name
+    packed = corpus_pipeline.STAGES[3][1](spark, docs, "").collect()
+    assert {r.doc_id for r in packed} == left
+    assert sum(r.length for r in packed if r.doc_id == 200) > 300_000
+
+
 def test_empty(spark):
     docs = empty(spark)
     for _, stage in corpus_pipeline.STAGES:

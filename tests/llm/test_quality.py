@@ -165,14 +165,14 @@ def slow_judge(rows):
             return middle(own) if own else None
 
         mids = {(r[2], s): mid(r[2], s) for r in out for s in {*r[3], None}}
-        every = middle([abs(r[m] - mids[r[2], None]) * math.sqrt(r[1]) for r in good])
+        every = middle([abs(r[m] - mids[r[2], None]) * math.sqrt(min(r[1], op.SPAN)) for r in good])
         for i, r in enumerate(out):
             (script,) = r[3]
             if mids[r[2], script] is None:
                 continue
-            own = [abs(x[m] - mids[r[2], script]) * math.sqrt(x[1]) for x in good if x[2] == r[2] and (script is None or script in x[3])]
+            own = [abs(x[m] - mids[r[2], script]) * math.sqrt(min(x[1], op.SPAN)) for x in good if x[2] == r[2] and (script is None or script in x[3])]
             dev = 1.4826 * (max(middle(own), every) if len(own) < op.FEW else middle(own))
-            kept[i] &= abs(r[m] - mids[r[2], script]) <= op.BAND * dev / math.sqrt(max(r[1], 1))
+            kept[i] &= abs(r[m] - mids[r[2], script]) <= op.BAND * dev / math.sqrt(max(min(r[1], op.SPAN), 1))
     return [(r[4], r[5], k) for r, k in zip(out, kept)]
 
 
