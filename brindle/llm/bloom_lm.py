@@ -30,6 +30,7 @@ an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -57,29 +58,74 @@ BLOCK, DRAWN = 4096, 5
 SHARD_TEXT, BUILDERS = 1 << 25, 50_000
 #: Of what a worker may hold, the part that a model may be: every token is probed some twenty times, at random places of it.
 PART = 0.25
-#: Tokens counted or scored at once.
-TOKENS = 2_000_000
+#: Characters scored at once, and tokens counted at once.
+CHARS, TOKENS = 10_000_000, 2_000_000
+#: Bytes hashed at once, the base of words' polynomials, and the hash of the end token.
+PIECE, HASH_BASE, END = 1 << 19, 0x9E3779B97F4A7C15 * 5 % (1 << 64), 0x0E4D0E4D0E4D0E4D
 #: One document in FOLDS is held out, those of remainder HELD.
 FOLDS, HELD = 7, 2
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def token_hashes(text: str) -> np.ndarray:
-    """Hashes of the text's ASCII-lower-cased words and of the end token, which contains a space as no word does."""
-    from xxhash import xxh64_intdigest
-
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    words.append(b" end")
-    return np.fromiter(map(xxh64_intdigest, words), dtype=np.uint64, count=len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base ** 2, ... modulo 2 ** 64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+@functools.lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A number for each byte, the same for capital and small letters; which bytes are white space; powers of a base and of its inverse."""
+    values = mix(np.arange(1, 257, dtype=np.uint64) * _GOLD)
+    values[65:91] = values[97:123]
+    space = np.zeros(256, bool)
+    space[[32, *range(9, 14)]] = True
+    return values, space, _powers(HASH_BASE, PIECE), _powers(pow(HASH_BASE, -1, 1 << 64), PIECE)
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ASCII-lower-cased words of some bytes, and where each begins. A word's hash is its polynomial: a difference of prefix sums over the
+    bytes of a piece of text, shifted to the word's beginning; all words of a piece at once."""
+    values, space, up, down = _tables()
+    data = np.frombuffer(raw, np.uint8)
+    gaps = np.concatenate([[True], space[data], [True]])
+    edges = np.flatnonzero(gaps[1:] != gaps[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = starts[at]
+        to = max(at + 1, int(np.searchsorted(ends, low + PIECE, side="right")))
+        n = int(ends[to - 1] - low)
+        powers, back = (up[:n], down) if n <= PIECE else (_powers(HASH_BASE, n), down)  # one long word begins at 0
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(values[data[low : low + n]] * powers, out=sums[1:])
+        first, last = starts[at:to] - low, ends[at:to] - low
+        out[at:to] = mix((sums[last] - sums[first]) * back[first] + (last - first).astype(np.uint64))
+        at = to
+    return out, starts
+
+
+def tokens_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of some texts one after the other, each text's words and then its end token; and how many each text has."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    after = np.cumsum([len(x) + 1 for x in raw])
+    words, starts = word_hashes(b"\n".join(raw))
+    of = np.searchsorted(after, starts, side="right")
+    sizes = np.bincount(of, minlength=len(raw)) + 1
+    tokens = np.full(len(words) + len(raw), END, np.uint64)
+    tokens[np.arange(len(words)) + of] = words
+    return tokens, sizes
+
+
 def bigrams(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """A hash for each token with the one before it; the first of each text follows a start token."""
     before = np.empty_like(tokens)
@@ -105,14 +151,13 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def _runs(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first text, tokens, sizes) of runs of texts that have some TOKENS tokens, or one text."""
-    tokens, at, held = [], 0, 0
+    """(first text, tokens, sizes) of runs of texts that have some CHARS characters, or one text."""
+    at, held = 0, 0
     for i, t in enumerate(texts):
-        tokens.append(token_hashes(t))
-        held += len(tokens[-1])
-        if held >= TOKENS or i == len(texts) - 1:
-            yield at, np.concatenate(tokens), np.array([len(x) for x in tokens], dtype=np.int64)
-            tokens, at, held = [], i + 1, 0
+        held += len(t)
+        if held >= CHARS or i == len(texts) - 1:
+            yield at, *tokens_of(texts[at : i + 1])
+            at, held = i + 1, 0
 
 
 def _counter(shard_bits: int):

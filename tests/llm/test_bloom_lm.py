@@ -120,6 +120,24 @@ def test_filter_never_forgets_and_seldom_errs():
     assert (part.levels(r.integers(0, 1 << 63, 20000).astype(np.uint64), keys) > 0).mean() < 0.03
 
 
+def test_words_have_equal_hashes_wherever_they_stand(monkeypatch):
+    monkeypatch.setattr(op, "PIECE", 64)
+    op._tables.cache_clear()
+    try:
+        r = random.Random(3)
+        texts = ["".join(r.choice("abAB é日\t\n\x0b\x1c") for _ in range(r.randrange(120))) for _ in range(300)] + ["", " ", "x" * 500 + " x", "Y" * 64, "word"]
+        found, sizes = op.tokens_of(texts)
+        want = [w for t in texts for w in tokens(t)]
+        assert sizes.tolist() == [len(tokens(t)) for t in texts] and len(found) == len(want)
+        by_word = {}
+        for w, h in zip(want, found.tolist()):
+            assert by_word.setdefault(w, h) == h
+        assert len(set(by_word.values())) == len(by_word) > 500 and by_word[None] == op.END
+    finally:
+        op._tables.cache_clear()
+    assert op.tokens_of([])[0].tolist() == []
+
+
 def test_quantisation():
     counts = np.arange(1, 3000)
     q = op.quantise(counts)
