@@ -10,7 +10,7 @@ from brindle.functions.semistructured import typed
 from brindle.operators import multisets, sketches
 from brindle.operators.selection import weighted_median
 from brindle.sources import clustered
-from brindle.sources.shared import new_folder
+from brindle.sources.shared import new_folder, settings
 from brindle.sources.tables import table
 
 
@@ -65,18 +65,23 @@ def t7_clustered_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 T8 = """
-    WITH RECURSIVE turns AS (SELECT DISTINCT conv_id, turn, role FROM conversations),
+    WITH RECURSIVE turns AS (SELECT conv_id, turn, min(role) AS role FROM conversations GROUP BY conv_id, turn),
     walk(conv_id, turn, path, depth) AS (
         SELECT conv_id, turn, CAST(role AS {text}), CAST(1 AS BIGINT) FROM turns WHERE turn = 0
         UNION ALL
         SELECT t.conv_id, t.turn, CAST(concat(w.path, '>', t.role) AS {text}), w.depth + 1
-        FROM walk w JOIN turns t ON t.conv_id = w.conv_id AND t.turn = w.turn + 1 WHERE w.depth < 50)
+        FROM walk w JOIN turns t ON t.conv_id = w.conv_id AND t.turn = w.turn + 1)
     SELECT path, depth, count(*) AS n FROM walk GROUP BY path, depth"""
 
 
 def t8_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many conversations take each path of roles, turn by turn from the first, up to 50 turns."""
-    return spark.sql(T8.format(text="STRING").replace("FROM conversations", "FROM {conversations}"), conversations=table(spark, sf_dir, "conversations"))
+    """How many conversations take each path of roles, turn by turn from the first, without a gap. Spark's limits on recursion are lifted: a walk ends with its turns."""
+    walks = T8.format(text="STRING").replace("FROM conversations", "FROM {conversations}")
+    folder = new_folder(spark, "walks")
+    with settings(spark, spark__sql__cteRecursionLevelLimit="-1", spark__sql__cteRecursionRowLimit="-1"):
+        found = spark.sql(walks, conversations=table(spark, sf_dir, "conversations"))
+        found.write.parquet(folder)
+    return spark.read.schema(found.schema).parquet(folder)
 
 
 def t9_filled_days(spark: SparkSession, sf_dir: str) -> DataFrame:

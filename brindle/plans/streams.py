@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import contextlib
-from collections.abc import Iterator
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions.timeline import micros
-from brindle.sources.shared import new_folder
+from brindle.sources.shared import new_folder, settings
 from brindle.sources.tables import table
 from brindle.streaming.sessions import SESSIONS, sessions
 
@@ -19,16 +17,8 @@ ARRIVALS = 4
 DAY = 86_400_000_000
 
 
-@contextlib.contextmanager
-def rocksdb(spark: SparkSession) -> Iterator[None]:
-    """State with timers needs this store."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+#: State with timers needs this store.
+ROCKSDB = {"spark__sql__streaming__stateStore__providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
 def arrivals(rows: DataFrame, folder: str, parts: int = ARRIVALS) -> None:
@@ -52,7 +42,7 @@ def t4_sessions_of_a_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events.select("user_id", at.alias("at"), F.timestamp_micros(at + delay).alias("arrived"))
     folder = new_folder(spark, "sessions")
     arrivals(rows, f"{folder}/in")
-    with rocksdb(spark):
+    with settings(spark, **ROCKSDB):
         stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(f"{folder}/in")
         found = sessions(stream, timedelta(hours=1), timedelta(days=2))
         query = found.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(f"{folder}/out")

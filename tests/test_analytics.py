@@ -175,3 +175,13 @@ def test_schemas_are_merged_over_rows(spark):
     assert typed(rows.where("j = '[1]'"), "j", "p_").columns == ["j"]
     with pytest.raises(ValueError):
         typed(objects.withColumn("p_k", F.lit(1)), "j", "p_")
+
+
+def test_walks_of_many_turns(spark, tmp_path):
+    """Beyond Spark's own limit of 100 steps; a walk stops at a gap, and repeated turns count once."""
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", "x") for t in range(130)] + [(2, 0, "user", "x"), (2, 0, "user", "y"), (2, 2, "user", "x"), (3, 1, "user", "x"), (None, 0, "user", "x"), (4, 0, None, "x")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {(r.path, r.depth): r.n for r in analytics.t8_walks(spark, str(tmp_path)).collect()}
+    path = ["user" if t % 2 == 0 else "assistant" for t in range(130)]
+    want = Counter({(">".join(path[:k]), k): 1 for k in range(1, 131)}) + Counter({("user", 1): 2, (None, 1): 1})
+    assert got == want

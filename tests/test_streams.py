@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.plans import streams
+from brindle.sources.shared import settings
 from brindle.streaming.sessions import SESSIONS, Sessions, sessions
 
 HOUR = 3_600_000_000
@@ -40,7 +41,7 @@ def test_any_batches_against_a_loop(spark, tmp_path, parts, files):
     rows = some_rows(1, 600)
     df = spark.createDataFrame(rows, "user_id long, at long, arrived long").withColumn("arrived", F.timestamp_micros("arrived"))
     streams.arrivals(df.coalesce(2), str(tmp_path / "in"), parts)
-    with streams.rocksdb(spark):
+    with settings(spark, **streams.ROCKSDB):
         stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(str(tmp_path / "in"))
         found = sessions(stream, timedelta(hours=1), timedelta(hours=10))
         query = found.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
