@@ -53,14 +53,14 @@ def t4_sessions_of_a_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"t4_sessions_of_a_stream": t4_sessions_of_a_stream}
 ORACLE_SQL = {
     "t4_sessions_of_a_stream": """
-        WITH rows AS (
-            SELECT user_id, epoch_us(ts) AS at, CASE WHEN event_id % 10 = 7 THEN (event_id // 10) % 4 ELSE 0 END * 86400000000 AS delay FROM events),
+        WITH arrived AS (
+            SELECT user_id, epoch_us(ts) AS us, CASE WHEN event_id % 10 = 7 THEN (event_id // 10) % 4 ELSE 0 END * 86400000000 AS delay FROM events),
         gaps AS (
-            SELECT *, CASE WHEN at - lag(at) OVER (PARTITION BY user_id ORDER BY at) < 3600000000 THEN 0 ELSE 1 END AS begins
-            FROM rows WHERE delay <= 172800000000),
-        numbered AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY at) AS s FROM gaps),
-        sessions AS (SELECT user_id, min(at) AS first, max(at) AS last, count(*) AS n FROM numbered GROUP BY user_id, s),
-        watermark AS (SELECT (max(at + delay) - 172800000000) // 1000 AS ms FROM rows)
+            SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY user_id ORDER BY us) < 3600000000 THEN 0 ELSE 1 END AS begins
+            FROM arrived WHERE delay <= 172800000000),
+        numbered AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY us) AS s FROM gaps),
+        sessions AS (SELECT user_id, min(us) AS first, max(us) AS last, count(*) AS n FROM numbered GROUP BY user_id, s),
+        watermark AS (SELECT (max(us + delay) - 172800000000) // 1000 AS ms FROM arrived)
         SELECT user_id, first, last, n, false AS late FROM sessions, watermark WHERE (last + 3600000000 + 999) // 1000 <= ms
-        UNION ALL SELECT user_id, at AS first, at AS last, 1 AS n, true AS late FROM rows WHERE delay > 172800000000""",
+        UNION ALL SELECT user_id, us AS first, us AS last, 1 AS n, true AS late FROM arrived WHERE delay > 172800000000""",
 }
