@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.timeline import seconds
 from brindle.operators import asof
-from brindle.operators.intervals import overlaps
+from brindle.operators.intervals import _in_bins, begun_within, overlaps
 from brindle.plans import temporal
 
 
@@ -135,5 +135,24 @@ def test_sessions_touch_few_bins(spark):
     assert {r["count"] for r in rows} <= {1, 2} and len(rows) == 5
 
 
+@pytest.mark.parametrize("bin_rows", [1, 7, 1000])
+def test_begun_within_against_a_loop(spark, bin_rows):
+    rows, others = spans(5, 150, 2000), spans(6, 120, 10)
+    x, y = spark.createDataFrame(rows, "i int, g string, a long, b long"), spark.createDataFrame(others, "j int, h string, c long, d long")
+    got = begun_within(x, y, ("a", "b"), "c", bin_rows)
+    want = [(*p, *q) for p in rows for q in others if None not in (p[2], p[3], q[2]) and p[2] <= q[2] <= p[3]]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want)) and len(want) > 300
+
+
+@pytest.mark.parametrize("far", [0, 10**10])
+def test_copies_of_spans_do_not_grow_with_their_lengths(spark, far):
+    """Spans of all lengths over bursts of points, and one point far off: four copies of a span at most, on average, and one of a point. Each side is multiplied once a join."""
+    x = spark.range(4000).selectExpr("id AS i", "id * 3 AS a", "id * 3 + shiftleft(1L, cast(id % 14 AS int)) AS b")
+    y = spark.range(4000).selectExpr("id AS j", f"CASE WHEN id = 0 THEN {far} WHEN id % 3 = 0 THEN id % 5 ELSE id * 3 END AS c").withColumn("d", F.col("c") + F.col("j") % 100)
+    of_x, of_y = _in_bins(x, y, ("a", "b"), "c", 8)
+    assert of_y.count() == 4000 < of_x.count() <= 4 * 4000
+    assert plan_of(overlaps(x, y, ("a", "b"), ("c", "d"))).count("Generate explode") == 2
+
+
 def test_registered():
     assert set(temporal.QUERIES) == set(temporal.ORACLE_SQL)
