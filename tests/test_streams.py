@@ -2,8 +2,10 @@
 
 import random
 from datetime import timedelta
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from brindle.plans import streams
@@ -59,6 +61,43 @@ def test_sessions_merge_whatever_their_order():
     assert own.merged([]) == []
 
 
+class Store:
+    """A state and its timers, which count what is asked of them."""
+
+    def __init__(self):
+        self.value, self.calls, self.timers = None, [], set()
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.remove
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = None
+
+
+def test_a_batch_costs_a_key_one_read_and_one_write(spark):
+    """However many sessions are open; what rows find over goes at once, without a call by a timer."""
+    store, own, at = Store(), Sessions(HOUR), lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    own.init(store)
+    rows = [Row(at=k * 2 * HOUR + x, late=False) for k in range(2000) for x in (0, 5)]
+    assert list(own.handleInputRows((7,), iter(rows), at(0))) == [] and store.calls == ["get", "update"] and store.timers == {HOUR // 1000 + 1}
+    found = list(own.handleInputRows((7,), iter([Row(at=1998 * 2 * HOUR + 9, late=False), Row(at=3, late=True)]), at(1999 * 2 * HOUR // 1000)))
+    assert found[0] == (7, 3, 3, 1, True) and found[1:] == [(7, k * 2 * HOUR, k * 2 * HOUR + (9 if k == 1998 else 5), 3 if k == 1998 else 2, False) for k in range(1999)]
+    assert store.calls == ["get", "update"] * 2 and store.timers == {(1999 * 2 + 1) * HOUR // 1000 + 1}
+    store.timers.clear()  # Spark deletes the timer that fires
+    assert list(own.handleExpiredTimer((7,), at(4000 * HOUR // 1000), None)) == [(7, 1999 * 2 * HOUR, 1999 * 2 * HOUR + 5, 2, False)]
+    assert store.value is None and store.timers == set()
+
+
 def test_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "event_id long, ts timestamp_ntz, user_id long").write.parquet(str(tmp_path / "events.parquet"))
     assert streams.QUERIES["t4_sessions_of_a_stream"](spark, str(tmp_path)).collect() == []
