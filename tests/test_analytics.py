@@ -148,6 +148,23 @@ def test_median_sums_before_the_shuffle(spark):
     assert plan.count("partial_sum") >= 2 and "collect_list" not in plan and "Python" not in plan
 
 
+def test_a_hot_key_of_medians_is_spread(spark):
+    """Only sums are shuffled by key: rows that are met with what is decided, and sums of bits, go by key and bits. More parts than usual change nothing."""
+    from brindle.operators.selection import weighted_median
+    from brindle.sources.shared import settings
+
+    rows = spark.range(3000).selectExpr("IF(id % 10 = 0, id, 7) AS g", "id * 7919 % 251 AS v", "1 + id % 3 AS w")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        lines = plan_of(weighted_median(rows, "g", "v", "w")).splitlines()
+        below = [after for line, after in zip(lines, lines[1:]) if "Exchange hashpartitioning" in line]
+        assert len(below) >= 3 and all("HashAggregate" in line for line in below)
+        want = sorted(map(tuple, weighted_median(rows, "g", "v", "w").collect()))
+        assert sorted(map(tuple, weighted_median(rows, "g", "v", "w", 3, 100).collect())) == want
+    got = dict(want)
+    own = sorted(x for r in rows.where("g = 7").collect() for x in [r.v] * r.w)
+    assert got[7] == own[(len(own) - 1) // 2] and len(got) == 301
+
+
 def test_gaps_of_any_table(spark):
     from brindle.functions.gaps import FillDays
 
