@@ -72,6 +72,18 @@ def test_a_hot_key_is_split_over_buckets(spark):
     assert met.agg(F.sum("v")).first()[0] > 0
 
 
+def test_keys_that_are_not_hot_are_shuffled_once(spark):
+    """One exchange of all rows for the window, no buckets, nothing carried over; one hot key among them, and only its rows are."""
+    left, right = sides(3, 600, ["a", "b", "c", "d", None])
+    l, r = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+    plan = plan_of(asof.as_of(l, r, "k", "t", "u", ["tie"], bucket_rows=1000))
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "Aggregate" not in plan
+    left, right = sides(4, 600, ["hot"] * 12 + ["a", "b", "c", None])
+    l, r = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+    met = asof.as_of(l, r, "k", "t", "u", ["tie"], bucket_rows=100)
+    assert "Aggregate" in plan_of(met) and sorted(map(tuple, met.collect()), key=str) == slow_as_of(left, right)
+
+
 def test_clashing_columns_and_types(spark):
     left = spark.createDataFrame([("a", 1)], "k string, t long")
     with pytest.raises(ValueError):
