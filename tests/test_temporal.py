@@ -11,6 +11,7 @@ from brindle.functions.timeline import seconds
 from brindle.operators import asof
 from brindle.operators.intervals import _in_bins, begun_within, overlaps
 from brindle.plans import temporal
+from brindle.sources.shared import settings
 
 
 def plan_of(df):
@@ -166,5 +167,27 @@ def test_copies_of_spans_do_not_grow_with_their_lengths(spark, far):
     assert plan_of(overlaps(x, y, ("a", "b"), ("c", "d"))).count("Generate explode") == 2
 
 
+@pytest.mark.parametrize("bin_rows, block_rows", [(1, 1), (7, 3), (1000, 50)])
+def test_begun_within_in_blocks_against_a_loop(spark, bin_rows, block_rows):
+    """Keys by which pairs are ordered may be null or equal: no pair is lost or found twice."""
+    rows, others = ([(*r[:1], None if r[0] % 9 == 0 else r[0] % 5, *r[2:]) for r in spans(seed, n, long)] for seed, n, long in ((7, 150, 2000), (8, 120, 10)))
+    x, y = spark.createDataFrame(rows, "i int, g int, a long, b long"), spark.createDataFrame(others, "j int, h int, c long, d long")
+    got = begun_within(x, y, ("a", "b"), "c", bin_rows, ("g", "h"), block_rows)
+    want = [(*p, *q) for p in rows for q in others if None not in (p[2], p[3], q[2]) and p[2] <= q[2] <= p[3]]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want)) and len(want) > 300
+    assert begun_within(x, y.limit(0), ("a", "b"), "c", bin_rows, ("g", "h"), block_rows).collect() == []
+
+
+def test_pairs_of_a_session_come_in_runs(spark, tmp_path):
+    """Hundreds of sessions at one time: from a pair to the next one of both users stays, so that a file of pairs is small."""
+    users = spark.range(400).select((F.col("id") * 7919 % 10007).alias("user_id"), F.explode(F.sequence(F.lit(0), F.lit(5))).alias("n"), "id")
+    at = F.timestamp_seconds(1_700_000_000 + F.col("id") * 7919 % 18_000 + F.col("n") * 3000).cast("timestamp_ntz")
+    users.select((F.col("user_id") * 10 + F.col("n")).alias("event_id"), "user_id", at.alias("ts")).write.parquet(str(tmp_path / "events.parquet"))
+    with settings(spark, spark__sql__shuffle__partitions="40", spark__sql__adaptive__coalescePartitions__enabled="false"):  # sessions come from many tasks
+        pairs = [(r.a_user, r.b_user) for r in temporal.t3_overlapping_sessions(spark, str(tmp_path)).collect()]
+    both_change = sum(p[0] != q[0] and p[1] != q[1] for p, q in zip(pairs, pairs[1:]))
+    assert len(set(pairs)) == len(pairs) > 50_000 and both_change < len(pairs) / 10
+
+
 def test_registered():
     assert set(temporal.QUERIES) == set(temporal.ORACLE_SQL)
